@@ -1,0 +1,21 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimension tables we are willing to ship to every executor.  Code lists and
+# data dictionaries are metadata (modules x items x codes): tens of thousands of
+# rows.  Beyond the bound the planner (and AQE at run time) picks a shuffle join.
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """``broadcast(df)`` when it has at most ``max_rows`` rows, else ``df``.
+
+    The check reads at most ``max_rows + 1`` rows, so it stays cheap even when
+    the side turns out to be large.
+    """
+    n = df.limit(max_rows + 1).count()
+    return F.broadcast(df) if n <= max_rows else df
