@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions._util import as_col
-from .joins import bounded_broadcast
+from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
 
 CODE_LIST_SCHEMA = T.StructType([
     T.StructField("mod_name", T.StringType(), False),
@@ -90,18 +90,20 @@ class CodeLookup:
     ``output='code'`` returns the matched code (the lookup as written in the
     reference validates a code); ``output='decode'`` returns the label.  Any NULL
     argument or no match gives NULL.
+
+    The de-duplicated code list is size-checked once.  Within the bound it is
+    cached (recomputable from lineage if an executor is lost) and every lookup
+    broadcasts its (module, item) slice; beyond it lookups are shuffle joins.
     """
 
     def __init__(self, code_list: DataFrame, output: str = "code",
-                 max_rows: int | None = None):
+                 max_rows: int = DEFAULT_BROADCAST_ROWS):
         if output not in ("code", "decode"):
             raise ValueError("output must be 'code' or 'decode'")
-        self.table = lookup_table(code_list)
+        table = lookup_table(code_list)
+        self.small = table.limit(max_rows + 1).count() <= max_rows
+        self.table = table.cache() if self.small else table
         self.output = output
-        self.max_rows = max_rows
-
-    def _small(self, df: DataFrame) -> DataFrame:
-        return bounded_broadcast(df) if self.max_rows is None else bounded_broadcast(df, self.max_rows)
 
     def add(self, df: DataFrame, alias: str, module, item: str, code,
             output: str | None = None) -> DataFrame:
@@ -127,14 +129,19 @@ class CodeLookup:
                               F.col("code").alias(f"{key}_r"), F.col(out).alias(val))
             cond = (left[mod] == right[f"{mod}_r"]) & (left[key] == right[f"{key}_r"])
             dropped = [key, f"{key}_r", mod, f"{mod}_r"]
-        joined = left.join(self._small(right), cond, "left")
+        joined = left.join(F.broadcast(right) if self.small else right, cond, "left")
         return joined.drop(*dropped).withColumnRenamed(val, alias)
 
-    def value(self, module: str, item: str, code: str, output: str | None = None) -> Column:
-        """A constant lookup, e.g. the label of code '1' of one item, as a
-        scalar subquery-free Column: resolved once on the small table."""
+    def values(self, keys: list[tuple[str, str, str]], output: str | None = None) -> list[Column]:
+        """Constant lookups (e.g. the label of code '1' of several items),
+        resolved in one small query on the de-duplicated code list; one
+        literal Column per key."""
         out = output or self.output
-        rows = (self.table.filter((F.col("mod_name") == module) & (F.col("itm_name") == item)
-                                  & (F.col("code") == code))
-                .select(out).limit(1).collect())
-        return F.lit(rows[0][0] if rows else None).cast("string")
+        cond = F.lit(False)
+        for module, item, code in keys:
+            cond = cond | ((F.col("mod_name") == module) & (F.col("itm_name") == item)
+                           & (F.col("code") == code))
+        found = {(r[0], r[1], r[2]): r[3] for r in
+                 self.table.filter(cond).select("mod_name", "itm_name", "code", out)
+                 .limit(len(keys)).collect()}
+        return [F.lit(found.get(k)).cast("string") for k in keys]

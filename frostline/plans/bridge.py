@@ -71,9 +71,9 @@ def demographics(demo: DataFrame, socio: DataFrame, code_list: DataFrame,
     df = demo
     for col, (module, item) in lookups.items():
         df = lk.add(df, f"__lk_{col}", module, item, code_text(demo, col))
-    race = one_hot_class(
-        [(F.col(c), lk.value(module, item, "1")) for c, (module, item) in race_flags],
-        RACE_NONE, RACE_MANY)
+    labels = lk.values([(module, item, "1") for _, (module, item) in race_flags])
+    race = one_hot_class([(F.col(c), label) for (c, _), label in zip(race_flags, labels)],
+                         RACE_NONE, RACE_MANY)
     educ = (socio.groupBy("patno")
             .agg(F.max(round_half_even_smallint("educyrs")).alias("educyrs"))
             .withColumnRenamed("patno", "__se_patno"))

@@ -1 +1,54 @@
 """Profile, check, source and sink queries (registered on import)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import checks
+from ..operators.profile import profile, schema_report
+from . import standins as si
+from .catalogue import query
+from .standins import Tables
+
+
+def _part_profile(spark, sf_dir):
+    return profile(si.part_as_text(Tables(spark, sf_dir)), "part")
+
+
+@query("prf_profile")
+def prf_profile(spark, sf_dir):
+    return _part_profile(spark, sf_dir)
+
+
+@query("prf_base_type")
+def prf_base_type(spark, sf_dir):
+    return _part_profile(spark, sf_dir).select("ordinal", "csv_name", "base_type", "is_nullable")
+
+
+@query("prf_narrow_types")
+def prf_narrow_types(spark, sf_dir):
+    return _part_profile(spark, sf_dir).select("csv_name", "sql_name", "sql_type", "spark_type")
+
+
+@query("prf_report")
+def prf_report(spark, sf_dir):
+    return schema_report(_part_profile(spark, sf_dir))
+
+
+@query("chk_primary_key")
+def chk_primary_key(spark, sf_dir):
+    li = Tables(spark, sf_dir)("lineitem")
+    return checks.primary_key_violations(li, "l_orderkey")
+
+
+@query("chk_not_null")
+def chk_not_null(spark, sf_dir):
+    o = si.orders_with_nulls(Tables(spark, sf_dir))
+    return checks.not_null_violations(o, ["o_orderkey", "o_orderpriority", "o_orderstatus"])
+
+
+@query("chk_truncated_header")
+def chk_truncated_header(spark, sf_dir):
+    d = Tables(spark, sf_dir)("documents")
+    n, cut = checks.truncated_header(F.col("text"))
+    return d.select("doc_id", n.alias("header_length"), cut.alias("truncated"))

@@ -1,3 +1,85 @@
 """DuckDB text for the profile, check, source and sink queries."""
 
-ORACLE_SQL: dict[str, str] = {}
+from __future__ import annotations
+
+INT_RE = r"-?\d+"
+FLOAT_RE = r"[-+]?((\d*\.\d+)([eE][-+]?\d+)?|inf|NaN|(\d+)[eE][-+]?\d+|\d+\.)"
+
+PART_TEXT = """pt AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS "P_PARTKEY", p_name AS "P_NAME",
+    nullif(p_brand, 'Brand#1') AS "P-BRAND", p_type AS "P TYPE",
+    CAST(p_size AS VARCHAR) AS p_size, CAST(p_retailprice AS VARCHAR) AS p_retailprice,
+    CASE WHEN p_size > 25 THEN 'true' ELSE 'False' END AS is_big,
+    CASE WHEN p_size > 40 THEN CAST(p_retailprice AS VARCHAR) ELSE CAST(p_size AS VARCHAR) END AS mixed,
+    CAST(NULL AS VARCHAR) AS empty_col
+  FROM part)"""
+
+PART_COLUMNS = [("P_PARTKEY", "p_partkey"), ("P_NAME", "p_name"), ("P-BRAND", "p_brand"),
+                ("P TYPE", "p_type"), ("p_size", "p_size"), ("p_retailprice", "p_retailprice"),
+                ("is_big", "is_big"), ("mixed", "mixed"), ("empty_col", "empty_col")]
+
+
+def _stats(i: int, csv: str, sql: str) -> str:
+    c = f'"{csv}"'
+    return f"""SELECT {i} AS ordinal, '{csv}' AS csv_name, '{sql}' AS sql_name,
+    count(*) AS n_rows, count({c}) AS nn,
+    count(*) FILTER (WHERE regexp_full_match({c}, '{INT_RE}') AND TRY_CAST({c} AS BIGINT) IS NOT NULL) AS ni,
+    count(*) FILTER (WHERE regexp_full_match({c}, '{FLOAT_RE}')) AS nf,
+    count(*) FILTER (WHERE lower({c}) IN ('true', 'false')) AS nb,
+    min(TRY_CAST({c} AS BIGINT)) AS mini, max(TRY_CAST({c} AS BIGINT)) AS maxi,
+    min(TRY_CAST({c} AS DOUBLE)) AS minf, max(TRY_CAST({c} AS DOUBLE)) AS maxf
+  FROM pt"""
+
+
+PART_PROFILE = "WITH " + PART_TEXT + ",\nst AS (\n" + "\n  UNION ALL\n".join(
+    _stats(i + 1, csv, sql) for i, (csv, sql) in enumerate(PART_COLUMNS)) + """),
+b AS (SELECT *, CASE WHEN nn = 0 THEN 'String' WHEN ni = nn THEN 'Int64'
+                     WHEN ni + nf = nn THEN 'Float64' WHEN nb = nn THEN 'Boolean'
+                     ELSE 'String' END AS base_type FROM st),
+r AS (SELECT *,
+    CASE base_type WHEN 'Int64' THEN CAST(mini AS VARCHAR) WHEN 'Float64' THEN CAST(minf AS VARCHAR) END AS min_value,
+    CASE base_type WHEN 'Int64' THEN CAST(maxi AS VARCHAR) WHEN 'Float64' THEN CAST(maxf AS VARCHAR) END AS max_value,
+    nn < n_rows AS is_nullable FROM b),
+t AS (SELECT *, CASE
+      WHEN base_type = 'Int64' AND mini >= -32768 AND maxi <= 32767 THEN 'SMALLINT'
+      WHEN base_type = 'Int64' AND mini >= -2147483648 AND maxi <= 2147483647 THEN 'INTEGER'
+      WHEN base_type = 'Int64' THEN 'BIGINT'
+      WHEN base_type = 'Float64' THEN 'DOUBLE PRECISION'
+      WHEN base_type = 'Boolean' THEN 'BOOLEAN'
+      ELSE 'TEXT' END AS base_sql FROM r)
+SELECT 'part' AS table_name, CAST(ordinal AS INTEGER) AS ordinal, csv_name, sql_name, base_type, is_nullable,
+  min_value, max_value,
+  base_sql || CASE WHEN is_nullable THEN ' NULL' ELSE ' NOT NULL' END AS sql_type,
+  CASE base_sql WHEN 'SMALLINT' THEN 'smallint' WHEN 'INTEGER' THEN 'int' WHEN 'BIGINT' THEN 'bigint'
+    WHEN 'DOUBLE PRECISION' THEN 'double' WHEN 'BOOLEAN' THEN 'boolean' ELSE 'string' END AS spark_type,
+  n_rows, n_rows - nn AS n_nulls
+FROM t"""
+
+
+def _from_profile(select: str) -> str:
+    return f"SELECT {select} FROM ({PART_PROFILE}) AS prof"
+
+
+_WS = "'^[\\s\\v]+|[\\s\\v]+$'"
+
+ORACLE_SQL: dict[str, str] = {
+    "prf_profile": PART_PROFILE,
+    "prf_base_type": _from_profile("ordinal, csv_name, base_type, is_nullable"),
+    "prf_narrow_types": _from_profile("csv_name, sql_name, sql_type, spark_type"),
+    "prf_report": _from_profile(
+        "csv_name AS \"CSV Name\", sql_name AS \"SQL Name\", base_type AS \"Polars Type\", "
+        "CASE WHEN is_nullable THEN 'Yes' ELSE 'No' END AS \"Nullable\", "
+        "CASE WHEN min_value IS NOT NULL AND max_value IS NOT NULL "
+        "THEN '(' || min_value || ' to ' || max_value || ')' ELSE 'N/A' END AS \"Value Range\", "
+        "sql_type AS \"Optimal SQL Type\""),
+    "chk_primary_key": ("SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY l_orderkey "
+                        "HAVING count(*) > 1 OR l_orderkey IS NULL"),
+    "chk_not_null": ("WITH o AS (SELECT o_orderkey, nullif(o_orderpriority, '5-LOW') AS o_orderpriority, "
+                     "nullif(o_orderstatus, 'P') AS o_orderstatus FROM orders) "
+                     "SELECT 'o_orderkey' AS column_name, count(*) FILTER (WHERE o_orderkey IS NULL) AS n_violations FROM o "
+                     "UNION ALL SELECT 'o_orderpriority', count(*) FILTER (WHERE o_orderpriority IS NULL) FROM o "
+                     "UNION ALL SELECT 'o_orderstatus', count(*) FILTER (WHERE o_orderstatus IS NULL) FROM o"),
+    "chk_truncated_header": (
+        f"WITH h AS (SELECT doc_id, length(regexp_replace(split_part(text, chr(10), 1), {_WS}, '', 'g')) AS n "
+        f"FROM documents) SELECT doc_id, n AS header_length, n = 1024 AS truncated FROM h"),
+}

@@ -247,3 +247,30 @@ def diagnosis_history_raw(t: Tables) -> DataFrame:
         F.col("f_open").alias("dxothsx"),
         F.col("l_linenumber").alias("domside"),
     )
+
+
+def part_as_text(t: Tables) -> DataFrame:
+    """part as the all-text table a CSV scan yields, plus a boolean-looking, a
+    mixed int/float and an all-NULL column; brand has NULLs."""
+    p = t("part")
+    return p.select(
+        F.col("p_partkey").cast("string").alias("P_PARTKEY"),
+        F.col("p_name").alias("P_NAME"),
+        F.nullif(F.col("p_brand"), F.lit("Brand#1")).alias("P-BRAND"),
+        F.col("p_type").alias("P TYPE"),
+        F.col("p_size").cast("string").alias("p_size"),
+        F.col("p_retailprice").cast("string").alias("p_retailprice"),
+        F.when(F.col("p_size") > 25, F.lit("true")).otherwise(F.lit("False")).alias("is_big"),
+        F.when(F.col("p_size") > 40, F.col("p_retailprice").cast("string"))
+         .otherwise(F.col("p_size").cast("string")).alias("mixed"),
+        F.lit(None).cast("string").alias("empty_col"),
+    )
+
+
+def orders_with_nulls(t: Tables) -> DataFrame:
+    o = t("orders")
+    return o.select(
+        "o_orderkey",
+        F.nullif(F.col("o_orderpriority"), F.lit("5-LOW")).alias("o_orderpriority"),
+        F.nullif(F.col("o_orderstatus"), F.lit("P")).alias("o_orderstatus"),
+        "o_totalprice")
