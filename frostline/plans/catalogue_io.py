@@ -52,3 +52,126 @@ def chk_truncated_header(spark, sf_dir):
     d = Tables(spark, sf_dir)("documents")
     n, cut = checks.truncated_header(F.col("text"))
     return d.select("doc_id", n.alias("header_length"), cut.alias("truncated"))
+
+
+# ------------------------------------------------------------ sources / sinks
+
+from ..sinks.warehouse import Warehouse, export_csv  # noqa: E402
+from ..sources import csv as csvsrc  # noqa: E402
+from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_encode, repair  # noqa: E402
+from .freeze_fixture import Freeze  # noqa: E402
+from .load import LoadOptions, load_freeze, scan_staged_table, stage_freeze  # noqa: E402
+
+import uuid  # noqa: E402
+
+
+def _data_columns(df):
+    return df.drop("member_id", csvsrc.CORRUPT)
+
+
+def _warehouse(spark):
+    return Warehouse(spark, database=f"freeze_{uuid.uuid4().hex[:10]}")
+
+
+def documents_with_note(t):
+    d = t("documents")
+    note = (F.when(F.col("lang") == "en", F.lit(""))
+            .when(F.col("lang") == "de", F.lit(None).cast("string"))
+            .otherwise(F.col("source")))
+    return d.select("doc_id", "lang", "source", "text", note.alias("note"))
+
+
+@query("src_archive")
+def src_archive(spark, sf_dir):
+    fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders", files=4)
+    staged = stage_freeze(spark, archives=fz.archives)
+    return _data_columns(scan_staged_table(spark, staged, "orders"))
+
+
+@query("snk_create_load")
+def snk_create_load(spark, sf_dir):
+    fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders", files=4)
+    wh = _warehouse(spark)
+    load_freeze(spark, wh, archives=fz.archives).collect()
+    return wh.read("orders")
+
+
+@query("src_member_filter")
+def src_member_filter(spark, sf_dir):
+    fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders", partition_by="o_orderpriority")
+    wanted = [m for m in fz.members if "=1-URGENT/" in m or "=2-HIGH/" in m]
+    wh = _warehouse(spark)
+    load_freeze(spark, wh, archives=fz.archives,
+                members=wanted + ["missing/Orders_20250401.csv"]).collect()
+    return wh.read("orders")
+
+
+@query("src_csv_scan")
+def src_csv_scan(spark, sf_dir):
+    fz_dir = Freeze(spark, documents_with_note(Tables(spark, sf_dir)), "Documents").csv_dir
+    return csvsrc.read_text_csv(spark, fz_dir + "/*.csv").drop(csvsrc.CORRUPT)
+
+
+@query("src_multi_file")
+def src_multi_file(spark, sf_dir):
+    fz = Freeze(spark, Tables(spark, sf_dir)("customer"), "Customer", container="dir")
+    wh = _warehouse(spark)
+    load_freeze(spark, wh, files=fz.members).collect()
+    return wh.read("customer")
+
+
+@query("src_cp1252_decode")
+def src_cp1252_decode(spark, sf_dir):
+    d = Tables(spark, sf_dir)("documents")
+    return d.select("doc_id", cp1252_decode(cp1252_encode("text")).alias("text"))
+
+
+@query("src_quote_repair")
+def src_quote_repair(spark, sf_dir):
+    d = Tables(spark, sf_dir)("documents").select("doc_id", "lang", "text")
+    fz = Freeze(spark, d, "Documents", quote_escape="\\")
+    staged = stage_freeze(spark, archives=fz.archives)
+    return _data_columns(scan_staged_table(spark, staged, "documents"))
+
+
+STANDIN_PATCHES = (("Primary_Clinical_Diagnosis_", " the ", " THE "), *FILE_PATCHES)
+
+
+@query("src_file_patch")
+def src_file_patch(spark, sf_dir):
+    d = Tables(spark, sf_dir)("documents")
+    member = F.concat(F.when(F.col("lang") == "en", F.lit("Primary_Clinical_Diagnosis_"))
+                      .otherwise(F.lit("Other_")), F.col("doc_id").cast("string"), F.lit(".csv"))
+    return d.select("doc_id", repair(F.col("text"), member, STANDIN_PATCHES).alias("text"))
+
+
+@query("snk_export_csv")
+def snk_export_csv(spark, sf_dir):
+    from ..session import scratch_dir
+
+    path = scratch_dir(spark, "export")
+    export_csv(si.part_as_text(Tables(spark, sf_dir)), path)
+    return csvsrc.read_text_csv(spark, path + "/*.csv").drop(csvsrc.CORRUPT)
+
+
+@query("snk_clustered")
+def snk_clustered(spark, sf_dir):
+    demo, _ = si.demographics_raw(Tables(spark, sf_dir))
+    wh = _warehouse(spark)
+    wh.create_if_absent("demographics", demo.schema)
+    wh.append(demo, "demographics")
+    return wh.read("demographics")
+
+
+@query("log_load_audit")
+def log_load_audit(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    orders = Freeze(spark, t("orders"), "Orders", partition_by="o_orderpriority")
+    bad = Freeze(spark, t("nation").select("n_nationkey", F.concat("n_name", F.lit("\u0081")).alias("n_name")),
+                 "Nation", files=1, encoding="latin-1")
+    notes = Freeze(spark, t("region"), "Region", files=1, member_file="notes.txt")
+    everything = orders.members + bad.members + notes.members + ["missing/Orders_20250401.csv"]
+    audit = load_freeze(spark, _warehouse(spark), archives=orders.archives + bad.archives + notes.archives,
+                        members=everything)
+    key = F.regexp_extract("member", r"o_orderpriority=([^/]+)/", 1)
+    return audit.select("table_name", F.when(key != "", key).alias("member_key"), "n_rows", "status")

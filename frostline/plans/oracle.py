@@ -138,8 +138,8 @@ def _race(cols_labels: list[tuple[str, str]]) -> str:
             f"ELSE CASE {firsts} ELSE NULL END END")
 
 
-def _demographics() -> str:
-    demo = f"""demo AS (
+def demo_cte() -> str:
+    return f"""demo AS (
   SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS rec_id,
          l_orderkey AS patno, {sql_month('l_shipdate')} AS infodt,
          f_qty AS aficberb, f_tax AS ashkjew, f_disc AS basque,
@@ -150,6 +150,10 @@ def _demographics() -> str:
          CASE WHEN o_orderstatus = 'P' THEN 'UNK' ELSE {sql_month('l_shipdate')} END AS orig_entry,
          l_shipdate AS last_update
   FROM lf JOIN orders ON l_orderkey = o_orderkey)"""
+
+
+def _demographics() -> str:
+    demo = demo_cte()
     se = "se AS (SELECT l_orderkey AS patno, l_quantity / 4 AS educyrs FROM lineitem)"
     race_items = [("raasian", "Brand#1"), ("rablack", "Brand#2"), ("rahawopi", "Brand#3"),
                   ("raindals", "Brand#4"), ("ranos", "Brand#5"), ("rawhite", "Brand#6"),

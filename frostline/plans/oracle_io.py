@@ -83,3 +83,46 @@ ORACLE_SQL: dict[str, str] = {
         f"WITH h AS (SELECT doc_id, length(regexp_replace(split_part(text, chr(10), 1), {_WS}, '', 'g')) AS n "
         f"FROM documents) SELECT doc_id, n AS header_length, n = 1024 AS truncated FROM h"),
 }
+
+ORDERS_LOADED = ("CAST(o_orderkey AS SMALLINT) AS o_orderkey, CAST(o_custkey AS SMALLINT) AS o_custkey, "
+                 "o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate")
+ORDERS_TEXT = ("CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, "
+               "o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice, "
+               "strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority")
+STRIP = "regexp_replace({x}, '^[\\s\\v]+|[\\s\\v]+$', '', 'g')"
+
+
+def _repaired(x: str) -> str:
+    return STRIP.format(x=f"replace({x}, '\\\"', '\"\"')")
+
+
+def _clustered() -> str:
+    from .oracle import LF, demo_cte, with_
+
+    return with_(LF, demo_cte()) + "SELECT * FROM demo"
+
+
+ORACLE_SQL.update({
+    "snk_clustered": _clustered(),
+    "src_archive": f"SELECT {ORDERS_TEXT} FROM orders",
+    "snk_create_load": f"SELECT {ORDERS_LOADED}, o_orderpriority FROM orders",
+    "src_member_filter": (f"SELECT {ORDERS_LOADED} FROM orders "
+                          f"WHERE o_orderpriority IN ('1-URGENT', '2-HIGH')"),
+    "src_csv_scan": ("SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, source, text, "
+                     "CASE WHEN lang = 'en' THEN '' WHEN lang = 'de' THEN NULL ELSE source END AS note "
+                     "FROM documents"),
+    "src_multi_file": ("SELECT CAST(c_custkey AS SMALLINT) AS c_custkey, c_name, "
+                       "CAST(c_nationkey AS SMALLINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer"),
+    "src_cp1252_decode": "SELECT doc_id, text FROM documents",
+    "src_quote_repair": "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, text FROM documents",
+    "src_file_patch": (f"SELECT doc_id, CASE WHEN lang = 'en' THEN replace({_repaired('text')}, ' the ', ' THE ') "
+                       f"ELSE {_repaired('text')} END AS text FROM documents"),
+    "snk_export_csv": ("SELECT \"P_PARTKEY\" AS p_partkey, \"P_NAME\" AS p_name, \"P-BRAND\" AS p_brand, "
+                       "\"P TYPE\" AS p_type, p_size, p_retailprice, is_big, mixed, empty_col FROM ("
+                       + PART_TEXT[len("pt AS ("):-1] + ")"),
+    "log_load_audit": ("SELECT 'orders' AS table_name, o_orderpriority AS member_key, count(*) AS n_rows, "
+                       "'loaded' AS status FROM orders GROUP BY o_orderpriority "
+                       "UNION ALL SELECT 'nation', NULL, NULL, 'error' "
+                       "UNION ALL SELECT NULL, NULL, NULL, 'skipped' "
+                       "UNION ALL SELECT NULL, NULL, NULL, 'not_found'"),
+})
