@@ -91,19 +91,37 @@ class CodeLookup:
     reference validates a code); ``output='decode'`` returns the label.  Any NULL
     argument or no match gives NULL.
 
-    The de-duplicated code list is size-checked once.  Within the bound it is
-    cached (recomputable from lineage if an executor is lost) and every lookup
-    broadcasts its (module, item) slice; beyond it lookups are shuffle joins.
+    Each lookup is a left join with the (module, item) slice of the
+    de-duplicated code list.  The code list is size-checked once: within
+    ``max_rows`` it is cached (recomputable from lineage if an executor is lost)
+    and every slice is broadcast (one hash probe per row, no shuffle of the
+    fact side); beyond it the joins are left to the planner (shuffle joins,
+    AQE may still broadcast small slices at run time).
     """
 
     def __init__(self, code_list: DataFrame, output: str = "code",
                  max_rows: int = DEFAULT_BROADCAST_ROWS):
         if output not in ("code", "decode"):
             raise ValueError("output must be 'code' or 'decode'")
-        table = lookup_table(code_list)
-        self.small = table.limit(max_rows + 1).count() <= max_rows
-        self.table = table.cache() if self.small else table
+        self.table = lookup_table(code_list)
         self.output = output
+        self.max_rows = max_rows
+        self._small: bool | None = None
+
+    @property
+    def small(self) -> bool:
+        if self._small is None:
+            self._small = self.table.limit(self.max_rows + 1).count() <= self.max_rows
+            if self._small:
+                self.table = self.table.cache()
+        return self._small
+
+    def add_all(self, df: DataFrame, specs, output: str | None = None) -> DataFrame:
+        """``df`` plus one column per spec ``(alias, module, item, code)``."""
+        out = output or self.output
+        for alias, module, item, code in specs:
+            df = self._join(df, alias, module, item, code, out)
+        return df
 
     def add(self, df: DataFrame, alias: str, module, item: str, code,
             output: str | None = None) -> DataFrame:
@@ -112,30 +130,27 @@ class CodeLookup:
         ``module`` is a literal module name (str) or a Column (per-row module).
         ``code`` is a column name or Column; it is compared as text.
         """
-        out = output or self.output
+        return self.add_all(df, [(alias, module, item, code)], output)
+
+    def _join(self, df: DataFrame, alias: str, module, item: str, code, out: str) -> DataFrame:
         key = _tmp("code")
-        val = _tmp("val")
-        left = df.withColumn(key, as_col(code).cast("string"))
         cl = self.table.filter(F.col("itm_name") == F.lit(item))
         if isinstance(module, str):
             right = (cl.filter(F.col("mod_name") == F.lit(module))
-                     .select(F.col("code").alias(f"{key}_r"), F.col(out).alias(val)))
-            cond = left[key] == right[f"{key}_r"]
-            dropped = [key, f"{key}_r"]
+                     .select(F.col("code").alias(key), F.col(out).alias(alias)))
+            cond = as_col(code).cast("string") == right[key]
         else:
             mod = _tmp("mod")
-            left = left.withColumn(mod, as_col(module).cast("string"))
-            right = cl.select(F.col("mod_name").alias(f"{mod}_r"),
-                              F.col("code").alias(f"{key}_r"), F.col(out).alias(val))
-            cond = (left[mod] == right[f"{mod}_r"]) & (left[key] == right[f"{key}_r"])
-            dropped = [key, f"{key}_r", mod, f"{mod}_r"]
-        joined = left.join(F.broadcast(right) if self.small else right, cond, "left")
-        return joined.drop(*dropped).withColumnRenamed(val, alias)
+            right = cl.select(F.col("mod_name").alias(mod), F.col("code").alias(key),
+                              F.col(out).alias(alias))
+            cond = ((as_col(module).cast("string") == right[mod])
+                    & (as_col(code).cast("string") == right[key]))
+        joined = df.join(F.broadcast(right) if self.small else right, cond, "left")
+        return joined.select(df["*"], right[alias])
 
     def values(self, keys: list[tuple[str, str, str]], output: str | None = None) -> list[Column]:
         """Constant lookups (e.g. the label of code '1' of several items),
-        resolved in one small query on the de-duplicated code list; one
-        literal Column per key."""
+        resolved in one small query; one literal Column per key."""
         out = output or self.output
         cond = F.lit(False)
         for module, item, code in keys:

@@ -68,9 +68,8 @@ def demographics(demo: DataFrame, socio: DataFrame, code_list: DataFrame,
     """Demographics with coded columns looked up, dates as ``YYYY-MM``, race
     classified from one-hot flags and the largest ``educyrs`` per participant."""
     lk = CodeLookup(code_list, output=output)
-    df = demo
-    for col, (module, item) in lookups.items():
-        df = lk.add(df, f"__lk_{col}", module, item, code_text(demo, col))
+    df = lk.add_all(demo, [(f"__lk_{col}", module, item, code_text(demo, col))
+                           for col, (module, item) in lookups.items()])
     labels = lk.values([(module, item, "1") for _, (module, item) in race_flags])
     race = one_hot_class([(F.col(c), label) for (c, _), label in zip(race_flags, labels)],
                          RACE_NONE, RACE_MANY)

@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.parquet import read_parquet
 from ..operators.codes import (CODE_LIST_SCHEMA, DICTIONARY_SCHEMA, nullable, overlay_code_list,
                                overlay_dictionary)
 
@@ -32,17 +33,23 @@ class Tables:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
+        self._cache: dict[str, DataFrame] = {}
 
     def __call__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._cache:
+            self._cache[name] = read_parquet(self.spark, f"{self.sf_dir}/{name}.parquet")
+        return self._cache[name]
 
     def all(self) -> dict[str, DataFrame]:
         return {n: self(n) for n in self.NAMES}
 
 
 def mm_yyyy(c) -> Column:
-    """A timestamp as ``MM/yyyy`` text, the calendar form of the freeze files."""
-    return F.date_format(c, "MM/yyyy")
+    """A timestamp as ``MM/yyyy`` text, the calendar form of the freeze files
+    (built from month and year: cheaper per row than a pattern formatter)."""
+    ts = F.col(c) if isinstance(c, str) else c
+    return F.concat(F.lpad(F.month(ts).cast("string"), 2, "0"), F.lit("/"),
+                    F.lpad(F.year(ts).cast("string"), 4, "0"))
 
 
 def _flag(cond: Column) -> Column:
