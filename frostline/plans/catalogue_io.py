@@ -175,3 +175,39 @@ def log_load_audit(spark, sf_dir):
                         members=everything)
     key = F.regexp_extract("member", r"o_orderpriority=([^/]+)/", 1)
     return audit.select("table_name", F.when(key != "", key).alias("member_key"), "n_rows", "status")
+
+
+# ----------------------------------------------------- overlays / catalog search
+
+from ..operators.codes import overlay_code_list  # noqa: E402
+from ..operators import inventory as inv  # noqa: E402
+from ..sources.catalog import base_tables, read_overlay_csv  # noqa: E402
+
+
+@query("overlay_code_list_csv")
+def overlay_code_list_csv(spark, sf_dir):
+    """Overlay rows go through a CSV file, the overlay loader and a truncate +
+    load of the overlay table, then overlay the code list."""
+    from ..session import scratch_dir
+    from ..operators.codes import CODE_LIST_SCHEMA
+
+    path = scratch_dir(spark, "overlay")
+    si.code_list_overlay(spark).coalesce(1).write.mode("overwrite").option("header", "true").csv(path)
+    wh = _warehouse(spark)
+    wh.create_if_absent("_code_list_overlay", CODE_LIST_SCHEMA, cluster_by=())
+    wh.overwrite(read_overlay_csv(spark, path), "_code_list_overlay")
+    return overlay_code_list(si.code_list(Tables(spark, sf_dir)), wh.read("_code_list_overlay"))
+
+
+@query("catalog_page_pairs")
+def catalog_page_pairs(spark, sf_dir):
+    """Page-name search driven by the catalog: the driver tables registered as
+    external tables of a fresh database (plus a view, which is skipped)."""
+    wh = _warehouse(spark)
+    for name in Tables.NAMES:
+        spark.sql(f"CREATE TABLE `{wh.database}`.`{name}` USING parquet "
+                  f"LOCATION '{sf_dir.rstrip('/')}/{name}.parquet'")
+    spark.sql(f"CREATE VIEW `{wh.database}`.`nation_v` AS SELECT * FROM `{wh.database}`.`nation`")
+    pairs = inv.page_name_pairs(spark, base_tables(spark, wh.database, column=r".*_nationkey"),
+                                column_pattern=r"_nationkey$")
+    return pairs.select("pag_name", "table_name")

@@ -102,7 +102,15 @@ def _clustered() -> str:
     return with_(LF, demo_cte()) + "SELECT * FROM demo"
 
 
+def _from_main(name: str) -> str:
+    from .oracle import ORACLE_SQL as MAIN
+
+    return MAIN[name]
+
+
 ORACLE_SQL.update({
+    "overlay_code_list_csv": _from_main("overlay_code_list"),
+    "catalog_page_pairs": _from_main("ident_page_pairs"),
     "snk_clustered": _clustered(),
     "src_archive": f"SELECT {ORDERS_TEXT} FROM orders",
     "snk_create_load": f"SELECT {ORDERS_LOADED}, o_orderpriority FROM orders",
