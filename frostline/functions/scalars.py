@@ -49,7 +49,7 @@ def mm_yyyy_to_yyyy_mm(c, on_bad: str = "error") -> Column:
 
 def safe_boolean(c) -> Column:
     """Text to boolean with the database vocabulary; NULL when not a boolean."""
-    x = F.lower(F.trim(as_col(c).cast("string")))
+    x = F.lower(F.btrim(as_col(c).cast("string"), F.lit(" \t\n\r\x0b\f")))
     return (
         F.when(x.isin(*TRUE_WORDS), F.lit(True))
         .when(x.isin(*FALSE_WORDS), F.lit(False))

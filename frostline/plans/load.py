@@ -163,9 +163,12 @@ def stage_freeze(spark: SparkSession, archives: Sequence[str] | None = None,
                 m.fail("member name gives an empty table name")
             elif opts.exclude_tables and re.search(opts.exclude_tables, m.table_name):
                 m.status, m.error = "excluded", "table excluded by pattern"
-        good_ids = [m.member_id for m in found if m.status == "pending"]
-        if good_ids:
-            (decoded.filter(F.col("member_id").isin(*good_ids))
+        if any(m.status == "pending" for m in found):
+            # the same rule as above, as an expression: no member list in the plan
+            keep = ~F.col("undefined") & F.col("table_name").isNotNull()
+            if opts.exclude_tables:
+                keep = keep & ~F.col("table_name").rlike(opts.exclude_tables)
+            (decoded.filter(keep)
              .select("table_name", "member_id", "text")
              .write.partitionBy("table_name", "member_id").text(text_dir))
     finally:

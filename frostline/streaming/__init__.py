@@ -1 +1,9 @@
+"""Incremental loading of a landing folder with Structured Streaming.
 
+The reference has no streams (no watermarks, windows or state); its loader
+takes a data freeze when it arrives.  ``landing`` re-expresses that arrival as
+a file-stream trigger: every micro-batch of new files in a folder is loaded by
+the same ``load_freeze`` plan (per-member audit included), and the stream's
+checkpoint (in the shared folder) records which files were taken, so a
+restarted or failed run never loads a file twice.
+"""

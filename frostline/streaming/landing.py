@@ -1,0 +1,40 @@
+"""Load freeze files as they land in a folder (file stream + foreachBatch)."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ..plans.load import LoadOptions, load_freeze
+from ..session import scratch_root
+from ..sinks.warehouse import Warehouse
+
+BINARY_FILE_SCHEMA = ("path string, modificationTime timestamp, length bigint, content binary")
+
+
+def watch_landing_folder(spark: SparkSession, folder: str, warehouse: Warehouse,
+                         checkpoint: str | None = None, archives: bool = False,
+                         options: LoadOptions | None = None, audit_table: str = "_load_audit",
+                         glob: str | None = None):
+    """Start a stream that loads every new file of ``folder`` (CSV members, or
+    zip archives with ``archives=True``) and appends the audit rows to
+    ``audit_table`` in the warehouse.  Returns the ``StreamingQuery``."""
+    checkpoint = checkpoint or os.path.join(scratch_root(spark), f"landing-{warehouse.database}")
+    reader = spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    # only paths are read by the stream; the loader reads bytes on executors
+    paths = reader.load(folder).select("path")
+
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        names = [r.path for r in batch.collect()]  # one short row per new file
+        if not names:
+            return
+        kw = {"archives": names} if archives else {"files": names}
+        audit = load_freeze(spark, warehouse, options=options, **kw)
+        warehouse.create_if_absent(audit_table, audit.schema, cluster_by=())
+        warehouse.append(audit, audit_table)
+
+    return (paths.writeStream.foreachBatch(load_batch)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

@@ -1,0 +1,23 @@
+"""The landing-folder stream loads each new file once."""
+
+from frostline.sinks.warehouse import Warehouse
+from frostline.streaming.landing import watch_landing_folder
+
+
+def test_landing_folder(spark, tmp_path):
+    land = tmp_path / "landing"
+    land.mkdir()
+    (land / "Visits_20250401.csv").write_bytes(b"PATNO,EVENT_ID\n1,BL\n2,V01\n")
+    wh = Warehouse(spark, database="freeze_stream", location=str(tmp_path / "wh"))
+    ckpt = str(tmp_path / "ckpt")
+    q = watch_landing_folder(spark, str(land), wh, checkpoint=ckpt, glob="*.csv")
+    q.awaitTermination(120)
+    assert wh.read("visits").count() == 2
+    (land / "Labs_20250401.csv").write_bytes(b"PATNO,VALUE\n1,3.5\n")
+    q = watch_landing_folder(spark, str(land), wh, checkpoint=ckpt, glob="*.csv")
+    q.awaitTermination(120)
+    assert wh.read("visits").count() == 2          # not loaded twice
+    assert wh.read("labs").count() == 1
+    audit = wh.read("_load_audit").collect()
+    assert sorted(r.table_name for r in audit) == ["labs", "visits"]
+    assert all(r.status == "loaded" for r in audit)
