@@ -92,11 +92,12 @@ class CodeLookup:
     argument or no match gives NULL.
 
     Each lookup is a left join with the (module, item) slice of the
-    de-duplicated code list.  The code list is size-checked once: within
-    ``max_rows`` it is cached (recomputable from lineage if an executor is lost)
-    and every slice is broadcast (one hash probe per row, no shuffle of the
-    fact side); beyond it the joins are left to the planner (shuffle joins,
-    AQE may still broadcast small slices at run time).
+    de-duplicated code list.  The code list is size-checked once, in the job
+    that fills its cache (recomputable from lineage if an executor is lost):
+    within ``max_rows`` every slice is broadcast (one hash probe per row, no
+    shuffle of the fact side); beyond it the cache is dropped and the joins are
+    left to the planner (shuffle joins; AQE may still broadcast small slices at
+    run time).
     """
 
     def __init__(self, code_list: DataFrame, output: str = "code",
@@ -110,10 +111,15 @@ class CodeLookup:
 
     @property
     def small(self) -> bool:
+        """One job: materialise the de-duplicated code list in the cache and
+        count it.  Beyond ``max_rows`` the cache is dropped again."""
         if self._small is None:
-            self._small = self.table.limit(self.max_rows + 1).count() <= self.max_rows
+            cached = self.table.cache()
+            self._small = cached.count() <= self.max_rows
             if self._small:
-                self.table = self.table.cache()
+                self.table = cached
+            else:
+                cached.unpersist()
         return self._small
 
     def add_all(self, df: DataFrame, specs, output: str | None = None) -> DataFrame:
@@ -152,6 +158,7 @@ class CodeLookup:
         """Constant lookups (e.g. the label of code '1' of several items),
         resolved in one small query; one literal Column per key."""
         out = output or self.output
+        _ = self.small  # reads the cached table when it is small
         cond = F.lit(False)
         for module, item, code in keys:
             cond = cond | ((F.col("mod_name") == module) & (F.col("itm_name") == item)

@@ -69,12 +69,16 @@ def _col_stats(df: DataFrame, i: int, name: str, infer_strings: bool):
     p = f"__c{i}_"
     aggs = [F.count(c).alias(p + "nn")]
     if isinstance(dtype, T.StringType) and infer_strings:
-        as_long = c.try_cast("bigint")
-        as_double = c.try_cast("double")
+        # cheap tests first (And short-circuits); numbers are parsed only when
+        # the text has their shape (a failed double parse is costly)
+        looks_int = c.rlike(INT_PATTERN)
+        looks_float = ~looks_int & c.rlike(FLOAT_PATTERN)
+        as_long = F.when(looks_int, c.try_cast("bigint"))
+        as_double = F.when(looks_int | looks_float, c.try_cast("double"))
         aggs += [
-            F.count_if(c.rlike(INT_PATTERN) & as_long.isNotNull()).alias(p + "ni"),
-            F.count_if(c.rlike(FLOAT_PATTERN)).alias(p + "nf"),
-            F.count_if(F.lower(c).isin(*BOOL_WORDS)).alias(p + "nb"),
+            F.count_if(looks_int & as_long.isNotNull()).alias(p + "ni"),
+            F.count_if(looks_float).alias(p + "nf"),
+            F.count_if((F.length(c) <= 5) & F.lower(c).isin(*BOOL_WORDS)).alias(p + "nb"),
             F.min(as_long).alias(p + "mini"), F.max(as_long).alias(p + "maxi"),
             F.min(as_double).alias(p + "minf"), F.max(as_double).alias(p + "maxf"),
         ]

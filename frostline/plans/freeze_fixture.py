@@ -33,13 +33,15 @@ class Freeze:
 
     def __init__(self, spark: SparkSession, df: DataFrame, name: str, label: str | None = None,
                  files: int | None = 4, quote_escape: str = '"', partition_by: str | None = None,
-                 encoding: str = "cp1252", container: str = "zip", member_file: str | None = None):
+                 encoding: str = "cp1252", container: str = "zip", member_file: str | None = None,
+                 members_per_archive: int = 2):
         self.base = scratch_dir(spark, label or name.lower())
         csv_dir = os.path.join(self.base, "csv")
         write_csv_members(as_freeze_text(df), csv_dir, files=files, quote_escape=quote_escape,
                           partition_by=partition_by)
         self.rows = zip_members(spark, csv_dir, os.path.join(self.base, container),
                                 member_file or f"{name}_{FREEZE_DATE}.csv", encoding=encoding,
+                                members_per_archive=members_per_archive,
                                 archive_prefix=name.lower(), container=container).collect()
 
     @property

@@ -79,12 +79,17 @@ def _zip_members(out_dir: str, member_file: str, encoding: str):
     return zip_group
 
 
-def _lines(fh) -> Iterator[str]:
+def _lines(fh, chunk: int = 1 << 20) -> Iterator[str]:
+    """The text of a UTF-8 file in chunks of about ``chunk`` characters."""
     import io
 
     text = io.TextIOWrapper(fh if hasattr(fh, "readable") else io.BufferedReader(fh),
                             encoding="utf-8", newline="")
-    yield from text
+    while True:
+        part = text.read(chunk)
+        if not part:
+            break
+        yield part
 
 
 def zip_members(spark: SparkSession, csv_dir: str, out_dir: str, member_file: str,
