@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .members import open_binary
 
 # Below this many rows a single task is fast enough.
-MIN_ROWS_TO_SPREAD = 100_000
+MIN_ROWS_TO_SPREAD = 250_000
 
 
 def _footer_counts(paths: list[str]) -> tuple[int, int]:
