@@ -97,20 +97,24 @@ PAIR_SCHEMA = T.StructType([
 ])
 
 
-def page_name_pairs(spark, tables: Mapping[str, DataFrame], column_pattern: str = "^pag_name$",
+def page_name_pairs(spark, tables: Mapping[str, DataFrame] | Iterable[tuple[str, DataFrame]],
+                    column_pattern: str = "^pag_name$",
                     excluded_tables: Iterable[str] = PAGE_SEARCH_EXCLUDED_TABLES) -> DataFrame:
     """Union of ``SELECT DISTINCT '<table>' AS table_name, <page col> AS pag_name``
     over every table with a column matching ``column_pattern``.
 
-    ``tables`` is ``{name: DataFrame}`` (see ``sources.catalog.base_tables`` for
-    the catalog form).  No qualifying table gives an empty result.
+    ``tables`` is ``{name: DataFrame}`` or ``(name, DataFrame)`` pairs; pairs
+    allow one name twice (the same table in two schemas), which then appears
+    twice, as in a UNION ALL.  See ``sources.catalog.base_tables`` for the
+    catalog form.  No qualifying table gives an empty result.
     """
     import re
 
     rx = re.compile(column_pattern)
     excluded = set(excluded_tables)
     parts = []
-    for name, df in tables.items():
+    items = tables.items() if isinstance(tables, Mapping) else tables
+    for name, df in items:
         if name in excluded:
             continue
         for col in df.columns:

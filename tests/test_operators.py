@@ -141,3 +141,9 @@ def test_checks(spark):
     hdr = spark.createDataFrame([(" " + "a" * 1024 + " \r\nrow",), ("a,b\nx",)], "t string")
     n, cut = checks.truncated_header(F.col("t"))
     assert [(r[0], r[1]) for r in hdr.select(n, cut).collect()] == [(1024, True), (3, False)]
+
+
+def test_page_name_pairs_same_name_twice(spark):
+    t = spark.createDataFrame([(1, "P1")], "patno int, pag_name string")
+    pairs = inv.page_name_pairs(spark, [("visits", t), ("visits", t)])
+    assert [tuple(r) for r in pairs.collect()] == [("visits", "P1"), ("visits", "P1")]
