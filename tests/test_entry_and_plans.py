@@ -64,3 +64,30 @@ def test_filters_and_columns_reach_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan and "o_orderpriority" in plan
     assert "o_totalprice" not in plan  # pruned: only two columns are read
+
+
+def test_clustered_tables_join_without_shuffle(spark, tmp_path):
+    """Tables bucketed on patno (the clustering the loader declares) let the
+    per-participant aggregate and its join run without any shuffle."""
+    from frostline.plans import bridge
+    from frostline.plans import standins as si
+    from frostline.sinks.warehouse import Warehouse
+
+    t = si.Tables(spark, SF)
+    demo, socio = si.demographics_raw(t)
+    wh = Warehouse(spark, "freeze_cluster_plan", location=str(tmp_path / "wh"))
+    for name, df in (("demographics", demo), ("socio_economics", socio)):
+        wh.create_if_absent(name, df.schema)
+        wh.append(df, name)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the join a big table would get
+    try:
+        view = bridge.demographics(wh.read("demographics"), wh.read("socio_economics"),
+                                   si.code_list_view(t), lookups=si.STANDIN_DEMOGRAPHICS_LOOKUPS,
+                                   race_flags=si.STANDIN_RACE_FLAGS)
+        plan = view._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan
+        assert "hashpartitioning(patno" not in plan and "hashpartitioning(__se_patno" not in plan
+        assert view.count() == demo.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
