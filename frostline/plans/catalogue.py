@@ -18,7 +18,7 @@ from ..functions.scalars import (blanks_to_null, flags_to_tags, mm_yyyy_to_yyyy_
 from ..operators import inventory as inv
 from ..operators.codes import CodeLookup, overlay_code_list, overlay_dictionary
 from ..operators.ordering import pg_sort_keys, with_sort_position
-from . import bridge
+from . import curated
 from . import standins as si
 from .standins import Tables
 
@@ -39,20 +39,20 @@ def query(name: str):
 def view_demographics(spark, sf_dir):
     t = Tables(spark, sf_dir)
     demo, socio = si.demographics_raw(t)
-    return bridge.demographics(demo, socio, si.code_list_view(t),
+    return curated.demographics(demo, socio, si.code_list_view(t),
                                lookups=si.STANDIN_DEMOGRAPHICS_LOOKUPS,
                                race_flags=si.STANDIN_RACE_FLAGS)
 
 
 @query("view_participant_status")
 def view_participant_status(spark, sf_dir):
-    return bridge.participant_status(si.participant_status_raw(Tables(spark, sf_dir)))
+    return curated.participant_status(si.participant_status_raw(Tables(spark, sf_dir)))
 
 
 @query("view_diagnosis_history")
 def view_diagnosis_history(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    return bridge.diagnosis_history(si.diagnosis_history_raw(t), si.code_list_view(t),
+    return curated.diagnosis_history(si.diagnosis_history_raw(t), si.code_list_view(t),
                                     domside_item="SIZE")
 
 
@@ -93,7 +93,7 @@ def fn_one_hot_class(spark, sf_dir):
     labels = ["ASIAN", "BLACK", "HAWOPI", "INDALS", "NOS", "WHITE", "UNKNOWN"]
     cols = ["f_qty", "f_tax", "f_disc", "f_ret", "f_open", "f_small", "f_notax"]
     race = one_hot_class([(F.col(c), F.lit(lbl)) for c, lbl in zip(cols, labels)],
-                         bridge.RACE_NONE, bridge.RACE_MANY)
+                         curated.RACE_NONE, curated.RACE_MANY)
     return li.select("l_orderkey", "l_linenumber", race.alias("race"))
 
 

@@ -1,4 +1,4 @@
-"""Curated ("bridge") views over the loaded freeze tables.
+"""Curated views over the loaded freeze tables.
 
 Each view is a ``DataFrame -> DataFrame`` function over tables with the
 clinical column names.  Lookups are broadcast hash joins on the (small) code

@@ -1,4 +1,4 @@
-"""Publish the curated ("bridge") and metadata views over a loaded warehouse.
+"""Publish the curated and metadata views over a loaded warehouse.
 
 The reference builds views in a second schema that shadow the raw tables'
 names.  Here each view is a session view with the same name, reading the
@@ -17,7 +17,7 @@ from ..operators import inventory as inv
 from ..operators.codes import overlay_code_list, overlay_dictionary
 from ..sinks.warehouse import Warehouse, _lit, _q
 from ..sources.catalog import base_tables, reference_code_list_overlay
-from . import bridge
+from . import curated
 
 # View descriptions.
 VIEW_DESCRIPTIONS = {
@@ -59,13 +59,13 @@ def publish_views(spark: SparkSession, wh: Warehouse, code_list_overlay: DataFra
     if "code_list_v" in out:
         clv = out["code_list_v"]
         if has("demographics") and has("socio_economics"):
-            _publish(bridge.demographics(wh.read("demographics"), wh.read("socio_economics"), clv,
+            _publish(curated.demographics(wh.read("demographics"), wh.read("socio_economics"), clv,
                                          output=lookup_output), "demographics", out)
         if has("pd_diagnosis_history"):
-            _publish(bridge.diagnosis_history(wh.read("pd_diagnosis_history"), clv, output=lookup_output),
+            _publish(curated.diagnosis_history(wh.read("pd_diagnosis_history"), clv, output=lookup_output),
                      "pd_diagnosis_history", out)
     if has("participant_status"):
-        _publish(bridge.participant_status(wh.read("participant_status")), "participant_status", out)
+        _publish(curated.participant_status(wh.read("participant_status")), "participant_status", out)
     pairs = inv.page_name_pairs(spark, base_tables(spark, wh.database))
     _publish(pairs.select("pag_name", "table_name"), "unique_table_pag_name_pairs_v", out)
     _publish(inv.table_pages(pairs), "table_pag_names_v", out)

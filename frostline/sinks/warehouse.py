@@ -1,5 +1,5 @@
 """Warehouse sink: create-if-absent tables, append loads, clustered layout,
-CSV export and published views.
+CSV export and external formats (views are published by ``plans.publish``).
 
 Tables live in a catalog database whose files sit in a shared folder (by
 default under the session's checkpoint folder).  Spark enforces neither keys
@@ -120,16 +120,3 @@ def export_csv(df: DataFrame, path: str, **options: str) -> None:
     names = [clean_sql_name_text(c) for c in df.columns]
     (df.toDF(*names).write.mode("overwrite")
      .options(**{"header": "true", "escape": '"', "quoteAll": "false", **options}).csv(path))
-
-
-# View descriptions (published with the views).
-VIEW_COMMENTS: dict[str, str] = {}
-
-
-def publish_view(df: DataFrame, name: str, comment: str | None = None, database: str | None = None) -> None:
-    """Publish a curated view under ``name`` (replacing an older one); the
-    description goes to ``VIEW_COMMENTS``."""
-    full = f"{database}.{name}" if database else name
-    df.createOrReplaceTempView(name if not database else f"{database}_{name}")
-    if comment:
-        VIEW_COMMENTS[full] = comment

@@ -69,7 +69,7 @@ def test_filters_and_columns_reach_the_scan(spark):
 def test_clustered_tables_join_without_shuffle(spark, tmp_path):
     """Tables bucketed on patno (the clustering the loader declares) let the
     per-participant aggregate and its join run without any shuffle."""
-    from frostline.plans import bridge
+    from frostline.plans import curated
     from frostline.plans import standins as si
     from frostline.sinks.warehouse import Warehouse
 
@@ -82,7 +82,7 @@ def test_clustered_tables_join_without_shuffle(spark, tmp_path):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # force the join a big table would get
     try:
-        view = bridge.demographics(wh.read("demographics"), wh.read("socio_economics"),
+        view = curated.demographics(wh.read("demographics"), wh.read("socio_economics"),
                                    si.code_list_view(t), lookups=si.STANDIN_DEMOGRAPHICS_LOOKUPS,
                                    race_flags=si.STANDIN_RACE_FLAGS)
         plan = view._jdf.queryExecution().executedPlan().toString()

@@ -69,17 +69,17 @@ def _freeze(path):
     header = header + "x" * (1024 - len(header))
     assert len(header) == 1024
     members = {
-        "PPMI/Vital_Signs_20250401.csv":
+        "FREEZE/Vital_Signs_20250401.csv":
             'REC_ID,PATNO,INFODT,WGTKG,NOTE\r\n"R1",1001,04/2025,70.5,"He said \x93fine\x94 \x96 ok"\r\n'
             '"R2",1002,05/2025,,"line one\r\nline two"\r\n"R3",1003,06/2025,80,""\r\n'.encode("latin-1"),
-        "PPMI/Primary_Clinical_Diagnosis_20250401.csv":
+        "FREEZE/Primary_Clinical_Diagnosis_20250401.csv":
             b'REC_ID,COMMENT,X,Y,Z\n"R1","no tremors today. \\\\",,"3",\n',
-        "PPMI/Quoted.csv": b'A,B,C\n"say \\"hi\\"","x ""y""",\n"",z,""\n',
-        "PPMI/Header_Only.csv": b"A,B\n",
-        "PPMI/Bad_Byte.csv": b"A\n\x81\n",
-        "PPMI/Cut_Header.csv": (header + "\n" + ",".join(["1"] * 300) + "\n").encode(),
-        "PPMI/Name Clash.csv": b"A-B,A B\n1,2\n",
-        "PPMI/notes.txt": b"not a table\n",
+        "FREEZE/Quoted.csv": b'A,B,C\n"say \\"hi\\"","x ""y""",\n"",z,""\n',
+        "FREEZE/Header_Only.csv": b"A,B\n",
+        "FREEZE/Bad_Byte.csv": b"A\n\x81\n",
+        "FREEZE/Cut_Header.csv": (header + "\n" + ",".join(["1"] * 300) + "\n").encode(),
+        "FREEZE/Name Clash.csv": b"A-B,A B\n1,2\n",
+        "FREEZE/notes.txt": b"not a table\n",
     }
     # a zip archive named .gz: recognised by content
     with zipfile.ZipFile(path, "w") as zf:
@@ -89,10 +89,10 @@ def _freeze(path):
 
 
 def test_end_to_end_freeze(spark, tmp_path):
-    archive = str(tmp_path / "PPMI_20250401.gz")
+    archive = str(tmp_path / "FREEZE_20250401.gz")
     names = _freeze(archive)
     wh = Warehouse(spark, database="freeze_e2e", location=str(tmp_path / "wh"))
-    audit = load_freeze(spark, wh, archives=[archive], members=names + ["PPMI/missing.csv"],
+    audit = load_freeze(spark, wh, archives=[archive], members=names + ["FREEZE/missing.csv"],
                         options=LoadOptions(workers=2), stage=str(tmp_path / "stage"))
     got = {r.member.split("/")[-1]: r for r in audit.collect()}
     assert got["missing.csv"].status == "not_found"
