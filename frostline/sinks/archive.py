@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.members import find_files, open_binary
+from ..sources.members import find_files, open_binary, open_output
 
 ARCHIVE_SCHEMA = "archive string, member string, source string"
 
@@ -48,8 +48,7 @@ def _file_members(out_dir: str, member_file: str, encoding: str):
             rows = []
             for src, member_dir in zip(pdf["path"], pdf["member_dir"]):
                 target = os.path.join(out_dir, member_dir, member_file)
-                os.makedirs(os.path.dirname(target), exist_ok=True)
-                with open_binary(src) as fin, open(target, "wb") as fout:
+                with open_binary(src) as fin, open_output(target) as fout:
                     for line in _lines(fin):
                         fout.write(line.encode(encoding, errors="replace"))
                 rows.append((None, target, src))
@@ -67,7 +66,8 @@ def _zip_members(out_dir: str, member_file: str, encoding: str):
             for archive, group in pdf.groupby("archive"):
                 rows = []
                 target = os.path.join(out_dir, archive)
-                with zipfile.ZipFile(target, "w", compression=zipfile.ZIP_DEFLATED) as zf:
+                with open_output(target) as raw, \
+                        zipfile.ZipFile(raw, "w", compression=zipfile.ZIP_DEFLATED) as zf:
                     for src, member_dir in zip(group["path"], group["member_dir"]):
                         member = f"{member_dir}/{member_file}" if member_dir else member_file
                         with open_binary(src) as fin, zf.open(member, "w") as fout:
@@ -101,8 +101,6 @@ def zip_members(spark: SparkSession, csv_dir: str, out_dir: str, member_file: st
     Member names are ``<sub-directory>/<part>/<member_file>`` so members stay
     unique; returns ``(archive, member, source)`` (one row per member).
     """
-    if "://" not in out_dir:
-        os.makedirs(out_dir, exist_ok=True)
     files = find_files(spark, csv_dir, recursive=True, glob="*.csv")
     rel = F.regexp_replace(F.col("path"), r"^.*?" + re.escape(csv_dir.rstrip("/")) + "/?", "")
     part = F.regexp_extract(rel, r"(part-\d+)", 1)

@@ -33,6 +33,24 @@ def open_binary(path: str):
     return filesystem.open_input_file(inner)
 
 
+def open_output(path: str):
+    """Open a file for writing: local path, ``file:`` URI or a pyarrow filesystem
+    URI (so executors can write to the shared folder of a cluster)."""
+    import os
+
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+        while path.startswith("//"):
+            path = path[1:]
+    if "://" not in path:
+        os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+        return open(path, "wb")
+    from pyarrow import fs as pafs
+
+    filesystem, inner = pafs.FileSystem.from_uri(path)
+    return filesystem.open_output_stream(inner)
+
+
 def find_files(spark: SparkSession, pattern: str | Sequence[str], recursive: bool = False,
                glob: str | None = None) -> DataFrame:
     """Paths (and sizes) of files under paths/globs; contents are not read."""
