@@ -2,8 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from ..operators import inventory as inv
+from ..operators.codes import overlay_code_list
+from ..sinks.warehouse import Warehouse, export_csv
+from ..sources import csv as csvsrc
+from ..sources.catalog import base_tables, read_overlay_csv
+from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_encode, repair
+from .freeze_fixture import Freeze
+from .load import LoadOptions, load_freeze, scan_staged_table, stage_freeze
 from ..operators import checks
 from ..operators.profile import profile, schema_report
 from . import standins as si
@@ -56,13 +66,7 @@ def chk_truncated_header(spark, sf_dir):
 
 # ------------------------------------------------------------ sources / sinks
 
-from ..sinks.warehouse import Warehouse, export_csv  # noqa: E402
-from ..sources import csv as csvsrc  # noqa: E402
-from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_encode, repair  # noqa: E402
-from .freeze_fixture import Freeze  # noqa: E402
-from .load import LoadOptions, load_freeze, scan_staged_table, stage_freeze  # noqa: E402
 
-import uuid  # noqa: E402
 
 
 def _data_columns(df):
@@ -179,9 +183,6 @@ def log_load_audit(spark, sf_dir):
 
 # ----------------------------------------------------- overlays / catalog search
 
-from ..operators.codes import overlay_code_list  # noqa: E402
-from ..operators import inventory as inv  # noqa: E402
-from ..sources.catalog import base_tables, read_overlay_csv  # noqa: E402
 
 
 @query("overlay_code_list_csv")
