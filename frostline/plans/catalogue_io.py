@@ -13,7 +13,7 @@ from ..sources import csv as csvsrc
 from ..sources.catalog import base_tables, read_overlay_csv
 from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_encode, repair
 from .freeze_fixture import Freeze
-from .load import LoadOptions, load_freeze, scan_staged_table, stage_freeze
+from .load import load_freeze, scan_staged_table, stage_freeze
 from ..operators import checks
 from ..operators.profile import profile, schema_report
 from . import standins as si

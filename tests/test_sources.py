@@ -139,3 +139,16 @@ def test_existing_table_keeps_schema_and_rejects_misfits(spark, tmp_path):
     # the clustered layout is declared for patno
     desc = {row.col_name: row.data_type for row in spark.sql(f"DESCRIBE TABLE EXTENDED {wh.name('t')}").collect()}
     assert "patno" in desc.get("Bucket Columns", "")
+
+
+def test_exclude_pattern(spark, tmp_path):
+    archive = str(tmp_path / "h.zip")
+    with zipfile.ZipFile(archive, "w") as zf:
+        zf.writestr("Visits_20250401.csv", b"PATNO\n1\n")
+        zf.writestr("Visits_Harmonized_20250401.csv", b"PATNO\n1\n")
+    wh = Warehouse(spark, database="freeze_excl", location=str(tmp_path / "wh"))
+    audit = {r.table_name: r.status for r in load_freeze(
+        spark, wh, archives=[archive], options=LoadOptions(exclude_tables=r"_harmonized$"),
+        stage=str(tmp_path / "st")).collect()}
+    assert audit == {"visits": "loaded", "visits_harmonized": "excluded"}
+    assert not wh.exists("visits_harmonized")
