@@ -72,7 +72,7 @@ class _Member:
         self.status = "error"
         hint = ""
         if self.header_length == checks.TRUNCATED_HEADER_LENGTH:
-            hint = "; the header appears to be truncated and the file is likely corrupt"
+            hint = "; a header of exactly this length suggests a truncated, corrupt file"
         self.error = f"{error} (header length {self.header_length}){hint}"
 
     def row(self):
