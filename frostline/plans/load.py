@@ -42,6 +42,7 @@ from ..session import scratch_dir
 from ..sinks.warehouse import CLUSTER_COLUMNS, Warehouse
 from ..sources import csv as csvsrc
 from ..sources import members as msrc
+from ..sources.large_members import stage_large_members
 from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_undefined, repair
 
 AUDIT_SCHEMA = T.StructType([
@@ -89,6 +90,7 @@ class LoadOptions:
     exclude_tables: str | None = None            # regex on table names, e.g. "_harmonized$"
     cluster_by: Sequence[str] = CLUSTER_COLUMNS
     workers: int = 4
+    large_member_bytes: int = 256 << 20           # larger members are streamed, not one row
     extra_csv_options: dict = field(default_factory=dict)
 
 
@@ -143,36 +145,44 @@ def stage_freeze(spark: SparkSession, archives: Sequence[str] | None = None,
                 audit.append(_Member(r["archive"], r["member"], None, "", None, None, False,
                                      "skipped", "not a CSV member"))
             wanted = wanted.filter(F.lower("member").endswith(".csv"))
-        content = msrc.read_archive_members(wanted)
+        small = wanted.filter(F.col("size") <= opts.large_member_bytes)
+        content = msrc.read_archive_members(small)
     elif files:
-        content = msrc.read_local_files(spark, files)
+        wanted = msrc.find_files(spark, files).select(
+            F.lit(None).cast("string").alias("archive"), F.col("path").alias("member"), "size")
+        # binaryFile prunes on length: large files' bytes are never loaded here
+        content = msrc.read_local_files(spark, files, max_bytes=opts.large_member_bytes)
     else:
         raise ValueError("give archives or files")
+    large = wanted.filter(F.col("size") > opts.large_member_bytes)
 
     decoded = decoded_members(content, opts).persist(StorageLevel.MEMORY_AND_DISK)
     text_dir = os.path.join(stage, "text")
     try:
         meta = decoded.select("archive", "member", "table_name", "member_id", "header",
                               "header_length", "undefined").collect()
-        found = [_Member(r["archive"], r["member"], r["table_name"], r["member_id"], r["header"],
-                         r["header_length"], r["undefined"]) for r in meta]
-        for m in found:
-            if m.undefined:
-                m.fail("byte undefined in cp1252")
-            elif not m.table_name:
-                m.fail("member name gives an empty table name")
-            elif opts.exclude_tables and re.search(opts.exclude_tables, m.table_name):
-                m.status, m.error = "excluded", "table excluded by pattern"
-        if any(m.status == "pending" for m in found):
-            # the same rule as above, as an expression: no member list in the plan
+        if any(not r["undefined"] and r["table_name"] for r in meta):
+            # the same rule as below, as an expression: no member list in the plan
             keep = ~F.col("undefined") & F.col("table_name").isNotNull()
             if opts.exclude_tables:
                 keep = keep & ~F.col("table_name").rlike(opts.exclude_tables)
             (decoded.filter(keep)
              .select("table_name", "member_id", "text")
-             .write.partitionBy("table_name", "member_id").text(text_dir))
+             .write.mode("append").partitionBy("table_name", "member_id").text(text_dir))
     finally:
         decoded.unpersist()
+    # members above the row-size bound are streamed into the same layout
+    meta += stage_large_members(large, text_dir, opts.errors, opts.patches,
+                                opts.exclude_tables).collect()
+    found = [_Member(r["archive"], r["member"], r["table_name"], r["member_id"], r["header"],
+                     r["header_length"], r["undefined"]) for r in meta]
+    for m in found:
+        if m.undefined:
+            m.fail("byte undefined in cp1252")
+        elif not m.table_name:
+            m.fail("member name gives an empty table name")
+        elif opts.exclude_tables and re.search(opts.exclude_tables, m.table_name):
+            m.status, m.error = "excluded", "table excluded by pattern"
     return Staged(audit + found, text_dir, stage)
 
 

@@ -1,0 +1,198 @@
+"""Staging of large members as a stream, without holding a member in one row.
+
+Small members are decoded and repaired as Catalyst expressions on one row per
+member (``plans.load.decoded_members``).  A row holds at most 2 GB and a task
+holds its whole member, so members above ``LoadOptions.large_member_bytes`` take
+this path instead: an executor streams the member out of its archive (or file)
+in chunks, decodes cp1252, repairs quotes, strips the text, applies the file
+patches and writes UTF-8 text straight into the same staging layout
+(``table_name=<t>/member_id=<m>/``).  Memory per task is a few chunks.
+
+The steps are the same rules as the expression path, carried across chunk
+boundaries (a pending backslash, pending whitespace, the tail a patch could
+still match), so both paths stage identical text.
+"""
+
+from __future__ import annotations
+
+import codecs
+import contextlib
+import hashlib
+import os
+import re
+import zipfile
+from collections.abc import Iterable, Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import DataFrame
+
+from ..functions.naming import table_name_from_path_text
+from .members import open_binary, open_output
+from .text import C1_UNDEFINED
+
+META_SCHEMA = ("archive string, member string, table_name string, member_id string, "
+               "header string, header_length long, undefined boolean")
+CHUNK = 4 << 20
+_UNDEFINED_BYTES = bytes(ord(c) for c in C1_UNDEFINED)
+_HEADER_WS = " \t\n\x0b\f\r"
+
+
+def member_id(archive: str | None, member: str) -> str:
+    """Same id as the expression path: ``m`` + 20 hex digits of SHA-256."""
+    key = f"{archive or ''}\u0000{member}".encode("utf-8")
+    return "m" + hashlib.sha256(key).hexdigest()[:20]
+
+
+def _decode(chunks: Iterable[bytes], errors: str) -> Iterator[str]:
+    dec = codecs.getincrementaldecoder("cp1252")(
+        errors="strict" if errors == "strict" else errors)
+    for b in chunks:
+        yield dec.decode(b)
+    tail = dec.decode(b"", final=True)
+    if tail:
+        yield tail
+
+
+def _unescape_quotes(parts: Iterable[str]) -> Iterator[str]:
+    """Every backslash-quote becomes a doubled quote (a trailing backslash
+    waits for the next chunk)."""
+    carry = ""
+    for p in parts:
+        s = carry + p
+        carry = ""
+        if s.endswith("\\"):
+            s, carry = s[:-1], "\\"
+        yield s.replace('\\"', '""')
+    if carry:
+        yield carry
+
+
+def _strip(parts: Iterable[str]) -> Iterator[str]:
+    """``str.strip()`` over a stream: leading whitespace dropped, trailing
+    whitespace held back until more text follows."""
+    started = False
+    pending = ""
+    for p in parts:
+        if not started:
+            p = p.lstrip()
+            if not p:
+                continue
+            started = True
+        body = p.rstrip()
+        if body:
+            yield pending + body
+            pending = p[len(body):]
+        else:
+            pending += p
+
+
+def _replace(parts: Iterable[str], old: str, new: str) -> Iterator[str]:
+    """Literal, single-pass, left-to-right replacement across chunk boundaries
+    (replaced text is never searched again, as in a whole-text replace)."""
+    keep = len(old) - 1
+    buf = ""
+    for p in parts:
+        buf += p
+        out = []
+        while True:
+            i = buf.find(old)
+            if i < 0:
+                break
+            out.append(buf[:i])
+            out.append(new)
+            buf = buf[i + len(old):]
+        if len(buf) > keep:
+            cut = len(buf) - keep
+            out.append(buf[:cut])
+            buf = buf[cut:]
+        if out:
+            yield "".join(out)
+    if buf:
+        yield buf
+
+
+def repaired_text(chunks: Iterable[bytes], member: str, errors: str,
+                  patches: Sequence[tuple[str, str, str]]) -> Iterator[str]:
+    parts = _strip(_unescape_quotes(_decode(chunks, errors)))
+    for marker, old, new in patches:
+        if marker in member and old:
+            parts = _replace(parts, old, new)
+    return parts
+
+
+def _chunks(fh) -> Iterator[bytes]:
+    while True:
+        b = fh.read(CHUNK)
+        if not b:
+            return
+        yield b
+
+
+def _has_undefined(open_member) -> bool:
+    with open_member() as fh:
+        for b in _chunks(fh):
+            if any(x in b for x in _UNDEFINED_BYTES):
+                return True
+    return False
+
+
+def _opener(archive: str | None, member: str):
+    @contextlib.contextmanager
+    def open_member():
+        with contextlib.ExitStack() as stack:
+            if archive:
+                fh = stack.enter_context(open_binary(archive))
+                zf = stack.enter_context(zipfile.ZipFile(fh))
+                yield stack.enter_context(zf.open(member))
+            else:
+                yield stack.enter_context(open_binary(member))
+    return open_member
+
+
+def _stage_one(archive: str | None, member: str, text_dir: str, errors: str,
+               patches: Sequence[tuple[str, str, str]], exclude: str | None):
+    open_member = _opener(archive, member)
+    table = None
+    try:
+        table = table_name_from_path_text(member)
+    except ValueError:
+        pass
+    mid = member_id(archive, member)
+    if errors == "strict" and _has_undefined(open_member):
+        return (archive, member, table, mid, None, None, True)
+    if not table:
+        return (archive, member, None, mid, None, None, False)
+    if exclude and re.search(exclude, table):
+        return (archive, member, table, mid, None, None, False)
+    target = os.path.join(text_dir, f"table_name={table}", f"member_id={mid}", "part-large-00000.txt")
+    header_parts: list[str] = []
+    header_done = False
+    with open_member() as fin, open_output(target) as fout:
+        for part in repaired_text(_chunks(fin), member, errors, patches):
+            if not header_done:
+                nl = part.find("\n")
+                header_parts.append(part if nl < 0 else part[:nl])
+                header_done = nl >= 0
+            fout.write(part.encode("utf-8"))
+        fout.write(b"\n")
+    header = "".join(header_parts)
+    if header.endswith("\r"):
+        header = header[:-1]
+    return (archive, member, table, mid, header, len(header.strip(_HEADER_WS)), False)
+
+
+def stage_large_members(members: DataFrame, text_dir: str, errors: str,
+                        patches: Sequence[tuple[str, str, str]],
+                        exclude: str | None = None) -> DataFrame:
+    """Stream each ``(archive, member)`` row into the staging folder; returns
+    one metadata row per member (``META_SCHEMA``).  Lazy: run it with an action."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        cols = ["archive", "member", "table_name", "member_id", "header", "header_length", "undefined"]
+        for pdf in batches:
+            for archive, member in zip(pdf["archive"], pdf["member"]):
+                row = _stage_one(archive if isinstance(archive, str) else None, member,
+                                 text_dir, errors, patches, exclude)
+                yield pd.DataFrame([row], columns=cols).astype({"header_length": "Int64"})
+
+    n = max(1, members.sparkSession.sparkContext.defaultParallelism)
+    return members.select("archive", "member").repartition(n).mapInPandas(run, META_SCHEMA)

@@ -122,8 +122,13 @@ def read_archive_members(listing: DataFrame, partitions: int | None = None) -> D
             .mapInPandas(_read_zip_members, CONTENT_SCHEMA))
 
 
-def read_local_files(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """``(archive=NULL, member=path, content)`` for plain files."""
+def read_local_files(spark: SparkSession, paths: str | Sequence[str],
+                     max_bytes: int | None = None) -> DataFrame:
+    """``(archive=NULL, member=path, content)`` for plain files (at most
+    ``max_bytes`` long, when given; the length filter is applied before any
+    content is read)."""
     files = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
+    if max_bytes is not None:
+        files = files.filter(F.col("length") <= max_bytes)
     return files.select(F.lit(None).cast("string").alias("archive"), F.col("path").alias("member"),
                         "content")

@@ -88,12 +88,16 @@ def _freeze(path):
     return list(members)
 
 
-def test_end_to_end_freeze(spark, tmp_path):
+@pytest.mark.parametrize("large_member_bytes", [256 << 20, 0], ids=["rows", "streamed"])
+def test_end_to_end_freeze(spark, tmp_path, large_member_bytes):
+    """The same freeze loads to the same tables whether members are decoded as
+    rows (Catalyst) or streamed (members above the size bound)."""
     archive = str(tmp_path / "FREEZE_20250401.gz")
     names = _freeze(archive)
-    wh = Warehouse(spark, database="freeze_e2e", location=str(tmp_path / "wh"))
+    wh = Warehouse(spark, database=f"freeze_e2e_{large_member_bytes}", location=str(tmp_path / "wh"))
     audit = load_freeze(spark, wh, archives=[archive], members=names + ["FREEZE/missing.csv"],
-                        options=LoadOptions(workers=2), stage=str(tmp_path / "stage"))
+                        options=LoadOptions(workers=2, large_member_bytes=large_member_bytes),
+                        stage=str(tmp_path / "stage"))
     got = {r.member.split("/")[-1]: r for r in audit.collect()}
     assert got["missing.csv"].status == "not_found"
     assert got["notes.txt"].status == "skipped"
@@ -152,3 +156,26 @@ def test_exclude_pattern(spark, tmp_path):
         stage=str(tmp_path / "st")).collect()}
     assert audit == {"visits": "loaded", "visits_harmonized": "excluded"}
     assert not wh.exists("visits_harmonized")
+
+
+def test_streamed_repair_matches_whole_text():
+    """Chunk boundaries anywhere give the same text as the whole-text rules."""
+    import random
+
+    from frostline.sources import large_members as lm
+
+    rnd = random.Random(7)
+    alphabet = ['a', ' ', '\\', '"', ',', '\n', '\r', 'é', '\t', 'x', 'no tremors today. ']
+    patches = (("Primary_", 'no tremors today. \\"",,"3",', 'no tremors today.",,"3",'), ("Primary_", "a a", "b"))
+    for _ in range(300):
+        text = "".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60)))
+        if rnd.random() < 0.3:
+            text += ' no tremors today. \\\\",,"3",\n '
+        raw = text.encode("cp1252")
+        cuts = sorted(rnd.sample(range(len(raw) + 1), min(len(raw) + 1, rnd.randint(0, 6))))
+        chunks = [raw[a:b] for a, b in zip([0] + cuts, cuts + [len(raw)])]
+        want = text.replace('\\"', '""').strip()
+        for _, old, new in patches:
+            want = want.replace(old, new)
+        got = "".join(lm.repaired_text(iter(chunks), "x/Primary_1.csv", "strict", patches))
+        assert got == want, (text, chunks)
