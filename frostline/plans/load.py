@@ -172,8 +172,9 @@ def stage_freeze(spark: SparkSession, archives: Sequence[str] | None = None,
     finally:
         decoded.unpersist()
     # members above the row-size bound are streamed into the same layout
-    meta += stage_large_members(large, text_dir, opts.errors, opts.patches,
-                                opts.exclude_tables).collect()
+    if large.take(1):
+        meta += stage_large_members(large, text_dir, opts.errors, opts.patches,
+                                    opts.exclude_tables).collect()
     found = [_Member(r["archive"], r["member"], r["table_name"], r["member_id"], r["header"],
                      r["header_length"], r["undefined"]) for r in meta]
     for m in found:
