@@ -272,22 +272,25 @@ def _load_table(spark: SparkSession, wh: Warehouse, table: str, members: list[_M
     good = raw.filter(F.col("member_id").isin(*ok))
     prof_rows = profile(good.select(*[F.col(f"`{c}`") for c in data_cols]), table).collect()
     names = {r["csv_name"]: r["sql_name"] for r in prof_rows}
+    created = False
     if opts.create_tables:
-        schema = T.StructType([T.StructField(r["sql_name"], T._parse_datatype_string(r["spark_type"]), True)
-                               for r in prof_rows])
-        wh.create_if_absent(table, schema, cluster_by=opts.cluster_by)
+        schema = T.StructType.fromDDL(", ".join(f"`{r['sql_name']}` {r['spark_type']}" for r in prof_rows))
+        created = wh.create_if_absent(table, schema, cluster_by=opts.cluster_by)
     target = {f.name: f.dataType for f in wh.schema(table).fields}
     missing = [c for c in data_cols if names[c] not in target]
     if missing:
         raise ValueError(f"columns not in table {table}: {missing}")
     casts = {c: F.col(f"`{c}`").try_cast(target[names[c]]) for c in data_cols}
-    failed = F.lit(False)
-    for c in data_cols:
-        failed = failed | (F.col(f"`{c}`").isNotNull() & casts[c].isNull())
-    bad_members = (good.groupBy("member_id").agg(F.count_if(failed).alias("n_bad"))
-                   .filter("n_bad > 0").collect())
-    for r in bad_members:
-        by_id[r["member_id"]].fail(f"{r['n_bad']} value(s) do not fit the types of table {table}")
+    if not created:
+        # an existing table keeps its types: check every member's values fit
+        # (a new table's types come from this very data, so they always fit)
+        failed = F.lit(False)
+        for c in data_cols:
+            failed = failed | (F.col(f"`{c}`").isNotNull() & casts[c].isNull())
+        bad_members = (good.groupBy("member_id").agg(F.count_if(failed).alias("n_bad"))
+                       .filter("n_bad > 0").collect())
+        for r in bad_members:
+            by_id[r["member_id"]].fail(f"{r['n_bad']} value(s) do not fit the types of table {table}")
     ok = [i for i, m in by_id.items() if m.status == "pending"]
     if ok:
         typed = good.filter(F.col("member_id").isin(*ok)).select(
