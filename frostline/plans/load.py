@@ -91,13 +91,14 @@ class LoadOptions:
     cluster_by: Sequence[str] = CLUSTER_COLUMNS
     workers: int = 4
     large_member_bytes: int = 256 << 20           # larger members are streamed, not one row
+    universal_newlines: bool = True               # CRLF / CR -> LF, as text-mode reads do
     extra_csv_options: dict = field(default_factory=dict)
 
 
 def decoded_members(content: DataFrame, opts: LoadOptions) -> DataFrame:
     """Members with table name, member id, header line and repaired text."""
     text = cp1252_decode("content", opts.errors)
-    fixed = repair(text, F.col("member"), opts.patches)
+    fixed = repair(text, F.col("member"), opts.patches, opts.universal_newlines)
     first = F.regexp_replace(F.substring_index(F.col("text"), "\n", 1), "\r\\z", "")
     return (content
             .select("archive", "member",
@@ -174,7 +175,7 @@ def stage_freeze(spark: SparkSession, archives: Sequence[str] | None = None,
     # members above the row-size bound are streamed into the same layout
     if large.take(1):
         meta += stage_large_members(large, text_dir, opts.errors, opts.patches,
-                                    opts.exclude_tables).collect()
+                                    opts.exclude_tables, opts.universal_newlines).collect()
     found = [_Member(r["archive"], r["member"], r["table_name"], r["member_id"], r["header"],
                      r["header_length"], r["undefined"]) for r in meta]
     for m in found:

@@ -53,6 +53,19 @@ def _decode(chunks: Iterable[bytes], errors: str) -> Iterator[str]:
         yield tail
 
 
+def _newlines(parts: Iterable[str]) -> Iterator[str]:
+    """CRLF and lone CR to LF (a trailing CR waits for the next chunk)."""
+    carry = ""
+    for p in parts:
+        s = carry + p
+        carry = ""
+        if s.endswith("\r"):
+            s, carry = s[:-1], "\r"
+        yield s.replace("\r\n", "\n").replace("\r", "\n")
+    if carry:
+        yield "\n"
+
+
 def _unescape_quotes(parts: Iterable[str]) -> Iterator[str]:
     """Every backslash-quote becomes a doubled quote (a trailing backslash
     waits for the next chunk)."""
@@ -112,8 +125,11 @@ def _replace(parts: Iterable[str], old: str, new: str) -> Iterator[str]:
 
 
 def repaired_text(chunks: Iterable[bytes], member: str, errors: str,
-                  patches: Sequence[tuple[str, str, str]]) -> Iterator[str]:
-    parts = _strip(_unescape_quotes(_decode(chunks, errors)))
+                  patches: Sequence[tuple[str, str, str]], newlines: bool = True) -> Iterator[str]:
+    parts = _decode(chunks, errors)
+    if newlines:
+        parts = _newlines(parts)
+    parts = _strip(_unescape_quotes(parts))
     for marker, old, new in patches:
         if marker in member and old:
             parts = _replace(parts, old, new)
@@ -150,7 +166,7 @@ def _opener(archive: str | None, member: str):
 
 
 def _stage_one(archive: str | None, member: str, text_dir: str, errors: str,
-               patches: Sequence[tuple[str, str, str]], exclude: str | None):
+               patches: Sequence[tuple[str, str, str]], exclude: str | None, newlines: bool):
     open_member = _opener(archive, member)
     table = None
     try:
@@ -168,7 +184,7 @@ def _stage_one(archive: str | None, member: str, text_dir: str, errors: str,
     header_parts: list[str] = []
     header_done = False
     with open_member() as fin, open_output(target) as fout:
-        for part in repaired_text(_chunks(fin), member, errors, patches):
+        for part in repaired_text(_chunks(fin), member, errors, patches, newlines):
             if not header_done:
                 nl = part.find("\n")
                 header_parts.append(part if nl < 0 else part[:nl])
@@ -183,7 +199,7 @@ def _stage_one(archive: str | None, member: str, text_dir: str, errors: str,
 
 def stage_large_members(members: DataFrame, text_dir: str, errors: str,
                         patches: Sequence[tuple[str, str, str]],
-                        exclude: str | None = None) -> DataFrame:
+                        exclude: str | None = None, newlines: bool = True) -> DataFrame:
     """Stream each ``(archive, member)`` row into the staging folder; returns
     one metadata row per member (``META_SCHEMA``).  Lazy: run it with an action."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -191,7 +207,7 @@ def stage_large_members(members: DataFrame, text_dir: str, errors: str,
         for pdf in batches:
             for archive, member in zip(pdf["archive"], pdf["member"]):
                 row = _stage_one(archive if isinstance(archive, str) else None, member,
-                                 text_dir, errors, patches, exclude)
+                                 text_dir, errors, patches, exclude, newlines)
                 yield pd.DataFrame([row], columns=cols).astype({"header_length": "Int64"})
 
     n = max(1, members.sparkSession.sparkContext.defaultParallelism)

@@ -101,6 +101,16 @@ def apply_patches(text, member, patches: Sequence[tuple[str, str, str]] = FILE_P
     return x
 
 
-def repair(text, member, patches: Sequence[tuple[str, str, str]] = FILE_PATCHES) -> Column:
-    """Quote repair, strip, then member-scoped patches (the reference order)."""
-    return apply_patches(repair_quotes(text), member, patches)
+def universal_newlines(text) -> Column:
+    """CRLF and lone CR become LF, as a file opened in text mode reads them, so
+    archive members and plain files give the same text whatever their line
+    endings (also inside quoted fields)."""
+    return F.replace(F.replace(as_col(text), F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+
+
+def repair(text, member, patches: Sequence[tuple[str, str, str]] = FILE_PATCHES,
+           newlines: bool = True) -> Column:
+    """(Newline normalisation,) quote repair, strip, then member-scoped patches
+    (the reference order: newlines are translated when the file is read)."""
+    x = universal_newlines(text) if newlines else as_col(text)
+    return apply_patches(repair_quotes(x), member, patches)

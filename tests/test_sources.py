@@ -35,11 +35,11 @@ def test_cp1252_round_trip(spark):
 
 
 def test_repair_and_patch(spark):
-    raw = '﻿ \n"R1","no tremors today. \\\\",,"3",\n"x \\"y\\""\n '
+    raw = '\ufeff \r\n"R1","no tremors today. \\\\",,"3",\r\n"x \\"y\\""\rz\n '
     df = spark.createDataFrame([(raw, "a/Primary_Clinical_Diagnosis_20250401.csv"),
                                 (raw, "a/Other_20250401.csv")], "t string, m string")
     got = [r[0] for r in df.select(repair(F.col("t"), F.col("m"))).collect()]
-    py = raw.replace('\\"', '""').strip()
+    py = raw.replace("\r\n", "\n").replace("\r", "\n").replace('\\"', '""').strip()
     assert got[1] == py
     assert got[0] == py.replace('no tremors today. \\"",,"3",', 'no tremors today.",,"3",')
     assert '"R1","no tremors today.",,"3",' in got[0]
@@ -174,8 +174,10 @@ def test_streamed_repair_matches_whole_text():
         raw = text.encode("cp1252")
         cuts = sorted(rnd.sample(range(len(raw) + 1), min(len(raw) + 1, rnd.randint(0, 6))))
         chunks = [raw[a:b] for a, b in zip([0] + cuts, cuts + [len(raw)])]
-        want = text.replace('\\"', '""').strip()
+        want = text.replace("\r\n", "\n").replace("\r", "\n").replace('\\"', '""').strip()
         for _, old, new in patches:
             want = want.replace(old, new)
         got = "".join(lm.repaired_text(iter(chunks), "x/Primary_1.csv", "strict", patches))
         assert got == want, (text, chunks)
+        raw_rule = text.replace('\\"', '""').strip()
+        assert "".join(lm.repaired_text(iter(chunks), "x/Other.csv", "strict", (), newlines=False)) == raw_rule
