@@ -178,7 +178,10 @@ def log_load_audit(spark, sf_dir):
     audit = load_freeze(spark, _warehouse(spark), archives=orders.archives + bad.archives + notes.archives,
                         members=everything)
     key = F.regexp_extract("member", r"o_orderpriority=([^/]+)/", 1)
-    return audit.select("table_name", F.when(key != "", key).alias("member_key"), "n_rows", "status")
+    # one row per (table, priority directory, status): members of a directory add up
+    return (audit.select("table_name", F.when(key != "", key).alias("member_key"), "n_rows", "status")
+            .groupBy("table_name", "member_key", "status")
+            .agg(F.sum("n_rows").alias("n_rows")))
 
 
 # ----------------------------------------------------- overlays / catalog search

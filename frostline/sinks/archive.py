@@ -29,10 +29,8 @@ def write_csv_members(df: DataFrame, path: str, files: int | None = None,
     ``quote_escape='\\\\'`` writes quotes inside fields as ``\\"`` (the broken
     style the loader repairs); ``'"'`` writes standard doubled quotes.
     """
-    if partition_by:
-        out = df.repartition(partition_by)
-    else:
-        out = df.repartition(files) if files else df
+    # round-robin: files stay even even when one partition value holds most rows
+    out = df.repartition(files) if files else df
     writer = out.write.mode("overwrite").options(
         header="true", quote='"', escape=quote_escape, lineSep=line_sep, quoteAll="false",
         nullValue="", emptyValue='""', ignoreLeadingWhiteSpace="false",
