@@ -42,7 +42,7 @@ from ..session import scratch_dir
 from ..sinks.warehouse import CLUSTER_COLUMNS, Warehouse
 from ..sources import csv as csvsrc
 from ..sources import members as msrc
-from ..sources.large_members import stage_large_members
+from ..sources.large_members import PART_CHARS, stage_large_members
 from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_undefined, repair
 
 AUDIT_SCHEMA = T.StructType([
@@ -92,6 +92,7 @@ class LoadOptions:
     workers: int = 4
     large_member_bytes: int = 256 << 20           # larger members are streamed, not one row
     universal_newlines: bool = True               # CRLF / CR -> LF, as text-mode reads do
+    part_chars: int = PART_CHARS                  # streamed members are staged in parts this big
     extra_csv_options: dict = field(default_factory=dict)
 
 
@@ -175,7 +176,8 @@ def stage_freeze(spark: SparkSession, archives: Sequence[str] | None = None,
     # members above the row-size bound are streamed into the same layout
     if large.take(1):
         meta += stage_large_members(large, text_dir, opts.errors, opts.patches,
-                                    opts.exclude_tables, opts.universal_newlines).collect()
+                                    opts.exclude_tables, opts.universal_newlines,
+                                    opts.part_chars).collect()
     found = [_Member(r["archive"], r["member"], r["table_name"], r["member_id"], r["header"],
                      r["header_length"], r["undefined"]) for r in meta]
     for m in found:

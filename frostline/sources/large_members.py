@@ -33,6 +33,7 @@ from .text import C1_UNDEFINED
 META_SCHEMA = ("archive string, member string, table_name string, member_id string, "
                "header string, header_length long, undefined boolean")
 CHUNK = 4 << 20
+PART_CHARS = 128 << 20     # staged part size: each part is parsed by its own task
 _UNDEFINED_BYTES = bytes(ord(c) for c in C1_UNDEFINED)
 _HEADER_WS = " \t\n\x0b\f\r"
 
@@ -166,7 +167,8 @@ def _opener(archive: str | None, member: str):
 
 
 def _stage_one(archive: str | None, member: str, text_dir: str, errors: str,
-               patches: Sequence[tuple[str, str, str]], exclude: str | None, newlines: bool):
+               patches: Sequence[tuple[str, str, str]], exclude: str | None, newlines: bool,
+               part_chars: int | None):
     open_member = _opener(archive, member)
     table = None
     try:
@@ -180,26 +182,89 @@ def _stage_one(archive: str | None, member: str, text_dir: str, errors: str,
         return (archive, member, None, mid, None, None, False)
     if exclude and re.search(exclude, table):
         return (archive, member, table, mid, None, None, False)
-    target = os.path.join(text_dir, f"table_name={table}", f"member_id={mid}", "part-large-00000.txt")
-    header_parts: list[str] = []
-    header_done = False
-    with open_member() as fin, open_output(target) as fout:
-        for part in repaired_text(_chunks(fin), member, errors, patches, newlines):
-            if not header_done:
-                nl = part.find("\n")
-                header_parts.append(part if nl < 0 else part[:nl])
-                header_done = nl >= 0
-            fout.write(part.encode("utf-8"))
-        fout.write(b"\n")
-    header = "".join(header_parts)
+    member_dir = os.path.join(text_dir, f"table_name={table}", f"member_id={mid}")
+    writer = _PartWriter(member_dir, part_chars)
+    try:
+        with open_member() as fin:
+            for part in repaired_text(_chunks(fin), member, errors, patches, newlines):
+                writer.write(part)
+    finally:
+        writer.close()
+    header = writer.header
     if header.endswith("\r"):
         header = header[:-1]
     return (archive, member, table, mid, header, len(header.strip(_HEADER_WS)), False)
 
 
+class _PartWriter:
+    """Writes a member's text as one or more part files of about ``part_chars``
+    characters.  A new part starts only after a line break outside quotes
+    (an even number of quote characters so far: after repair every quote
+    inside a field is doubled) and begins with the header line, so each part
+    is a CSV file of whole records that Spark parses in its own task."""
+
+    def __init__(self, member_dir: str, part_chars: int | None):
+        self.member_dir = member_dir
+        self.part_chars = part_chars
+        self.header = ""
+        self.header_done = False
+        self.quotes = 0            # quote characters written so far (parity matters)
+        self.index = 0
+        self.size = 0
+        self.out = None
+        self._open()
+
+    def _open(self):
+        name = f"part-large-{self.index:05d}.txt"
+        self.out = open_output(os.path.join(self.member_dir, name))
+        self.size = 0
+        if self.index > 0:
+            self._emit(self.header + "\n")
+
+    def _emit(self, text: str) -> None:
+        self.out.write(text.encode("utf-8"))
+        self.size += len(text)
+
+    def write(self, text: str) -> None:
+        if not self.header_done:
+            nl = text.find("\n")
+            self.header += text if nl < 0 else text[:nl]
+            self.header_done = nl >= 0
+        splittable = (self.part_chars and self.header_done
+                      and self.header.count('"') % 2 == 0)
+        pos = 0
+        while splittable and self.size + (len(text) - pos) > self.part_chars:
+            # first line break at or after the size target, outside quotes
+            start = max(pos, pos + self.part_chars - self.size)
+            quotes = self.quotes + text.count('"', pos, start)
+            i = text.find("\n", start)
+            while i >= 0 and (quotes + text.count('"', start, i)) % 2:
+                quotes += text.count('"', start, i + 1)
+                start = i + 1
+                i = text.find("\n", start)
+            if i < 0:
+                break
+            self._emit(text[pos:i + 1])
+            self.quotes += text.count('"', pos, i + 1)
+            pos = i + 1
+            self.out.close()
+            self.index += 1
+            self._open()
+        rest = text[pos:]
+        self._emit(rest)
+        self.quotes += rest.count('"')
+
+    def close(self) -> None:
+        if self.out is not None:
+            self._emit("\n")
+            self.out.close()
+            self.out = None
+
+
 def stage_large_members(members: DataFrame, text_dir: str, errors: str,
                         patches: Sequence[tuple[str, str, str]],
-                        exclude: str | None = None, newlines: bool = True) -> DataFrame:
+                        exclude: str | None = None, newlines: bool = True,
+                        part_chars: int | None = PART_CHARS) -> DataFrame:
     """Stream each ``(archive, member)`` row into the staging folder; returns
     one metadata row per member (``META_SCHEMA``).  Lazy: run it with an action."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -207,7 +272,7 @@ def stage_large_members(members: DataFrame, text_dir: str, errors: str,
         for pdf in batches:
             for archive, member in zip(pdf["archive"], pdf["member"]):
                 row = _stage_one(archive if isinstance(archive, str) else None, member,
-                                 text_dir, errors, patches, exclude, newlines)
+                                 text_dir, errors, patches, exclude, newlines, part_chars)
                 yield pd.DataFrame([row], columns=cols).astype({"header_length": "Int64"})
 
     n = max(1, members.sparkSession.sparkContext.defaultParallelism)
