@@ -90,7 +90,7 @@ class LoadOptions:
     exclude_tables: str | None = None            # regex on table names, e.g. "_harmonized$"
     cluster_by: Sequence[str] = CLUSTER_COLUMNS
     workers: int = 4
-    large_member_bytes: int = 256 << 20           # larger members are streamed, not one row
+    large_member_bytes: int = 64 << 20            # larger members are streamed, not one row
     universal_newlines: bool = True               # CRLF / CR -> LF, as text-mode reads do
     part_chars: int = PART_CHARS                  # streamed members are staged in parts this big
     extra_csv_options: dict = field(default_factory=dict)

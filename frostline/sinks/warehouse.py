@@ -70,9 +70,12 @@ class Warehouse:
             keys = ", ".join(_q(c) for c in present)
             layout = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS"
         comment = f" COMMENT {_lit(table_comment)}" if table_comment else ""
+        location = os.path.join(self.location, table)
+        if "://" not in location and not location.startswith("file:"):
+            os.makedirs(location, exist_ok=True)  # an empty table is an empty folder
         self.spark.sql(
             f"CREATE TABLE {self.name(table)} ({cols}) USING parquet{layout}{comment} "
-            f"LOCATION {_lit(os.path.join(self.location, table))}")
+            f"LOCATION {_lit(location)}")
         return True
 
     def schema(self, table: str) -> T.StructType:
