@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import blanks_to_null
 from ..operators import inventory as inv
 from ..operators.codes import overlay_code_list, overlay_dictionary
+from ..operators.ordering import pg_order_by
 from ..sinks.warehouse import Warehouse, _lit, _q
 from ..sources.catalog import base_tables, reference_code_list_overlay
 from . import curated
@@ -30,7 +31,19 @@ VIEW_DESCRIPTIONS = {
 }
 
 
+# The presentation order of the views that declare one
+# (database NULL placement: last on ascending, first on descending keys).
+VIEW_ORDER = {
+    "data_dict_shared_descriptions_v": [("itm_name", "asc"), ("dscr", "desc")],
+    "code_list_summary_v": [("itm_name", "asc")],
+    "code_list_shared_definitions_v": [("itm_name", "asc"), ("n_mod_names", "desc")],
+    "unique_table_pag_name_pairs_v": [("pag_name", "asc"), ("table_name", "asc")],
+}
+
+
 def _publish(df: DataFrame, name: str, published: dict[str, DataFrame]) -> None:
+    if name in VIEW_ORDER:  # metadata-sized views: a final sort for presentation
+        df = pg_order_by(df, VIEW_ORDER[name])
     df.createOrReplaceTempView(name)
     published[name] = df
 

@@ -210,3 +210,17 @@ def test_streamed_member_split_into_parts(spark, tmp_path):
             parts = list((tmp_path / stage / "text").rglob("part-large-*.txt"))
             assert len(parts) > 5
     assert results["rows"] == results["parts"]
+
+
+def test_lenient_decoding_and_append_semantics(spark, tmp_path):
+    archive = str(tmp_path / "b.zip")
+    with zipfile.ZipFile(archive, "w") as zf:
+        zf.writestr("Bad_Byte_20250401.csv", b"A,B\nx\x81y,1\n")
+    wh = Warehouse(spark, database="freeze_lenient", location=str(tmp_path / "wh"))
+    opts = LoadOptions(errors="ignore")
+    first = load_freeze(spark, wh, archives=[archive], options=opts, stage=str(tmp_path / "s1")).first()
+    assert first.status == "loaded"
+    assert [tuple(r) for r in wh.read("bad_byte").collect()] == [("xy", 1)]
+    # loading again appends (the load is not idempotent by design)
+    load_freeze(spark, wh, archives=[archive], options=opts, stage=str(tmp_path / "s2")).collect()
+    assert wh.read("bad_byte").count() == 2
