@@ -9,6 +9,8 @@ shuffled).  The one-row result is turned into one row per column with
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -151,29 +153,44 @@ def spark_type_of(sql_type: Column) -> Column:
             .otherwise(F.lit("string")))
 
 
-def profile(df: DataFrame, table_name: str, infer_strings: bool = True) -> DataFrame:
-    """One row per column of ``df`` (see ``PROFILE_SCHEMA``), in column order."""
-    cols = df.columns
-    names = sql_names(cols)
+# Columns profiled per aggregation pass: keeps one pass's generated code within
+# the JVM's method-size limits for wide tables (parquet reads only the pass's
+# columns, so several passes read the data once in total).
+COLUMNS_PER_PASS = 100
+
+
+def _profile_pass(df: DataFrame, cols: list[str], names: list[str], first: int,
+                  infer_strings: bool) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n_rows")]
     finishers = []
     for i, c in enumerate(cols):
-        a, fin = _col_stats(df, i, c, infer_strings)
+        a, fin = _col_stats(df, first + i, c, infer_strings)
         aggs += a
         finishers.append(fin)
-    one = df.agg(*aggs)
+    one = df.select(*[F.col(f"`{c}`") for c in cols]).agg(*aggs)
     n_rows = F.col("__n_rows")
     structs = []
     for i, (c, n, fin) in enumerate(zip(cols, names, finishers)):
         base, lo, hi, nn = fin(n_rows)
         structs.append(F.struct(
-            F.lit(i + 1).alias("ordinal"), F.lit(c).alias("csv_name"), F.lit(n).alias("sql_name"),
+            F.lit(first + i + 1).alias("ordinal"), F.lit(c).alias("csv_name"), F.lit(n).alias("sql_name"),
             base.alias("base_type"), (nn < n_rows).alias("is_nullable"),
             lo.alias("min_value"), hi.alias("max_value"),
             n_rows.alias("n_rows"), (n_rows - nn).alias("n_nulls")))
-    if not structs:
+    return one.select(F.inline(F.array(*structs)))
+
+
+def profile(df: DataFrame, table_name: str, infer_strings: bool = True,
+            columns_per_pass: int = COLUMNS_PER_PASS) -> DataFrame:
+    """One row per column of ``df`` (see ``PROFILE_SCHEMA``), in column order."""
+    cols = df.columns
+    names = sql_names(cols)
+    if not cols:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
-    rows = one.select(F.inline(F.array(*structs)))
+    passes = [_profile_pass(df, cols[i:i + columns_per_pass], names[i:i + columns_per_pass], i,
+                            infer_strings)
+              for i in range(0, len(cols), columns_per_pass)]
+    rows = reduce(DataFrame.unionByName, passes)
     base_sql = narrow_sql_type(F.col("base_type"), F.col("min_value"), F.col("max_value"))
     return rows.select(
         F.lit(table_name).alias("table_name"), F.col("ordinal").cast("int").alias("ordinal"),

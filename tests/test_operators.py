@@ -147,3 +147,13 @@ def test_page_name_pairs_same_name_twice(spark):
     t = spark.createDataFrame([(1, "P1")], "patno int, pag_name string")
     pairs = inv.page_name_pairs(spark, [("visits", t), ("visits", t)])
     assert [tuple(r) for r in pairs.collect()] == [("visits", "P1"), ("visits", "P1")]
+
+
+def test_profile_wide_table_in_passes(spark):
+    cols = [f"c{i}" for i in range(7)]
+    rows = [tuple(str(i * j) for j in range(7)) for i in range(5)]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    one = [tuple(r) for r in profile(df, "w").collect()]
+    split = [tuple(r) for r in profile(df, "w", columns_per_pass=3).collect()]
+    assert sorted(one) == sorted(split) and len(split) == 7
+    assert sorted(r[1] for r in split) == list(range(1, 8))
