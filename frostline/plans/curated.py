@@ -64,9 +64,13 @@ def code_text(df: DataFrame, name: str) -> Column:
 def demographics(demo: DataFrame, socio: DataFrame, code_list: DataFrame,
                  lookups: Mapping[str, tuple[str, str]] = DEMOGRAPHICS_LOOKUPS,
                  race_flags: Sequence[tuple[str, tuple[str, str]]] = RACE_FLAGS,
-                 output: str = "code") -> DataFrame:
+                 output: str = "code", on_bad_date: str = "error") -> DataFrame:
     """Demographics with coded columns looked up, dates as ``YYYY-MM``, race
-    classified from one-hot flags and the largest ``educyrs`` per participant."""
+    classified from one-hot flags and the largest ``educyrs`` per participant.
+
+    ``on_bad_date``: what a well-formed date with month 00 or 13+ does
+    (``error`` as the reference, ``null`` or ``pass``), see
+    ``functions.scalars.mm_yyyy_to_yyyy_mm``."""
     lk = CodeLookup(code_list, output=output)
     df = lk.add_all(demo, [(f"__lk_{col}", module, item, code_text(demo, col))
                            for col, (module, item) in lookups.items()])
@@ -82,26 +86,27 @@ def demographics(demo: DataFrame, socio: DataFrame, code_list: DataFrame,
         safe_boolean(F.col("__lk_aficberb")).alias("aficberb"),
         safe_boolean(F.col("__lk_ashkjew")).alias("ashkjew"),
         safe_boolean(F.col("__lk_basque")).alias("basque"),
-        mm_yyyy_to_yyyy_mm("birthdt").alias("birthdt"),
+        mm_yyyy_to_yyyy_mm("birthdt", on_bad_date).alias("birthdt"),
         F.col("__lk_sex").alias("sex"),
         F.col("__lk_howlive").alias("gender"),
         F.col("__lk_handed").alias("handed"),
         F.col("__lk_hisplat").alias("ethnicity"),
         race.alias("race"),
-        mm_yyyy_to_yyyy_mm("orig_entry").alias("orig_entry"),
+        mm_yyyy_to_yyyy_mm("orig_entry", on_bad_date).alias("orig_entry"),
         "last_update",
         "educyrs",
     )
 
 
-def participant_status(status: DataFrame, gene_tags: Mapping[str, str] = GENE_TAGS) -> DataFrame:
+def participant_status(status: DataFrame, gene_tags: Mapping[str, str] = GENE_TAGS,
+                       on_bad_date: str = "error") -> DataFrame:
     """Participant status with dates as ``YYYY-MM`` and enrolment flags as a
     sorted gene tag list (NULL when none); ``subgroup`` is a typed NULL."""
     return status.select(
         "patno", "cohort_definition",
-        mm_yyyy_to_yyyy_mm("enroll_date").alias("enroll_date"),
+        mm_yyyy_to_yyyy_mm("enroll_date", on_bad_date).alias("enroll_date"),
         "enroll_status",
-        mm_yyyy_to_yyyy_mm("status_date").alias("status_date"),
+        mm_yyyy_to_yyyy_mm("status_date", on_bad_date).alias("status_date"),
         "screenedam4", "enroll_age", "inexpage", "av133stdy", "taustdy", "gaitstdy", "pistdy",
         "sv2astdy", "datelig", "ppmi_online_enroll",
         flags_to_tags(gene_tags).alias("mutations"),
@@ -111,7 +116,8 @@ def participant_status(status: DataFrame, gene_tags: Mapping[str, str] = GENE_TA
 
 def diagnosis_history(history: DataFrame, code_list: DataFrame,
                       symptom_tags: Mapping[str, str] = SYMPTOM_TAGS,
-                      domside_item: str = DOMSIDE_ITEM, output: str = "code") -> DataFrame:
+                      domside_item: str = DOMSIDE_ITEM, output: str = "code",
+                      on_bad_date: str = "error") -> DataFrame:
     """Diagnosis history: dates as ``YYYY-MM``, symptom flags as tags and the
     dominant side looked up in the module named by each row's ``pag_name``."""
     lk = CodeLookup(code_list, output=output)
@@ -119,10 +125,10 @@ def diagnosis_history(history: DataFrame, code_list: DataFrame,
                 code_text(history, "domside"))
     return df.select(
         "rec_id", "patno", "event_id",
-        mm_yyyy_to_yyyy_mm("infodt").alias("infodt"),
-        mm_yyyy_to_yyyy_mm("sxdt").alias("sxdt"),
-        mm_yyyy_to_yyyy_mm("pddxdt").alias("pddxdt"),
+        mm_yyyy_to_yyyy_mm("infodt", on_bad_date).alias("infodt"),
+        mm_yyyy_to_yyyy_mm("sxdt", on_bad_date).alias("sxdt"),
+        mm_yyyy_to_yyyy_mm("pddxdt", on_bad_date).alias("pddxdt"),
         flags_to_tags(symptom_tags).alias("dx_symptoms"),
         F.col("__lk_domside").alias("domside"),
-        mm_yyyy_to_yyyy_mm("orig_entry").alias("orig_entry"),
+        mm_yyyy_to_yyyy_mm("orig_entry", on_bad_date).alias("orig_entry"),
     )
