@@ -74,7 +74,8 @@ class _Member:
         hint = ""
         if self.header_length == checks.TRUNCATED_HEADER_LENGTH:
             hint = "; a header of exactly this length suggests a truncated, corrupt file"
-        self.error = f"{error} (header length {self.header_length}){hint}"
+        where = f" (header length {self.header_length})" if self.header_length is not None else ""
+        self.error = f"{error}{where}{hint}"
 
     def row(self):
         return (self.archive, self.member, self.table_name, self.n_rows, self.status, self.error,
