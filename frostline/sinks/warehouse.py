@@ -35,11 +35,15 @@ class Warehouse:
     """A catalog database of parquet tables in a shared location."""
 
     def __init__(self, spark: SparkSession, database: str = "freeze", location: str | None = None,
-                 buckets: int = 8):
+                 buckets: int | None = None):
+        """``buckets``: bucket count of clustered tables.  It must be the same
+        for every table (co-located joins need equal counts), so it is one
+        warehouse-wide setting; by default the session's shuffle partition
+        count, which a cluster sizes for its data."""
         self.spark = spark
         self.database = database
         self.location = location or os.path.join(scratch_root(spark), f"{database}.db")
-        self.buckets = buckets
+        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_q(database)} LOCATION {_lit(self.location)}")
 
     def name(self, table: str) -> str:
