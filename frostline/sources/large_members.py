@@ -28,13 +28,11 @@ from pyspark.sql import DataFrame
 
 from ..functions.naming import table_name_from_path_text
 from .members import open_binary, open_output
-from .text import C1_UNDEFINED
 
 META_SCHEMA = ("archive string, member string, table_name string, member_id string, "
                "header string, header_length long, undefined boolean")
 CHUNK = 4 << 20
 PART_CHARS = 128 << 20     # staged part size: each part is parsed by its own task
-_UNDEFINED_BYTES = bytes(ord(c) for c in C1_UNDEFINED)
 _HEADER_WS = " \t\n\x0b\f\r"
 
 
@@ -145,14 +143,6 @@ def _chunks(fh) -> Iterator[bytes]:
         yield b
 
 
-def _has_undefined(open_member) -> bool:
-    with open_member() as fh:
-        for b in _chunks(fh):
-            if any(x in b for x in _UNDEFINED_BYTES):
-                return True
-    return False
-
-
 def _opener(archive: str | None, member: str):
     @contextlib.contextmanager
     def open_member():
@@ -176,8 +166,6 @@ def _stage_one(archive: str | None, member: str, text_dir: str, errors: str,
     except ValueError:
         pass
     mid = member_id(archive, member)
-    if errors == "strict" and _has_undefined(open_member):
-        return (archive, member, table, mid, None, None, True)
     if not table:
         return (archive, member, None, mid, None, None, False)
     if exclude and re.search(exclude, table):
@@ -188,6 +176,10 @@ def _stage_one(archive: str | None, member: str, text_dir: str, errors: str,
         with open_member() as fin:
             for part in repaired_text(_chunks(fin), member, errors, patches, newlines):
                 writer.write(part)
+    except UnicodeDecodeError:
+        # strict decoding met a byte cp1252 leaves undefined: the member is
+        # rejected (its partial staging is never scanned)
+        return (archive, member, table, mid, None, None, True)
     finally:
         writer.close()
     header = writer.header
