@@ -17,6 +17,8 @@ from .members import open_binary
 
 # Below this many rows a single task is fast enough.
 MIN_ROWS_TO_SPREAD = 250_000
+# Footers are read on the driver only for inputs of at most this many files.
+MAX_FILES_TO_INSPECT = 32
 
 
 def _footer_counts(paths: list[str]) -> tuple[int, int]:
@@ -37,8 +39,8 @@ def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFra
         return df
     parallelism = spark.sparkContext.defaultParallelism
     files = df.inputFiles()
-    if len(files) >= parallelism:
-        return df
+    if len(files) >= min(parallelism, MAX_FILES_TO_INSPECT):
+        return df  # enough files to split on, or too many footers to read here
     groups, rows = _footer_counts(files)
     if groups >= parallelism or rows < MIN_ROWS_TO_SPREAD:
         return df
