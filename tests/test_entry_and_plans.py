@@ -91,3 +91,40 @@ def test_clustered_tables_join_without_shuffle(spark, tmp_path):
         assert view.count() == demo.count()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_participant_is_split_by_skew_join(spark):
+    """One patno holding a third of the rows: the per-participant join is a
+    sort-merge join that AQE splits (skew join), and the result stays whole."""
+    from pyspark.sql import functions as F
+
+    from frostline.functions.scalars import round_half_even_smallint
+
+    n = 30000
+    demo = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("patno"),
+        F.col("id").alias("rec"))
+    socio = spark.range(n).select(F.col("id").alias("patno"), (F.col("id") / 4).alias("educyrs"))
+    educ = (socio.groupBy("patno").agg(F.max(round_half_even_smallint("educyrs")).alias("educyrs"))
+            .withColumnRenamed("patno", "se_patno"))
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k, v in keys.items():
+            spark.conf.set(k, v)
+        joined = demo.join(educ, demo["patno"] == educ["se_patno"], "left")
+        assert len(joined.collect()) == n          # runs this plan; AQE finalises it
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "isFinalPlan=true" in plan
+        assert "SortMergeJoin(skew=true)" in plan
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
