@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.load import LoadOptions, load_freeze
 from ..session import scratch_root
@@ -31,8 +32,14 @@ def watch_landing_folder(spark: SparkSession, folder: str, warehouse: Warehouse,
         names = [r.path for r in batch.collect()]  # one short row per new file
         if not names:
             return
+        # a batch whose audit is already written finished before its commit was
+        # recorded (the stream replays it): skip it instead of loading twice
+        if warehouse.exists(audit_table) and (
+                warehouse.read(audit_table).filter(F.col("batch_id") == batch_id).limit(1).count()):
+            return
         kw = {"archives": names} if archives else {"files": names}
-        audit = load_freeze(spark, warehouse, options=options, **kw)
+        audit = load_freeze(spark, warehouse, options=options, **kw).withColumn(
+            "batch_id", F.lit(batch_id).cast("bigint"))
         warehouse.create_if_absent(audit_table, audit.schema, cluster_by=())
         warehouse.append(audit, audit_table)
 

@@ -21,3 +21,4 @@ def test_landing_folder(spark, tmp_path):
     audit = wh.read("_load_audit").collect()
     assert sorted(r.table_name for r in audit) == ["labs", "visits"]
     assert all(r.status == "loaded" for r in audit)
+    assert sorted(r.batch_id for r in audit) == [0, 1]
