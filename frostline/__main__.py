@@ -2,7 +2,8 @@
 
   load      load a freeze (zip archives or CSV files) into a warehouse database
   describe  print the inferred schema report of every table of a freeze
-  views     publish the curated and metadata views and list them
+  views     publish the curated and metadata views, list them, and set column
+            comments from the data dictionary
 
 Runs in the current Spark environment (``spark-submit -m``-style launchers or a
 plain ``python`` with a local session); cluster settings come from there.
@@ -45,12 +46,16 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = _session()
     if args.command == "views":
-        from .plans.publish import VIEW_DESCRIPTIONS, publish_views
+        from .functions.scalars import blanks_to_null
+        from .plans.publish import VIEW_DESCRIPTIONS, apply_dictionary_comments, publish_views
 
-        views = publish_views(spark, Warehouse(spark, args.database),
-                              lookup_output="decode" if args.labels else "code")
+        wh = Warehouse(spark, args.database)
+        views = publish_views(spark, wh, lookup_output="decode" if args.labels else "code")
         for name in views:
             print(name + (f"  -- {VIEW_DESCRIPTIONS[name]}" if name in VIEW_DESCRIPTIONS else ""))
+        if wh.exists("data_dictionary_annotated"):
+            n = apply_dictionary_comments(spark, wh, blanks_to_null(wh.read("data_dictionary_annotated")))
+            print(f"{n} column comment(s) set from the data dictionary")
         return 0
 
     archives = args.zip_file or None
