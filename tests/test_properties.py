@@ -47,3 +47,24 @@ def test_external_format_sink(spark, tmp_path):
     target = str(tmp_path / "out")
     write_format(df, "json", target, mode="overwrite")
     assert sorted(tuple(r) for r in spark.read.json(target).select("id", "v").collect()) == [(1, "a"), (2, None)]
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.one_of(st.none(), st.integers(-3, 3)),
+                               st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))),
+                     min_size=1, max_size=40))
+def test_sort_positions_match_database_order(spark, rows):
+    from frostline.operators.ordering import pg_sort_keys, with_sort_position
+
+    data = [(i, a, b) for i, (a, b) in enumerate(rows)]
+    df = spark.createDataFrame(data, "id int, a int, b string").repartition(3)
+    got = with_sort_position(df, pg_sort_keys([("a", "asc"), ("b", "desc"), ("id", "asc")]), "pos")
+    by_pos = [r.id for r in got.orderBy("pos").collect()]
+
+    def key(r):  # ascending: NULLs last; descending: NULLs first
+        _, a, b = r
+        return ((a is None, a if a is not None else 0),
+                (b is not None, "".join(chr(255 - ord(ch)) for ch in (b or ""))), r[0])
+
+    assert by_pos == [r[0] for r in sorted(data, key=key)]
+    assert sorted(r.pos for r in got.collect()) == list(range(1, len(data) + 1))
