@@ -41,7 +41,10 @@ class Tables:
         return self._cache[name]
 
     def all(self) -> dict[str, DataFrame]:
-        return {n: self(n) for n in self.NAMES}
+        """Every table as scanned (no spreading: used where only a few columns
+        of each table are read, e.g. the page-name search)."""
+        return {n: read_parquet(self.spark, f"{self.sf_dir}/{n}.parquet", spread=False)
+                for n in self.NAMES}
 
 
 def mm_yyyy(c) -> Column:
