@@ -31,6 +31,17 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir)).select("doc_id", "fingerprint", "component_id")
 
 
+@query
+def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .bpe_chunks import encode_documents
+
+    coded = encode_documents(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select("doc_id", "n_tokens", F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import dedup_substrings

@@ -65,7 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", ou
             values = np.concatenate(made) if made else np.empty(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns[:kept], pa.array(values)], names=[f.name for f in fields])
 
-    return docs.select(*(F.col(f"`{c}`") for c in carry), F.col(text).alias("_text")).mapInArrow(run, T.StructType(fields))
+    return docs.select(*(F.col(f"`{c}`") for c in carry), F.col(text).alias("__text")).mapInArrow(run, T.StructType(fields))
 
 
 def _simhash(texts: list[bytes], shingle: int) -> np.ndarray:
@@ -203,11 +203,11 @@ def one_of_each(docs: DataFrame, shingle: int = SHINGLE, max_distance: int = MAX
     alike in every column one stays.
     """
     columns = docs.columns
-    marked = docs.withColumn("_row", F.xxhash64(*(F.col(f"`{c}`") for c in columns)))
-    found = near_duplicates(marked, shingle, max_distance, text=text, doc_id=doc_id, carry=["_row"])
+    marked = docs.withColumn("__row_hash", F.xxhash64(*(F.col(f"`{c}`") for c in columns)))
+    found = near_duplicates(marked, shingle, max_distance, text=text, doc_id=doc_id, carry=["__row_hash"])
     first = found.groupBy("component").agg(F.min(F.struct(F.col(doc_id).isNull().alias("none"), F.col(doc_id).alias("id"),
-                                                          F.col("_row").alias("row"))).alias("first"))
+                                                          F.col("__row_hash").alias("row"))).alias("first"))
     keep = first.select(F.col("first.id").alias("_keep_id"), F.col("first.row").alias("_keep_row"))
-    same = F.col(doc_id).eqNullSafe(F.col("_keep_id")) & (F.col("_row") == F.col("_keep_row"))
+    same = F.col(doc_id).eqNullSafe(F.col("_keep_id")) & (F.col("__row_hash") == F.col("_keep_row"))
     kept = marked.join(keep, same, "left_semi")
-    return kept.dropDuplicates([doc_id, "_row"]).select(*(F.col(f"`{c}`") for c in columns))
+    return kept.dropDuplicates([doc_id, "__row_hash"]).select(*(F.col(f"`{c}`") for c in columns))
