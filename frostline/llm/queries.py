@@ -50,6 +50,18 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from ..session import scratch_dir
+    from .token_files import read_token_files, write_token_files
+
+    files = write_token_files(documents(spark, sf_dir), scratch_dir(spark, "tokens"),
+                              public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return read_token_files(spark, files, tokens=False)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
