@@ -42,6 +42,8 @@ from .pieces import Pieces, pieces_of
 #: Mean words in a chunk (a power of two) and words under the rolling hash.
 CHUNK_WORDS = 64
 WINDOW = 3
+#: Entries of a worker's memo of words; blocks and their ids are in memory beside it.
+MEMO = 700_000
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -101,7 +103,7 @@ def _keys(block: int, rows: bytes) -> Iterator[pa.RecordBatch]:
 
 def _encode_shared(rows: bytes, back: list | None, tokenizer: str, narrow: bool) -> Iterator[pa.RecordBatch]:
     wanted = {bytes(a["key"]) for a in back or ()}
-    pieces = pieces_of(tokenizer)
+    pieces = pieces_of(tokenizer, MEMO)
     if not wanted:
         return
     for _, words, begins in _runs(B.unpack(rows)):
@@ -119,7 +121,7 @@ def _encode_shared(rows: bytes, back: list | None, tokenizer: str, narrow: bool)
 
 def _encode_all(rows: bytes, back: list | None, tokenizer: str, narrow: bool) -> Iterator[pa.RecordBatch]:
     table = B.unpack(rows)
-    pieces = pieces_of(tokenizer)
+    pieces = pieces_of(tokenizer, MEMO)
     shared = {bytes(a["key"]): a["ids"] for a in back or ()}
     if narrow:
         shared = {k: np.frombuffer(v, "<u2").astype("<i4").tobytes() for k, v in shared.items()}

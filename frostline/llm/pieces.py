@@ -5,29 +5,43 @@ library spends the same time on each.  A worker therefore encodes each distinct
 piece once, as long as its memo has room, and joins the ids of the pieces.
 
 A *piece* must be a stretch of text that the tokenizer encodes alike on its own
-and in its place; the callers choose the cuts so that this holds.
+and in its place; the callers choose the cuts so that this holds.  Within a
+piece two more rules save work, each only if the tokenizer was seen to obey it:
+a full stop or comma that ends the piece after an ASCII letter is encoded apart,
+and ASCII letters may be put in lower case.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Sequence
-
-import numpy as np
+from array import array
+from collections.abc import Iterable, Sequence
 
 # Entries a worker's memo may hold (about 200 bytes each).
-MEMO_PIECES = 400_000
+MEMO_PIECES = 1_200_000
+_TAILS = (".", ",")
 
 _LOADED: dict[str, "Pieces"] = {}
 
 
-def pieces_of(path: str) -> "Pieces":
+def pieces_of(path: str, most: int = MEMO_PIECES) -> "Pieces":
     """The worker's memo for a tokenizer file; it lives as long as the worker."""
     if path not in _LOADED:
-        _LOADED[path] = Pieces(path)
+        _LOADED[path] = Pieces(path, most)
     return _LOADED[path]
 
 
+class _Memo(dict):
+    """Pieces that stay, and ``passing`` ones of the texts at hand for which there was no room."""
+
+    def __init__(self):
+        super().__init__()
+        self.passing: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        return self.passing[piece]
+
+
 class Pieces:
     def __init__(self, path: str, most: int = MEMO_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -37,25 +51,43 @@ class Pieces:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.most = most
-        self.memo: dict[str, bytes] = {}
+        self.memo = _Memo()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        whole, a, b, c = self.encode(["Bee, 'twas.", "Bee", ", 'twas", "."])
+        self.cut_tails = whole == a + b + c
+        upper, lower = self.encode(["BEE's Sting", "bee's sting"])
+        self.fold = upper == lower
 
     def encode(self, texts: Sequence[str]) -> list[list[int]]:
         found = self.tokenizer.encode_batch_fast(list(texts), add_special_tokens=False)
         return [e.ids for e in found]
 
-    def learn(self, pieces: Sequence[str]) -> dict[str, bytes]:
+    def learn(self, pieces: Iterable[str]) -> _Memo:
         """A mapping that has each of the pieces: ids as little-endian 32-bit integers."""
         memo = self.memo
-        new = [p for p in set(pieces) if p not in memo]
+        new = set(pieces).difference(memo)
+        memo.passing = {}
         if not new:
             return memo
-        coded = zip(new, (np.array(ids, dtype="<i4").tobytes() for ids in self.encode(new)))
-        if len(memo) + len(new) <= self.most:
-            memo.update(coded)
-            return memo
-        known = {p: memo[p] for p in set(pieces) if p in memo}
-        known.update(coded)
-        return known
+        made = {p: self._simpler(p) for p in new}
+        plain = [p for p in {q for parts in made.values() for q in parts} if p not in memo]
+        self._keep({p: array("i", ids).tobytes() for p, ids in zip(plain, self.encode(plain))})
+        self._keep({p: b"".join([memo[q] for q in parts]) for p, parts in made.items() if parts != (p,)})
+        return memo
+
+    def _simpler(self, piece: str) -> tuple[str, ...]:
+        if self.fold and piece.isascii():
+            low = piece.lower()
+            if low != piece and not any(t in low for t in self.added):
+                piece = low
+        if self.cut_tails and piece.endswith(_TAILS) and len(piece) > 1 and "A" <= piece[-2] <= "z" and piece[-2].isalpha():
+            return piece[:-1], piece[-1]
+        return (piece,)
+
+    def _keep(self, coded: dict[str, bytes]) -> None:
+        place = self.memo if len(self.memo) + len(coded) <= self.most else self.memo.passing
+        place.update(coded)
 
-    def joined(self, pieces: Sequence[str], known: dict[str, bytes]) -> bytes:
+    @staticmethod
+    def joined(pieces: Sequence[str], known: _Memo) -> bytes:
         return b"".join(map(known.__getitem__, pieces))

@@ -23,6 +23,7 @@ table gives no file and no rows.  Other columns are not stored.
 
 from __future__ import annotations
 
+import itertools
 import re
 import struct
 import uuid
@@ -31,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -39,6 +41,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 from .elias_fano import EliasFano
 from .pieces import Pieces, pieces_of
+from .words import groups_of
 
 #: Text bytes that go into one file (about 2/3 of that in ids of two bytes).
 FILE_TEXT_BYTES = 16 << 20
@@ -86,10 +89,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         ends, ids, nulls, out = [np.zeros(1, np.int64)], [], 0, None
         known = pieces_of(tokenizer)
         for batch in batches:
-            for part in range(0, batch.num_rows, 256):
-                of = batch.slice(part, 256)
-                if not of.num_rows:
-                    continue
+            sizes = [1 + (n or 0) for n in pc.binary_length(batch.column(1)).to_pylist()]
+            for a, b in groups_of(sizes, 4 << 20):
+                of = batch.slice(a, b - a)
                 if out is None:
                     fs.create_dir(place, recursive=True)
                     out = fs.open_output_stream(own)
@@ -120,8 +122,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
 def _encoded(texts: list[str | None], pieces: Pieces, end_id: int, width: int) -> tuple[bytes, np.ndarray]:
     """The ids of the texts, each with the end id, and how many each has."""
-    cut = [_PIECE.findall(t) if t and not _OTHER_SPACE.search(t) else [t] if t else [] for t in texts]
-    known = pieces.learn([p for c in cut for p in c])
+    other = _OTHER_SPACE.search
+    cut = [_PIECE.findall(t) if t and not other(t) else [t] if t else [] for t in texts]
+    known = pieces.learn(itertools.chain.from_iterable(cut))
     end = np.array([end_id], dtype="<i4").tobytes()
     parts = [pieces.joined(c, known) + end for c in cut]
     lengths = np.array([len(p) // 4 for p in parts], dtype=np.int64)

@@ -137,13 +137,14 @@ class Texts:
         return np.arange(n) + k <= last[:n]
 
 
-def groups_of(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of consecutive texts of about ``most`` bytes together."""
+def groups_of(items: list, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of consecutive texts, or sizes of texts, of about ``most`` bytes together."""
     begin, size = 0, 0
-    for i, t in enumerate(texts):
-        if size and size + len(t) > most:
+    for i, item in enumerate(items):
+        n = item if isinstance(item, int) else len(item) + 1
+        if size and size + n > most:
             yield begin, i
             begin, size = i, 0
-        size += len(t) + 1
-    if begin < len(texts):
-        yield begin, len(texts)
+        size += n
+    if begin < len(items):
+        yield begin, len(items)
