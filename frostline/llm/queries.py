@@ -62,6 +62,38 @@ def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_token_files(spark, files, tokens=False)
 
 
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import judge
+
+    return judge(documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .url_filter import RULES, judge_urls
+
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    return judge_urls(pages, RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .topk import top_k
+
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    return top_k(vectors, vectors.where("vec_id % 50 = 0"), k=5)
+
+
+@query
+def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .mixing import mix
+
+    return mix(documents(spark, sf_dir, "doc_id", "source", "text")).select(
+        "doc_id", "size", "source_size", "target", "taken")
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
