@@ -50,6 +50,13 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .language_id import identify
+
+    return identify(documents(spark, sf_dir, "doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
+
+
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
