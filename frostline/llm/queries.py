@@ -42,6 +42,13 @@ def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@query
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .license_scan import scan
+
+    return scan(documents(spark, sf_dir))
+
+
 @query
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .substring import dedup_substrings
@@ -101,6 +108,13 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
