@@ -40,6 +40,8 @@ from ..session import ensure_checkpoint_dir
 PIVOTS = 48
 SAMPLE = 4096
 ANNULI = 24
+#: The last annulus is open: it holds all that lies further out.
+LAST = 4 * ANNULI - 1
 CELL_ROWS = 2048
 QUERY_ROWS = 512
 # Distances are compared with a little slack, for they are rounded; scores are exact.
@@ -52,11 +54,12 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec
     ensure_checkpoint_dir(vectors.sparkSession)
     base = _integers(vectors, vec_id, vector).checkpoint()
     asked = _integers(queries, vec_id, vector).checkpoint()
-    stats = base.agg(F.max("dim").alias("dim"), F.max("square").alias("square")).first()
+    stats = base.agg(F.max("dim").alias("dim"), F.max("square").alias("square"), F.count(F.lit(1)).alias("n")).first()
     wide = asked.agg(F.max("dim").alias("dim"), F.count(F.lit(1)).alias("n")).first()
     dim = max(stats["dim"] or 0, wide["dim"] or 0, 1)
     longest = float(stats["square"] or 0.0)
-    sample = [_padded(r["vec"], dim) for r in base.orderBy(F.xxhash64("id")).limit(SAMPLE).collect()]
+    drawn = F.pmod(F.xxhash64("id"), F.lit(max(1, stats["n"] // SAMPLE))) == 0  # about SAMPLE rows, over all tasks
+    sample = [_padded(r["vec"], dim) for r in base.where(drawn).orderBy(F.xxhash64("id"), "id").limit(SAMPLE).collect()]
     pivots, width = _pivots(sample, longest, dim)
 
     cells = _cells(_keyed(base, pivots, width, longest, dim)).checkpoint()
@@ -132,7 +135,7 @@ def _keyed(base: DataFrame, pivots: np.ndarray, width: float, longest: float, di
                 part = batch.slice(a, CELL_ROWS)
                 away = _distances(_lifted(_matrix(part.column(1).to_pylist(), dim), longest), pivots)
                 pivot = away.argmin(axis=1)
-                ring = np.floor(away[np.arange(len(pivot)), pivot] / width)
+                ring = np.minimum(np.floor(away[np.arange(len(pivot)), pivot] / width), LAST)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(pivot, pa.int32()), pa.array(ring.astype(np.int64))],
                                                  names=["id", "vec", "pivot", "ring"])
 
@@ -143,7 +146,8 @@ def _cells(keyed: DataFrame) -> DataFrame:
     """``pivot, ring, members``: packed rows of bounded size; an annulus of many vectors has several."""
     keyed = keyed.checkpoint()
     many = keyed.groupBy("pivot", "ring").agg(F.ceil(F.count(F.lit(1)) / CELL_ROWS).alias("parts"))
-    return (keyed.join(many, ["pivot", "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    # PIVOTS * (LAST + 1) rows at most; joined by broadcast, so that a full annulus stays spread over tasks.
+    return (keyed.join(F.broadcast(many), ["pivot", "ring"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
             .groupBy("pivot", "ring", "part").agg(F.collect_list(F.struct("id", "vec")).alias("members")))
 
 
@@ -173,7 +177,7 @@ def _visits(asked: DataFrame, least: str | None, pivots: np.ndarray, width: floa
                 low = np.floor((away - reach[:, None]) / width).ravel()
                 high = np.floor((away + reach[:, None]) / width).ravel()
             bound = float(1 << 60)
-            low, high = np.nan_to_num(low, nan=-bound), np.nan_to_num(high, nan=bound)
+            low, high = np.minimum(np.nan_to_num(low, nan=-bound), LAST), np.nan_to_num(high, nan=bound)
             taken = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(pivot, pa.int32()), pa.array(np.clip(low, -bound, bound).astype(np.int64)),
