@@ -65,7 +65,7 @@ class Pieces:
     def learn(self, pieces: Iterable[str]) -> _Memo:
         """A mapping that has each of the pieces: ids as little-endian 32-bit integers."""
         memo = self.memo
-        new = set(pieces).difference(memo)
+        new = [p for p in set(pieces) if p not in memo]  # never walks the memo
         memo.passing = {}
         if not new:
             return memo
