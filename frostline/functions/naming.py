@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from ._util import as_col
 
-# The cleaning patterns and the freeze date suffix.
-NON_NAME_CHARS = "[^a-z0-9_]+"
-UNDERSCORE_RUNS = "_+"
+# What cannot stand in a name (an underscore parts words like any
+# other character) and the freeze date suffix.
+SEPARATOR = "[^a-z0-9]+"
 DATE_SUFFIX = "_[0-9]{8}"
 DSCR_SEPARATORS = "[- ]"
 DSCR_DROPPED = "[()]"
@@ -20,24 +20,20 @@ DSCR_DROPPED = "[()]"
 
 def clean_sql_name_text(name: str) -> str:
     """Header twin of :func:`clean_sql_name`; raises when nothing is left."""
-    cleaned = re.sub(NON_NAME_CHARS, "_", name.lower())
-    cleaned = re.sub(UNDERSCORE_RUNS, "_", cleaned).strip("_")
-    if not cleaned:
-        raise ValueError(f"cannot turn {name!r} into a legal SQL name")
-    return cleaned
+    words = [w for w in re.split(SEPARATOR, name.lower()) if w]
+    if words:
+        return "_".join(words)
+    raise ValueError(f"no letter or digit to name anything by in {name!r}")
 
 
 def clean_sql_name(c) -> Column:
-    """Lower case, runs of other characters to one ``_``, ends stripped.
+    """The words of a name (letters and digits) in lower case, joined by ``_``.
 
-    An empty result is NULL here (a data column cannot raise per row without
-    failing the job); the header twin raises instead.
+    A name without words is NULL here (a data column cannot raise per row
+    without failing the job); the header twin raises instead.
     """
-    x = F.lower(as_col(c))
-    x = F.regexp_replace(x, NON_NAME_CHARS, "_")
-    x = F.regexp_replace(x, UNDERSCORE_RUNS, "_")
-    x = F.btrim(x, F.lit("_"))
-    return F.nullif(x, F.lit(""))
+    words = F.split(F.lower(as_col(c)), SEPARATOR)
+    return F.nullif(F.array_join(F.array_remove(words, ""), "_"), F.lit(""))
 
 
 def path_stem(c) -> Column:
