@@ -64,14 +64,16 @@ def main(argv: list[str] | None = None) -> int:
                        create_tables=not getattr(args, "no_create", False))
     if args.command == "describe":
         from .operators.profile import profile, schema_report
+        from .sources.csv import CORRUPT
+        from .sources.staging import MEMBER_ID
 
         staged = stage_freeze(spark, options=opts, **kw)
         for table in sorted(staged.tables()):
             raw = scan_staged_table(spark, staged, table, opts)
             if raw is not None:
                 print(f"-- schema inferred for {table}")
-                schema_report(profile(raw.drop("member_id", "_corrupt_record"), table)).show(
-                    1000, truncate=False)
+                report = schema_report(profile(raw.drop(MEMBER_ID, CORRUPT), table)).toPandas()
+                print(report.to_string(index=False))
         return 0
 
     audit = load_freeze(spark, Warehouse(spark, args.database), options=opts, **kw)

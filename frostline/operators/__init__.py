@@ -6,12 +6,11 @@ from .codes import CodeLookup, overlay_code_list, overlay_dictionary
 from .inventory import (ambiguous_items, code_list_shared, code_list_summary, code_list_variable,
                         mod_item_summary, page_name_pairs, page_tables, shared_descriptions,
                         table_pages)
-from .joins import bounded_broadcast
 from .ordering import pg_order_by, pg_sort_keys, with_sort_position
 from .profile import profile, schema_report
 
 __all__ = [
-    "CodeLookup", "ambiguous_items", "bounded_broadcast", "code_list_shared", "code_list_summary",
+    "CodeLookup", "ambiguous_items", "code_list_shared", "code_list_summary",
     "code_list_variable", "mod_item_summary", "not_null_violations", "overlay_code_list",
     "overlay_dictionary", "page_name_pairs", "page_tables", "pg_order_by", "pg_sort_keys",
     "primary_key_violations", "profile", "schema_report", "shared_descriptions", "table_pages",

@@ -2,20 +2,21 @@
 
 A code list is ``(mod_name, itm_name, code) -> decode, mapping_notes``; a data
 dictionary is ``(mod_name, itm_name) -> dscr, mapping_notes``.  Both are small
-metadata tables, so lookups are broadcast hash joins behind a row bound: one
-hash probe per row, no shuffle of the fact side.
+metadata tables; a lookup is a join, broadcast behind a bound on bytes.
+A loaded code list may hold typed codes (all digits): keys are compared as text.
 """
 
 from __future__ import annotations
 
 import itertools
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions._util import as_col
-from .joins import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from ..functions.scalars import number_text
 
 CODE_LIST_SCHEMA = T.StructType([
     T.StructField("mod_name", T.StringType(), False),
@@ -32,6 +33,9 @@ DICTIONARY_SCHEMA = T.StructType([
     T.StructField("mapping_notes", T.StringType(), True),
 ])
 
+#: Bytes of a code list whose slices may be broadcast.
+BROADCAST_BYTES = 64 << 20
+
 _ids = itertools.count()
 
 
@@ -45,16 +49,23 @@ def _tmp(label: str) -> str:
     return f"__{label}_{next(_ids)}"
 
 
+def key_text(df: DataFrame, name: str) -> Column:
+    """A key column as text, as the database prints it (1.0 is '1')."""
+    if isinstance(df.schema[name].dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
+        return number_text(df[name])
+    return df[name].cast("string")
+
+
 def overlay_code_list(annotated: DataFrame, overlay: DataFrame) -> DataFrame:
     """``code_list_v``: annotated rows with overlay ``decode``/``mapping_notes``
     winning where not NULL.  Overlay-only rows never appear; duplicate overlay
     rows multiply their base row (left join semantics)."""
     keys = ["mod_name", "itm_name", "code"]
-    o = overlay.select(*[F.col(k).alias(f"o_{k}") for k in keys],
+    o = overlay.select(*[key_text(overlay, k).alias(f"o_{k}") for k in keys],
                        F.col("decode").alias("o_decode"),
                        F.col("mapping_notes").alias("o_mapping_notes"))
-    cond = [annotated[k] == o[f"o_{k}"] for k in keys]
-    joined = annotated.join(bounded_broadcast(o), cond, "left")
+    cond = [key_text(annotated, k) == o[f"o_{k}"] for k in keys]
+    joined = annotated.join(o, cond, "left")
     return joined.select(
         annotated["mod_name"], annotated["itm_name"], annotated["code"],
         F.coalesce(F.col("o_decode"), annotated["decode"]).alias("decode"),
@@ -65,11 +76,11 @@ def overlay_code_list(annotated: DataFrame, overlay: DataFrame) -> DataFrame:
 def overlay_dictionary(annotated: DataFrame, overlay: DataFrame) -> DataFrame:
     """``data_dictionary_v``: same rule on ``(mod_name, itm_name)``."""
     keys = ["mod_name", "itm_name"]
-    o = overlay.select(*[F.col(k).alias(f"o_{k}") for k in keys],
+    o = overlay.select(*[key_text(overlay, k).alias(f"o_{k}") for k in keys],
                        F.col("dscr").alias("o_dscr"),
                        F.col("mapping_notes").alias("o_mapping_notes"))
-    cond = [annotated[k] == o[f"o_{k}"] for k in keys]
-    joined = annotated.join(bounded_broadcast(o), cond, "left")
+    cond = [key_text(annotated, k) == o[f"o_{k}"] for k in keys]
+    joined = annotated.join(o, cond, "left")
     return joined.select(
         annotated["mod_name"], annotated["itm_name"],
         F.coalesce(F.col("o_dscr"), annotated["dscr"]).alias("dscr"),
@@ -80,7 +91,8 @@ def overlay_dictionary(annotated: DataFrame, overlay: DataFrame) -> DataFrame:
 def lookup_table(code_list: DataFrame) -> DataFrame:
     """One row per (mod, item, code): several matches collapse to the smallest
     decode, like a scalar lookup that returns one row."""
-    return (code_list.groupBy("mod_name", "itm_name", "code")
+    keys = ["mod_name", "itm_name", "code"]
+    return (code_list.select(*[key_text(code_list, k).alias(k) for k in keys], "decode").groupBy(*keys)
             .agg(F.min("decode").alias("decode")))
 
 
@@ -92,35 +104,25 @@ class CodeLookup:
     argument or no match gives NULL.
 
     Each lookup is a left join with the (module, item) slice of the
-    de-duplicated code list.  The code list is size-checked once, in the job
-    that fills its cache (recomputable from lineage if an executor is lost):
-    within ``max_rows`` every slice is broadcast (one hash probe per row, no
-    shuffle of the fact side); beyond it the cache is dropped and the joins are
-    left to the planner (shuffle joins; AQE may still broadcast small slices at
-    run time).
+    de-duplicated code list.  One small aggregate measures that list's bytes:
+    up to ``max_bytes`` its slices are broadcast (the planner multiplies the
+    sizes of a joined list and its overlay, and would shuffle the facts by each
+    code, few and hot); beyond, the joins are the planner's.  Nothing is cached.
     """
 
-    def __init__(self, code_list: DataFrame, output: str = "code",
-                 max_rows: int = DEFAULT_BROADCAST_ROWS):
+    def __init__(self, code_list: DataFrame, output: str = "code", max_bytes: int = BROADCAST_BYTES):
         if output not in ("code", "decode"):
             raise ValueError("output must be 'code' or 'decode'")
         self.table = lookup_table(code_list)
         self.output = output
-        self.max_rows = max_rows
-        self._small: bool | None = None
+        self.max_bytes = max_bytes
 
-    @property
+    @cached_property
     def small(self) -> bool:
-        """One job: materialise the de-duplicated code list in the cache and
-        count it.  Beyond ``max_rows`` the cache is dropped again."""
-        if self._small is None:
-            cached = self.table.cache()
-            self._small = cached.count() <= self.max_rows
-            if self._small:
-                self.table = cached
-            else:
-                cached.unpersist()
-        return self._small
+        row = F.lit(32)
+        for c in self.table.columns:
+            row = row + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
+        return (self.table.agg(F.sum(row.cast("long"))).first()[0] or 0) <= self.max_bytes
 
     def add_all(self, df: DataFrame, specs, output: str | None = None) -> DataFrame:
         """``df`` plus one column per spec ``(alias, module, item, code)``."""
@@ -151,19 +153,18 @@ class CodeLookup:
                               F.col(out).alias(alias))
             cond = ((as_col(module).cast("string") == right[mod])
                     & (as_col(code).cast("string") == right[key]))
-        joined = df.join(F.broadcast(right) if self.small else right, cond, "left")
-        return joined.select(df["*"], right[alias])
+        return df.join(F.broadcast(right) if self.small else right, cond, "left").select(df["*"], right[alias])
 
     def values(self, keys: list[tuple[str, str, str]], output: str | None = None) -> list[Column]:
-        """Constant lookups (e.g. the label of code '1' of several items),
-        resolved in one small query; one literal Column per key."""
+        """Constant lookups (e.g. the label of code '1' of several items): one
+        scalar subquery over the code list, so a later label shows at once."""
         out = output or self.output
-        _ = self.small  # reads the cached table when it is small
         cond = F.lit(False)
-        for module, item, code in keys:
-            cond = cond | ((F.col("mod_name") == module) & (F.col("itm_name") == item)
-                           & (F.col("code") == code))
-        found = {(r[0], r[1], r[2]): r[3] for r in
-                 self.table.filter(cond).select("mod_name", "itm_name", "code", out)
-                 .limit(len(keys)).collect()}
-        return [F.lit(found.get(k)).cast("string") for k in keys]
+        labels = []
+        for n, (module, item, code) in enumerate(keys):
+            hit = (F.col("mod_name") == module) & (F.col("itm_name") == item) & (F.col("code") == code)
+            cond = cond | hit
+            labels.append(F.max(F.when(hit, F.col(out))).alias(f"k{n}"))
+        one = self.table.filter(cond).agg(*labels)
+        found = one.select(F.struct(*one.columns)).scalar()
+        return [found[f"k{n}"] for n in range(len(keys))]

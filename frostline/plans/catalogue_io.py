@@ -11,6 +11,7 @@ from ..operators.codes import overlay_code_list
 from ..sinks.warehouse import Warehouse, export_csv
 from ..sources import csv as csvsrc
 from ..sources.catalog import base_tables, read_overlay_csv
+from ..sources.staging import MEMBER_ID
 from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_encode, repair
 from .freeze_fixture import Freeze
 from .load import load_freeze, scan_staged_table, stage_freeze
@@ -70,7 +71,13 @@ def chk_truncated_header(spark, sf_dir):
 
 
 def _data_columns(df):
-    return df.drop("member_id", csvsrc.CORRUPT)
+    return csvsrc.whole_records(df).drop(MEMBER_ID)
+
+
+def _loaded(audit, unexpected="status NOT IN ('loaded')"):
+    """Fails when a member that should load did not."""
+    if rejected := audit.filter(unexpected).collect():
+        raise ValueError(f"members not loaded: {rejected}")
 
 
 def _warehouse(spark):
@@ -87,16 +94,16 @@ def documents_with_note(t):
 
 @query("src_archive")
 def src_archive(spark, sf_dir):
-    fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders", files=4)
+    fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders")
     staged = stage_freeze(spark, archives=fz.archives)
     return _data_columns(scan_staged_table(spark, staged, "orders"))
 
 
 @query("snk_create_load")
 def snk_create_load(spark, sf_dir):
-    fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders", files=4)
+    fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders")
     wh = _warehouse(spark)
-    load_freeze(spark, wh, archives=fz.archives).collect()
+    _loaded(load_freeze(spark, wh, archives=fz.archives))
     return wh.read("orders")
 
 
@@ -105,8 +112,8 @@ def src_member_filter(spark, sf_dir):
     fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders", partition_by="o_orderpriority")
     wanted = [m for m in fz.members if "=1-URGENT/" in m or "=2-HIGH/" in m]
     wh = _warehouse(spark)
-    load_freeze(spark, wh, archives=fz.archives,
-                members=wanted + ["missing/Orders_20250401.csv"]).collect()
+    _loaded(load_freeze(spark, wh, archives=fz.archives, members=wanted + ["missing/Orders_20250401.csv"]),
+            "status NOT IN ('loaded', 'not_found')")
     return wh.read("orders")
 
 
@@ -120,7 +127,7 @@ def src_csv_scan(spark, sf_dir):
 def src_multi_file(spark, sf_dir):
     fz = Freeze(spark, Tables(spark, sf_dir)("customer"), "Customer", container="dir")
     wh = _warehouse(spark)
-    load_freeze(spark, wh, files=fz.members).collect()
+    _loaded(load_freeze(spark, wh, files=fz.members))
     return wh.read("customer")
 
 

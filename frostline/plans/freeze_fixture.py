@@ -32,7 +32,7 @@ class Freeze:
     """Members written for one table."""
 
     def __init__(self, spark: SparkSession, df: DataFrame, name: str, label: str | None = None,
-                 files: int | None = 4, quote_escape: str = '"', partition_by: str | None = None,
+                 files: int | None = None, quote_escape: str = '"', partition_by: str | None = None,
                  encoding: str = "cp1252", container: str = "zip", member_file: str | None = None,
                  members_per_archive: int = 2):
         self.base = scratch_dir(spark, label or name.lower())

@@ -3,47 +3,42 @@
 Flow (one Spark job per arrow unless noted):
 
 1. list members (zip central directories) and filter by name; requested names
-   not found and non-CSV members go straight to the audit;
-2. read member bytes on executors, decode cp1252, repair quotes, apply file
-   patches, derive the table name, take the header line -> cached;
-3. collect per-member metadata (name, table, header, undefined-byte flag):
-   one short row per member;
-4. stage the repaired text by (table, member) as text files;
-5. per table (driver thread pool): scan the staged members with the CSV rules
-   (one scan per distinct header), write the text columns once to parquet,
-   count rows and malformed records per member, profile the good members,
-   create the table if absent, check casts against the table's types per
-   member, append the good members;
-6. the audit (one row per member) is returned as a DataFrame.
-
-A failure in one member (undefined byte, malformed record, value that does not
-fit an existing table, clashing column names) rejects that member only.
+   not found, unreadable archives and non-CSV members go straight to the audit;
+2. executors stream each member: decode cp1252, repair quotes, apply file
+   patches, write UTF-8 text -> one short row per member (table, header, file);
+3. per table (driver thread pool): scan the staged members with the CSV rules
+   (one scan per distinct header, columns under their cleaned names), write the
+   text columns once to parquet, count rows and malformed records per member,
+   profile the good members, create the table if absent, check casts against
+   the table's types per member, append the good members;
+4. the audit (one row per member) is returned as a DataFrame.
+
+A failure in one member (undefined byte, bad checksum, malformed record, value
+that does not fit an existing table, clashing column names) rejects that member
+only.
 """
 
 from __future__ import annotations
 
 import os
-import re
 import traceback
 from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.naming import table_name_from_path
 from ..operators import checks
 from ..operators.profile import profile, sql_names
 from ..session import scratch_dir
 from ..sinks.warehouse import CLUSTER_COLUMNS, Warehouse
 from ..sources import csv as csvsrc
 from ..sources import members as msrc
-from ..sources.large_members import PART_CHARS, stage_large_members
-from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_undefined, repair
+from ..sources.staging import MEMBER_ID, stage_members
+from ..sources.text import FILE_PATCHES
 
 AUDIT_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType(), True),
@@ -62,9 +57,9 @@ class _Member:
     member: str
     table_name: str | None
     member_id: str
-    header: str | None
-    header_length: int | None
-    undefined: bool
+    path: str | None = None
+    header: str | None = None
+    header_length: int | None = None
     status: str = "pending"
     error: str | None = None
     n_rows: int | None = None
@@ -91,32 +86,13 @@ class LoadOptions:
     exclude_tables: str | None = None            # regex on table names, e.g. "_harmonized$"
     cluster_by: Sequence[str] = CLUSTER_COLUMNS
     workers: int = 4
-    large_member_bytes: int = 64 << 20            # larger members are streamed, not one row
     universal_newlines: bool = True               # CRLF / CR -> LF, as text-mode reads do
-    part_chars: int = PART_CHARS                  # streamed members are staged in parts this big
     extra_csv_options: dict = field(default_factory=dict)
 
 
-def decoded_members(content: DataFrame, opts: LoadOptions) -> DataFrame:
-    """Members with table name, member id, header line and repaired text."""
-    text = cp1252_decode("content", opts.errors)
-    fixed = repair(text, F.col("member"), opts.patches, opts.universal_newlines)
-    first = F.regexp_replace(F.substring_index(F.col("text"), "\n", 1), "\r\\z", "")
-    return (content
-            .select("archive", "member",
-                    table_name_from_path(F.col("member")).alias("table_name"),
-                    F.concat(F.lit("m"), F.substring(F.sha2(F.concat_ws(
-                        "\u0000", F.coalesce("archive", F.lit("")), "member"), 256), 1, 20)).alias("member_id"),
-                    (cp1252_undefined("content") if opts.errors == "strict" else F.lit(False))
-                    .alias("undefined"),
-                    fixed.alias("text"))
-            .withColumn("header", first)
-            .withColumn("header_length", checks.truncated_header(F.col("text"))[0]))
-
-
 @dataclass
 class Staged:
-    """Members read, decoded and staged as text, before any table is loaded."""
+    """Members decoded and staged as text, before any table is loaded."""
     members: list[_Member]
     text_dir: str
     stage: str
@@ -132,88 +108,69 @@ class Staged:
 def stage_freeze(spark: SparkSession, archives: Sequence[str] | None = None,
                  files: Sequence[str] | None = None, members: Sequence[str] | None = None,
                  options: LoadOptions | None = None, stage: str | None = None) -> Staged:
-    """Steps 1-4: list, filter, read, decode, repair and stage member text."""
+    """Steps 1 and 2: list, filter, and stream the members' repaired text."""
     opts = options or LoadOptions()
     stage = stage or scratch_dir(spark, "stage")
     audit: list[_Member] = []
 
     if archives:
-        listing = msrc.list_archive_members(spark, archives).cache()
+        listed = os.path.join(stage, "listing")
+        msrc.list_archive_members(spark, archives).write.mode("overwrite").parquet(listed)
+        listing = spark.read.schema(msrc.LISTING_SCHEMA).parquet(listed)
         for r in msrc.missing_members(spark, listing, members).collect():
-            audit.append(_Member(None, r["member"], None, "", None, None, False, "not_found",
-                                 "requested member is in no archive"))
+            audit.append(_Member(None, r["member"], None, "", status="not_found",
+                                 error="requested member is in no archive"))
         wanted = msrc.select_members(listing, members)
+        for r in wanted.filter("error IS NOT NULL").collect():
+            audit.append(_Member(r["archive"], r["member"], None, "", status="error", error=r["error"]))
+        wanted = wanted.filter("error IS NULL")
         if opts.csv_only:
             for r in wanted.filter(~F.lower("member").endswith(".csv")).select("archive", "member").collect():
-                audit.append(_Member(r["archive"], r["member"], None, "", None, None, False,
-                                     "skipped", "not a CSV member"))
+                audit.append(_Member(r["archive"], r["member"], None, "", status="skipped", error="not a CSV member"))
             wanted = wanted.filter(F.lower("member").endswith(".csv"))
-        small = wanted.filter(F.col("size") <= opts.large_member_bytes)
-        content = msrc.read_archive_members(small)
     elif files:
         wanted = msrc.find_files(spark, files).select(
-            F.lit(None).cast("string").alias("archive"), F.col("path").alias("member"), "size")
-        # binaryFile prunes on length: large files' bytes are never loaded here
-        content = msrc.read_local_files(spark, files, max_bytes=opts.large_member_bytes)
+            F.lit(None).cast("string").alias("archive"), F.lit(0).alias("entry"), F.col("path").alias("member"))
     else:
         raise ValueError("give archives or files")
-    large = wanted.filter(F.col("size") > opts.large_member_bytes)
 
-    decoded = decoded_members(content, opts).persist(StorageLevel.MEMORY_AND_DISK)
     text_dir = os.path.join(stage, "text")
-    try:
-        meta = decoded.select("archive", "member", "table_name", "member_id", "header",
-                              "header_length", "undefined").collect()
-        if any(not r["undefined"] and r["table_name"] for r in meta):
-            # the same rule as below, as an expression: no member list in the plan
-            keep = ~F.col("undefined") & F.col("table_name").isNotNull()
-            if opts.exclude_tables:
-                keep = keep & ~F.col("table_name").rlike(opts.exclude_tables)
-            (decoded.filter(keep)
-             .select("table_name", "member_id", "text")
-             .write.mode("append").partitionBy("table_name", "member_id").text(text_dir))
-    finally:
-        decoded.unpersist()
-    # members above the row-size bound are streamed into the same layout
-    if large.take(1):
-        meta += stage_large_members(large, text_dir, opts.errors, opts.patches,
-                                    opts.exclude_tables, opts.universal_newlines,
-                                    opts.part_chars).collect()
-    found = [_Member(r["archive"], r["member"], r["table_name"], r["member_id"], r["header"],
-                     r["header_length"], r["undefined"]) for r in meta]
-    for m in found:
-        if m.undefined:
-            m.fail("byte undefined in cp1252")
-        elif not m.table_name:
-            m.fail("member name gives an empty table name")
-        elif opts.exclude_tables and re.search(opts.exclude_tables, m.table_name):
+    found = []
+    for r in stage_members(wanted, text_dir, opts.errors, opts.patches, opts.exclude_tables,
+                           opts.universal_newlines).collect():
+        m = _Member(r["archive"], r["member"], r["table_name"], r["member_id"], r["path"], r["header"],
+                    r["header_length"])
+        if r["error"]:
+            m.fail(r["error"])
+        elif m.path is None:
             m.status, m.error = "excluded", "table excluded by pattern"
+        found.append(m)
     return Staged(audit + found, text_dir, stage)
 
 
 def scan_staged_table(spark: SparkSession, staged: Staged, table: str,
                       options: LoadOptions | None = None) -> DataFrame | None:
-    """All-text rows of one table's staged members (plus ``member_id`` and the
-    corrupt-record column); one CSV scan per distinct header."""
+    """All-text rows of one table's staged members under their cleaned column
+    names (plus ``_member_id`` and the corrupt-record column); one CSV scan per
+    distinct header."""
     opts = options or LoadOptions()
     members = staged.tables().get(table, [])
     groups: dict[str, list[_Member]] = defaultdict(list)
     for m in members:
         groups[m.header or ""].append(m)
     scans = []
-    base = os.path.join(staged.text_dir, f"table_name={table}")
+    base = os.path.join(staged.text_dir, table)
     for header, ms in groups.items():
         names = csvsrc.parse_header(header)
         try:
             if not names:
                 raise ValueError("empty header")
-            sql_names(names)
+            names = sql_names(names)
         except ValueError as e:
             for m in ms:
                 m.fail(str(e))
             continue
-        paths = [os.path.join(base, f"member_id={m.member_id}") for m in ms]
-        scans.append(csvsrc.read_text_csv(spark, paths, header=names, basePath=base,
+        scans.append(csvsrc.read_text_csv(spark, [m.path for m in ms], header=names, basePath=base,
                                           **opts.extra_csv_options))
     if not scans:
         return None
@@ -238,14 +195,24 @@ def load_freeze(spark: SparkSession, warehouse: Warehouse, archives: Sequence[st
         except Exception as e:  # noqa: BLE001 - recorded per member, run continues
             for m in by_table[table]:
                 if m.status == "pending":
-                    m.fail(f"{type(e).__name__}: {str(e).splitlines()[0][:400]}")
+                    m.fail(f"{type(e).__name__}: {e}")
             traceback.print_exc()
 
     with ThreadPoolExecutor(max_workers=max(1, opts.workers)) as pool:
         list(pool.map(run, sorted(by_table)))
+    for m in staged.members:
+        if m.status == "pending":
+            m.fail("not loaded")
     return spark.createDataFrame([m.row() for m in staged.members], AUDIT_SCHEMA)
 
 
+def _without_rejected(rows: DataFrame, members) -> DataFrame:
+    bad = [(m.member_id,) for m in members if m.status != "pending"]
+    if not bad:
+        return rows
+    return rows.join(rows.sparkSession.createDataFrame(bad, f"{MEMBER_ID} string"), MEMBER_ID, "left_anti")
+
+
 def _load_table(spark: SparkSession, wh: Warehouse, table: str, members: list[_Member],
                 staged: Staged, opts: LoadOptions) -> None:
     raw = scan_staged_table(spark, staged, table, opts)
@@ -257,10 +224,10 @@ def _load_table(spark: SparkSession, wh: Warehouse, table: str, members: list[_M
     raw = spark.read.parquet(raw_path)
 
     by_id = {m.member_id: m for m in members if m.status == "pending"}
-    counts = (raw.groupBy("member_id")
+    counts = (raw.groupBy(MEMBER_ID)
               .agg(F.count(F.lit(1)).alias("n"), F.count(csvsrc.CORRUPT).alias("bad")).collect())
     for r in counts:
-        m = by_id.get(r["member_id"])
+        m = by_id.get(r[MEMBER_ID])
         if m is None:
             continue
         m.n_rows = r["n"]
@@ -272,8 +239,8 @@ def _load_table(spark: SparkSession, wh: Warehouse, table: str, members: list[_M
     ok = [i for i, m in by_id.items() if m.status == "pending"]
     if not ok:
         return
-    data_cols = [c for c in raw.columns if c not in ("member_id", csvsrc.CORRUPT)]
-    good = raw.filter(F.col("member_id").isin(*ok))
+    data_cols = [c for c in raw.columns if c not in (MEMBER_ID, csvsrc.CORRUPT)]
+    good = _without_rejected(raw, by_id.values())
     prof_rows = profile(good.select(*[F.col(f"`{c}`") for c in data_cols]), table).collect()
     names = {r["csv_name"]: r["sql_name"] for r in prof_rows}
     created = False
@@ -291,13 +258,13 @@ def _load_table(spark: SparkSession, wh: Warehouse, table: str, members: list[_M
         failed = F.lit(False)
         for c in data_cols:
             failed = failed | (F.col(f"`{c}`").isNotNull() & casts[c].isNull())
-        bad_members = (good.groupBy("member_id").agg(F.count_if(failed).alias("n_bad"))
+        bad_members = (good.groupBy(MEMBER_ID).agg(F.count_if(failed).alias("n_bad"))
                        .filter("n_bad > 0").collect())
         for r in bad_members:
-            by_id[r["member_id"]].fail(f"{r['n_bad']} value(s) do not fit the types of table {table}")
+            by_id[r[MEMBER_ID]].fail(f"{r['n_bad']} value(s) do not fit the types of table {table}")
     ok = [i for i, m in by_id.items() if m.status == "pending"]
     if ok:
-        typed = good.filter(F.col("member_id").isin(*ok)).select(
+        typed = _without_rejected(good, by_id.values()).select(
             *[casts[c].alias(names[c]) for c in data_cols])
         wh.append(typed, table)
     for i in ok:

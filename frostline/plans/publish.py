@@ -17,7 +17,7 @@ from ..operators import inventory as inv
 from ..operators.codes import overlay_code_list, overlay_dictionary
 from ..operators.ordering import pg_order_by
 from ..sinks.warehouse import Warehouse, _lit, _q
-from ..sources.catalog import base_tables, reference_code_list_overlay
+from ..sources.catalog import base_tables, reference_code_list_overlay, reference_dictionary_overlay
 from . import curated
 
 # View descriptions.
@@ -48,6 +48,13 @@ def _publish(df: DataFrame, name: str, published: dict[str, DataFrame]) -> None:
     published[name] = df
 
 
+def _overlay(wh: Warehouse, table: str, given: DataFrame | None, shipped) -> DataFrame:
+    """The overlay given, else the warehouse's table, else the rows shipped here."""
+    if given is not None:
+        return given
+    return wh.read(table) if wh.exists(table) else shipped(wh.spark)
+
+
 def publish_views(spark: SparkSession, wh: Warehouse, code_list_overlay: DataFrame | None = None,
                   dictionary_overlay: DataFrame | None = None,
                   lookup_output: str = "code") -> dict[str, DataFrame]:
@@ -55,7 +62,7 @@ def publish_views(spark: SparkSession, wh: Warehouse, code_list_overlay: DataFra
     out: dict[str, DataFrame] = {}
     has = wh.exists
     if has("code_list_annotated"):
-        clo = code_list_overlay if code_list_overlay is not None else reference_code_list_overlay(spark)
+        clo = _overlay(wh, "_code_list_overlay", code_list_overlay, reference_code_list_overlay)
         cl = wh.read("code_list_annotated")
         _publish(overlay_code_list(cl, clo), "code_list_v", out)
         _publish(inv.code_list_summary(cl), "code_list_summary_v", out)
@@ -63,8 +70,8 @@ def publish_views(spark: SparkSession, wh: Warehouse, code_list_overlay: DataFra
         _publish(inv.code_list_variable(cl), "code_list_variable_definitions_v", out)
     if has("data_dictionary_annotated"):
         dd = blanks_to_null(wh.read("data_dictionary_annotated"))
-        if dictionary_overlay is not None:
-            _publish(overlay_dictionary(dd, dictionary_overlay), "data_dictionary_v", out)
+        ddo = _overlay(wh, "_data_dictionary_overlay", dictionary_overlay, reference_dictionary_overlay)
+        _publish(overlay_dictionary(dd, ddo), "data_dictionary_v", out)
         _publish(inv.shared_descriptions(dd), "data_dict_shared_descriptions_v", out)
         _publish(inv.ambiguous_items(dd), "data_dict_ambiguous_items_v", out)
         if has("code_list_annotated"):
@@ -93,7 +100,7 @@ def apply_dictionary_comments(spark: SparkSession, wh: Warehouse, dictionary: Da
     tables = {t.name for t in spark.catalog.listTables(wh.database) if not t.isTemporary}
     rows = (dictionary.select(F.lower("mod_name").alias("t"), F.lower("itm_name").alias("c"), "dscr")
             .filter(F.col("t").isin(*tables) & F.col("dscr").isNotNull())
-            .dropDuplicates(["t", "c"]).collect()) if tables else []
+            .groupBy("t", "c").agg(F.min("dscr").alias("dscr")).collect()) if tables else []
     n = 0
     for r in rows:
         if r.c in {f.name for f in wh.schema(r.t).fields}:

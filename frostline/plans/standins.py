@@ -43,7 +43,7 @@ class Tables:
     def all(self) -> dict[str, DataFrame]:
         """Every table as scanned (no spreading: used where only a few columns
         of each table are read, e.g. the page-name search)."""
-        return {n: read_parquet(self.spark, f"{self.sf_dir}/{n}.parquet", spread=False)
+        return {n: read_parquet(self.spark, f"{self.sf_dir}/{n}.parquet")
                 for n in self.NAMES}
 
 

@@ -89,13 +89,20 @@ class Warehouse:
         """Append rows; columns are matched by name (missing ones are NULL)."""
         target = self.schema(table)
         cols = set(df.columns)
-        df.select(*[(F.col(_q(f.name)) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
-                    for f in target.fields]).write.insertInto(self.name(table))
+        typed = df.select(*[(F.col(_q(f.name)) if f.name in cols else F.lit(None)).cast(f.dataType).alias(f.name)
+                            for f in target.fields])
+        self._by_bucket(typed, table).write.insertInto(self.name(table))
+
+    def _by_bucket(self, df: DataFrame, table: str) -> DataFrame:
+        """Rows dealt by the table's bucket columns, so a task writes few files;
+        adaptive execution gives a hot key's bucket to several tasks."""
+        columns = [c.name for c in self.spark.catalog.listColumns(self.name(table)) if c.isBucket]
+        return df.hint("rebalance", self.buckets, *[F.col(_q(c)) for c in columns]) if columns else df
 
     def overwrite(self, df: DataFrame, table: str) -> None:
         """Replace the rows of a reference table (truncate + load)."""
         target = self.schema(table)
-        df.select(*[F.col(_q(f.name)).cast(f.dataType) for f in target.fields]) \
+        self._by_bucket(df.select(*[F.col(_q(f.name)).cast(f.dataType).alias(f.name) for f in target.fields]), table) \
           .write.insertInto(self.name(table), overwrite=True)
 
     def read(self, table: str) -> DataFrame:

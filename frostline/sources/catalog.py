@@ -35,6 +35,10 @@ def reference_code_list_overlay(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(REFERENCE_CODE_LIST_OVERLAY, nullable(CODE_LIST_SCHEMA))
 
 
+def reference_dictionary_overlay(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(REFERENCE_DICTIONARY_OVERLAY, nullable(DICTIONARY_SCHEMA))
+
+
 def read_overlay_csv(spark: SparkSession, path: str, kind: str = "code_list") -> DataFrame:
     """An overlay CSV (header row, declared columns; an empty field is NULL)."""
     schema = nullable(CODE_LIST_SCHEMA if kind == "code_list" else DICTIONARY_SCHEMA)

@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # A value that cannot occur in a text file: it only keeps Spark's nullValue
@@ -46,15 +47,23 @@ def text_schema(header: Sequence[str], corrupt: bool = True) -> T.StructType:
 def read_text_csv(spark: SparkSession, paths: str | Sequence[str], header: Sequence[str] | None = None,
                   **options: str) -> DataFrame:
     """All-text CSV scan.  With ``header`` the schema is given (and a corrupt
-    record column added); without it the first file's header names the columns."""
+    record column added: the caller must look at it).  Without it the files'
+    header names the columns, and a file with another header or a record with
+    more or fewer fields fails the scan: no field is lost without notice."""
     reader = spark.read.options(**{**CSV_OPTIONS, **options})
     if header is not None:
         reader = reader.schema(text_schema(header))
     else:
-        reader = reader.option("inferSchema", "false")
+        reader = reader.options(inferSchema="false", mode="FAILFAST", enforceSchema="false")
     return reader.csv([paths] if isinstance(paths, str) else list(paths))
 
 
+def whole_records(df: DataFrame) -> DataFrame:
+    """The rows without the corrupt-record column; a malformed record fails the query."""
+    fails = F.raise_error(F.concat(F.lit("malformed CSV record: "), F.col(CORRUPT))).cast("boolean")
+    return df.filter(F.when(F.col(CORRUPT).isNull(), F.lit(True)).otherwise(fails)).drop(CORRUPT)
+
+
 def parse_header(line: str) -> list[str]:
     """Column names of one CSV header line (metadata, parsed on the driver)."""
     import csv

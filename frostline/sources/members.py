@@ -1,9 +1,9 @@
 """Archive and file members as DataFrames.
 
 A member is one file of a data freeze.  Listing reads only zip central
-directories (one task per archive); member bytes are read by executors after
-the listing is filtered, one member per row (``content BINARY``), so no file
-passes through the driver and unrequested members are never inflated.
+directories (one task per archive); executors stream the members' bytes after
+the listing is filtered (``sources.staging``), so no file passes through the
+driver and unrequested members are never inflated.
 """
 
 from __future__ import annotations
@@ -15,8 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-LISTING_SCHEMA = "archive string, member string, size long"
-CONTENT_SCHEMA = "archive string, member string, content binary"
+LISTING_SCHEMA = "archive string, entry int, member string, size long, error string"
 
 
 def open_binary(path: str):
@@ -64,18 +63,22 @@ def find_files(spark: SparkSession, pattern: str | Sequence[str], recursive: boo
 
 
 def _list_zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    cols = ["archive", "entry", "member", "size", "error"]
     for pdf in batches:
         for archive in pdf["archive"]:
-            rows = []
-            with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
-                for info in zf.infolist():
-                    if not info.is_dir():
-                        rows.append((archive, info.filename, info.file_size))
-            yield pd.DataFrame(rows, columns=["archive", "member", "size"])
+            try:
+                with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
+                    rows = [(archive, entry, info.filename, info.file_size, None)
+                            for entry, info in enumerate(zf.infolist()) if not info.is_dir()]
+            except zipfile.BadZipFile as fault:
+                rows = [(archive, -1, archive, 0, f"not a readable archive: {fault}")]
+            yield pd.DataFrame(rows, columns=cols)
 
 
 def list_archive_members(spark: SparkSession, archives: DataFrame | Iterable[str]) -> DataFrame:
-    """``(archive, member, size)`` for every file entry of every zip archive.
+    """``(archive, entry, member, size, error)`` for every file entry of every zip
+    archive; ``entry`` is its place in the archive's directory.  An archive that
+    cannot be read gives one row with its ``error``.
 
     The archive is recognised by its content, not its suffix (a zip may be
     named ``.gz``).  Directory entries are skipped.
@@ -93,7 +96,7 @@ def select_members(listing: DataFrame, names: Sequence[str] | None) -> DataFrame
     """Keep requested member names (exact match); no names keeps every member."""
     if not names:
         return listing
-    return listing.filter(F.col("member").isin(*names))
+    return listing.filter(F.col("member").isin(*names) | F.col("error").isNotNull())
 
 
 def missing_members(spark: SparkSession, listing: DataFrame, names: Sequence[str] | None) -> DataFrame:
@@ -102,33 +105,3 @@ def missing_members(spark: SparkSession, listing: DataFrame, names: Sequence[str
         return spark.createDataFrame([], "member string")
     wanted = spark.createDataFrame([(n,) for n in dict.fromkeys(names)], "member string")
     return wanted.join(listing.select("member"), "member", "left_anti")
-
-
-def _read_zip_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for archive, member in zip(pdf["archive"], pdf["member"]):
-            with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
-                data = zf.read(member)
-            # one member per output batch keeps a task's memory at one file
-            yield pd.DataFrame({"archive": [archive], "member": [member], "content": [data]})
-
-
-def read_archive_members(listing: DataFrame, partitions: int | None = None) -> DataFrame:
-    """``(archive, member, content)``: member bytes read on executors."""
-    spark = listing.sparkSession
-    n = partitions or max(1, spark.sparkContext.defaultParallelism)
-    # round-robin: a handful of large members still land in different tasks
-    return (listing.select("archive", "member").repartition(n)
-            .mapInPandas(_read_zip_members, CONTENT_SCHEMA))
-
-
-def read_local_files(spark: SparkSession, paths: str | Sequence[str],
-                     max_bytes: int | None = None) -> DataFrame:
-    """``(archive=NULL, member=path, content)`` for plain files (at most
-    ``max_bytes`` long, when given; the length filter is applied before any
-    content is read)."""
-    files = spark.read.format("binaryFile").load([paths] if isinstance(paths, str) else list(paths))
-    if max_bytes is not None:
-        files = files.filter(F.col("length") <= max_bytes)
-    return files.select(F.lit(None).cast("string").alias("archive"), F.col("path").alias("member"),
-                        "content")

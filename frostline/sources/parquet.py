@@ -1,47 +1,9 @@
-"""Parquet reads that use every core.
-
-A parquet scan splits at row-group granularity.  A table stored as a few
-files with one row group each (common for small extracts) becomes one or two
-scan tasks, and every per-row expression above the scan then runs on one core.
-When an input has fewer row groups than the session's parallelism (and enough
-rows to matter), the rows are redistributed round-robin right after the scan.
-Large inputs (many files / row groups) are left exactly as scanned: no extra
-shuffle at scale.  Only footers of the few files involved are read.
-"""
+"""Parquet reads: splits and their number are left to Spark."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .members import open_binary
-
-# Below this many rows a single task is fast enough.
-MIN_ROWS_TO_SPREAD = 250_000
-# Footers are read on the driver only for inputs of at most this many files.
-MAX_FILES_TO_INSPECT = 32
-
-
-def _footer_counts(paths: list[str]) -> tuple[int, int]:
-    import pyarrow.parquet as pq
-
-    groups = rows = 0
-    for p in paths:
-        with open_binary(p) as fh:
-            meta = pq.ParquetFile(fh).metadata
-            groups += meta.num_row_groups
-            rows += meta.num_rows
-    return groups, rows
-
 
-def read_parquet(spark: SparkSession, path: str, spread: bool = True) -> DataFrame:
-    df = spark.read.parquet(path)
-    if not spread:
-        return df
-    parallelism = spark.sparkContext.defaultParallelism
-    files = df.inputFiles()
-    if len(files) >= min(parallelism, MAX_FILES_TO_INSPECT):
-        return df  # enough files to split on, or too many footers to read here
-    groups, rows = _footer_counts(files)
-    if groups >= parallelism or rows < MIN_ROWS_TO_SPREAD:
-        return df
-    return df.repartition(parallelism)
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)

@@ -61,6 +61,10 @@ def test_publish_views(spark, tmp_path):
     assert demo["A3"].race == "Decline to Answer"
     assert demo["A1"].educyrs == 14 and demo["A2"].educyrs == 16 and demo["A3"].educyrs is None
     assert demo["A1"].birthdt == "1950-02" and demo["A2"].orig_entry == "x"
+    # a label added later shows at once, in the looked-up columns and in race
+    wh.append(spark.createDataFrame([("SCREEN", "RABLACK", "1", "black", None)], wh.schema("code_list_annotated")),
+              "code_list_annotated")
+    assert spark.table("data_dictionary_v").count() == 5
     ps = {r.patno: r for r in spark.table("participant_status").collect()}
     assert ps[1].mutations == "GBA,PINK1" and ps[2].mutations is None and ps[1].subgroup is None
     amb = spark.table("data_dict_ambiguous_items_v").collect()
@@ -72,3 +76,26 @@ def test_publish_views(spark, tmp_path):
     assert n == 2
     cols = {c.name: c.description for c in spark.catalog.listColumns(wh.name("demographics"))}
     assert cols["sex"] == "Sex" and cols["patno"] == "Participant number"
+
+
+def test_lookup_compares_a_code_list_of_digits_as_text(spark):
+    from frostline.operators.codes import CodeLookup, overlay_code_list
+
+    codes = spark.createDataFrame([("M", "SIDE", 1, "Left"), ("M", "SIDE", 2, "Right")],
+                                  "mod_name string, itm_name string, code smallint, decode string")
+    facts = spark.createDataFrame([("M", "1"), ("M", "UR"), ("M", None), ("N", "2")], "pag string, side string")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("build-lookup", "")
+    lookup = CodeLookup(codes, output="decode")
+    label, = lookup.values([("M", "SIDE", "2")])
+    assert not tracker.getJobIdsForGroup("build-lookup")  # labels stay in the plan
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    large = CodeLookup(codes, output="decode", max_bytes=0).add(facts, "side_text", "M", "SIDE", "side")
+    out = lookup.add(facts, "side_text", "M", "SIDE", "side").withColumn("two", label)
+    assert sorted(map(str, large.collect())) == sorted(map(str, out.drop("two").collect()))
+    assert sorted(map(str, (r.side_text for r in out.collect()))) == ["Left", "None", "None", "Right"]
+    assert {r.two for r in out.collect()} == {"Right"}
+    overlay = spark.createDataFrame([("M", "SIDE", "1", "LEFT", None)],
+                                    "mod_name string, itm_name string, code string, decode string, mapping_notes string")
+    annotated = codes.selectExpr("*", "CAST(NULL AS STRING) AS mapping_notes")
+    assert {r.decode for r in overlay_code_list(annotated, overlay).collect()} == {"LEFT", "Right"}

@@ -88,15 +88,12 @@ def _freeze(path):
     return list(members)
 
 
-@pytest.mark.parametrize("large_member_bytes", [256 << 20, 0], ids=["rows", "streamed"])
-def test_end_to_end_freeze(spark, tmp_path, large_member_bytes):
-    """The same freeze loads to the same tables whether members are decoded as
-    rows (Catalyst) or streamed (members above the size bound)."""
+def test_end_to_end_freeze(spark, tmp_path):
     archive = str(tmp_path / "FREEZE_20250401.gz")
     names = _freeze(archive)
-    wh = Warehouse(spark, database=f"freeze_e2e_{large_member_bytes}", location=str(tmp_path / "wh"))
+    wh = Warehouse(spark, database="freeze_e2e", location=str(tmp_path / "wh"))
     audit = load_freeze(spark, wh, archives=[archive], members=names + ["FREEZE/missing.csv"],
-                        options=LoadOptions(workers=2, large_member_bytes=large_member_bytes),
+                        options=LoadOptions(workers=2),
                         stage=str(tmp_path / "stage"))
     got = {r.member.split("/")[-1]: r for r in audit.collect()}
     assert got["missing.csv"].status == "not_found"
@@ -162,7 +159,7 @@ def test_streamed_repair_matches_whole_text():
     """Chunk boundaries anywhere give the same text as the whole-text rules."""
     import random
 
-    from frostline.sources import large_members as lm
+    from frostline.sources import staging as lm
 
     rnd = random.Random(7)
     alphabet = ['a', ' ', '\\', '"', ',', '\n', '\r', 'é', '\t', 'x', 'no tremors today. ']
@@ -183,33 +180,74 @@ def test_streamed_repair_matches_whole_text():
         assert "".join(lm.repaired_text(iter(chunks), "x/Other.csv", "strict", (), newlines=False)) == raw_rule
 
 
-def test_streamed_member_split_into_parts(spark, tmp_path):
-    """A streamed member is staged as several parts, cut only between records
-    (quoted line breaks and doubled quotes stay inside their field), and loads
-    exactly the rows of the row path."""
-    import random
-
-    rnd = random.Random(3)
-    rows = []
-    for i in range(300):
-        note = rnd.choice(['plain', 'two\nlines', 'say "hi"', '', 'a,b', 'x\n"y"\nz'])
-        rows.append(f'{i},"{note.replace(chr(34), chr(34) * 2)}",{rnd.randint(0, 9)}')
-    data = ('ID,"NOTE ""Q""",N\n' + "\n".join(rows) + "\n").encode("cp1252")
-    archive = str(tmp_path / "big.zip")
+def _load_zip(spark, tmp_path, label, members):
+    archive = str(tmp_path / f"{label}.zip")
     with zipfile.ZipFile(archive, "w") as zf:
-        zf.writestr("Notes_20250401.csv", data)
-    results = {}
-    for label, opts in (("rows", LoadOptions()),
-                        ("parts", LoadOptions(large_member_bytes=0, part_chars=200))):
-        wh = Warehouse(spark, database=f"freeze_parts_{label}", location=str(tmp_path / f"wh_{label}"))
-        stage = str(tmp_path / f"stage_{label}")
-        audit = load_freeze(spark, wh, archives=[archive], options=opts, stage=stage).collect()
-        assert [r.status for r in audit] == ["loaded"] and audit[0].n_rows == 300
-        results[label] = sorted(tuple(r) for r in wh.read("notes").collect())
-        if label == "parts":
-            parts = list((tmp_path / stage / "text").rglob("part-large-*.txt"))
-            assert len(parts) > 5
-    assert results["rows"] == results["parts"]
+        for name, data in members:
+            zf.writestr(name, data)
+    wh = Warehouse(spark, database=f"freeze_{label}", location=str(tmp_path / f"wh_{label}"))
+    return archive, wh
+
+
+@pytest.mark.filterwarnings("ignore:Duplicate name")
+def test_entries_of_one_name_are_two_members(spark, tmp_path):
+    archive, wh = _load_zip(spark, tmp_path, "twins", [("T_20250401.csv", b"A,B\n1,2\n"), ("T_20250401.csv", b"A,B\n3,4\n")])
+    audit = load_freeze(spark, wh, archives=[archive], stage=str(tmp_path / "s")).collect()
+    assert [(r.status, r.n_rows) for r in audit] == [("loaded", 1)] * 2
+    assert sorted(map(tuple, wh.read("t").collect())) == [(1, 2), (3, 4)]
+
+
+def test_bad_entry_and_bad_archive_stop_nothing_else(spark, tmp_path):
+    archive, wh = _load_zip(spark, tmp_path, "crc", [("Good.csv", b"A\n1\n"), ("Bad.csv", b"A\n22222\n")])
+    data = open(archive, "rb").read()
+    with open(archive, "wb") as fh:  # stored entries: another byte breaks the checksum
+        fh.write(data.replace(b"22222", b"23222"))
+    broken = tmp_path / "broken.zip"
+    broken.write_bytes(b"no archive")
+    audit = {r.member.split("/")[-1]: r for r in load_freeze(
+        spark, wh, archives=[archive, str(broken)], stage=str(tmp_path / "s")).collect()}
+    assert {m: r.status for m, r in audit.items()} == {"Good.csv": "loaded", "Bad.csv": "error", "broken.zip": "error"}
+    assert "CRC" in audit["Bad.csv"].error and "archive" in audit["broken.zip"].error
+    assert [tuple(r) for r in wh.read("good").collect()] == [(1,)]
+
+
+def test_headers_meet_by_cleaned_name_and_none_is_reserved(spark, tmp_path):
+    archive, wh = _load_zip(spark, tmp_path, "names", [
+        ("a/T.csv", b"A-B,MEMBER_ID\n1,x\n"), ("b/T.csv", b"A B,Member Id\n2,y\n"), ("c/T.csv", b"member_id,_member_id\n1,2\n")])
+    audit = {r.member: r.status for r in load_freeze(spark, wh, archives=[archive], stage=str(tmp_path / "s")).collect()}
+    assert audit == {"a/T.csv": "loaded", "b/T.csv": "loaded", "c/T.csv": "error"}  # both of c's clean to member_id
+    assert sorted(map(tuple, wh.read("t").select("a_b", "member_id").collect())) == [(1, "x"), (2, "y")]
+
+
+def test_stray_quote_beside_fields_of_many_lines_at_any_chunk_size(spark, tmp_path, monkeypatch):
+    """A quote inside an unquoted field is text; what follows keeps its records."""
+    lines = ["ID,NOTE", '0,1,5" pipe'.replace("1,5", "1.5")] + [f'{i},"two\nlines ""{i}"""' for i in range(1, 60)]
+    archive, wh = _load_zip(spark, tmp_path, "stray", [("Notes.csv", "\n".join(lines).encode())])
+    audit = load_freeze(spark, wh, archives=[archive], stage=str(tmp_path / "s")).collect()
+    assert [(r.status, r.n_rows) for r in audit] == [("loaded", 60)]
+    rows = dict(map(tuple, wh.read("notes").collect()))
+    assert rows[0] == '1.5" pipe' and rows[59] == 'two\nlines "59"'
+
+
+def test_scan_without_a_header_loses_no_field(spark, tmp_path):
+    for data in ("A,B\n1,2,3\n", "A,B\n4\n"):
+        p = tmp_path / "ragged.csv"
+        p.write_text(data)
+        with pytest.raises(Exception, match="(?i)malformed"):
+            csvsrc.read_text_csv(spark, str(p)).collect()
+
+
+def test_clustered_append_writes_a_bucket_once_and_keeps_a_hot_key_whole(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    wh = Warehouse(spark, database="freeze_few", location=str(tmp_path / "wh"), buckets=4)
+    rows = spark.range(0, 30000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("patno"), F.col("id").alias("v"))
+    wh.create_if_absent("t", rows.schema)
+    wh.append(rows, "t")
+    assert len(list((tmp_path / "wh" / "t").glob("*.parquet"))) <= 8
+    got = wh.read("t").agg(F.count("*"), F.sum("v"), F.count_if(F.col("patno") == 7)).first()
+    assert tuple(got) == (30000, 29999 * 15000, 10001)
 
 
 def test_lenient_decoding_and_append_semantics(spark, tmp_path):
