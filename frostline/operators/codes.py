@@ -155,9 +155,11 @@ class CodeLookup:
                     & (as_col(code).cast("string") == right[key]))
         return df.join(F.broadcast(right) if self.small else right, cond, "left").select(df["*"], right[alias])
 
-    def values(self, keys: list[tuple[str, str, str]], output: str | None = None) -> list[Column]:
-        """Constant lookups (e.g. the label of code '1' of several items): one
-        scalar subquery over the code list, so a later label shows at once."""
+    def values(self, keys: list[tuple[str, str, str]], output: str | None = None) -> Column:
+        """Constant lookups (e.g. the label of code '1' of several items): a
+        struct ``k0, k1, ...`` from one scalar subquery over the code list, so a
+        later label shows at once.  Give it a column of its own and take the
+        fields from there: each mention of the struct is planned as a subquery."""
         out = output or self.output
         cond = F.lit(False)
         labels = []
@@ -166,5 +168,4 @@ class CodeLookup:
             cond = cond | hit
             labels.append(F.max(F.when(hit, F.col(out))).alias(f"k{n}"))
         one = self.table.filter(cond).agg(*labels)
-        found = one.select(F.struct(*one.columns)).scalar()
-        return [found[f"k{n}"] for n in range(len(keys))]
+        return one.select(F.struct(*one.columns)).scalar()

@@ -74,8 +74,8 @@ def demographics(demo: DataFrame, socio: DataFrame, code_list: DataFrame,
     lk = CodeLookup(code_list, output=output)
     df = lk.add_all(demo, [(f"__lk_{col}", module, item, code_text(demo, col))
                            for col, (module, item) in lookups.items()])
-    labels = lk.values([(module, item, "1") for _, (module, item) in race_flags])
-    race = one_hot_class([(F.col(c), label) for (c, _), label in zip(race_flags, labels)],
+    df = df.withColumn("__labels", lk.values([(module, item, "1") for _, (module, item) in race_flags]))
+    race = one_hot_class([(F.col(c), F.col(f"__labels.k{n}")) for n, (c, _) in enumerate(race_flags)],
                          RACE_NONE, RACE_MANY)
     educ = (socio.groupBy("patno")
             .agg(F.max(round_half_even_smallint("educyrs")).alias("educyrs"))

@@ -87,7 +87,7 @@ def test_lookup_compares_a_code_list_of_digits_as_text(spark):
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("build-lookup", "")
     lookup = CodeLookup(codes, output="decode")
-    label, = lookup.values([("M", "SIDE", "2")])
+    label = lookup.values([("M", "SIDE", "2")])["k0"]
     assert not tracker.getJobIdsForGroup("build-lookup")  # labels stay in the plan
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     large = CodeLookup(codes, output="decode", max_bytes=0).add(facts, "side_text", "M", "SIDE", "side")
