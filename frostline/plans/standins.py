@@ -19,6 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
 from ..sources.parquet import read_parquet
 from ..operators.codes import (CODE_LIST_SCHEMA, DICTIONARY_SCHEMA, nullable, overlay_code_list,
                                overlay_dictionary)
@@ -102,8 +103,16 @@ def dictionary_overlay(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(DICTIONARY_OVERLAY_ROWS, nullable(DICTIONARY_SCHEMA))
 
 
+def stored_code_list(t: Tables) -> DataFrame:
+    """The code list as a stored table, as a loaded freeze has it: looked up many
+    times, derived once, and of a size the planner knows."""
+    path = f"{scratch_dir(t.spark, 'code_list')}/rows"
+    code_list(t).write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
 def code_list_view(t: Tables) -> DataFrame:
-    return overlay_code_list(code_list(t), code_list_overlay(t.spark))
+    return overlay_code_list(stored_code_list(t), code_list_overlay(t.spark))
 
 
 def dictionary(t: Tables) -> DataFrame:
