@@ -27,6 +27,7 @@ row.  An empty table gives an empty result.  Other columns are not carried.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -72,8 +73,8 @@ def drops_white_space(encode: Callable[[list[str]], list[list[int]]]) -> bool:
     return whole == a + b + c
 
 
-def _runs(table: pa.Table) -> Iterator[tuple[int, list[list[str]], list[list[int]]]]:
-    """Of each run of documents: the first's number, the words of each, and where its chunks begin."""
+def _runs(table: pa.Table) -> Iterator[tuple[int, list[list[bytes]], list[list[int]]]]:
+    """Of each run of documents: the first's number, the words of each (UTF-8), and where its chunks begin."""
     texts = B.texts_of(table)
     for begin, end in W.groups_of(texts):
         run = W.Texts(texts[begin:end])
@@ -83,15 +84,20 @@ def _runs(table: pa.Table) -> Iterator[tuple[int, list[list[str]], list[list[int
         for d in range(end - begin):
             a, b = run.first[d], run.first[d + 1]
             own = cuts[np.searchsorted(cuts, a + WINDOW):np.searchsorted(cuts, b)] - a
-            words.append([w.decode() for w in texts[begin + d].split()])
+            words.append(texts[begin + d].split())
             begins.append([0, *own.tolist()] if b > a else [])
         yield begin, words, begins
 
 
-def _chunks(words: list[str], begins: list[int]) -> Iterator[tuple[bytes, list[str]]]:
+def _chunks(words: list[bytes], begins: list[int]) -> Iterator[tuple[bytes, bytes]]:
+    """Key and text, its words joined by one space, of each chunk."""
     for a, b in zip(begins, [*begins[1:], len(words)]):
-        chunk = words[a:b]
-        yield xxhash.xxh3_128_digest(" ".join(chunk)), chunk
+        chunk = b" ".join(words[a:b])
+        yield xxhash.xxh3_128_digest(chunk), chunk
+
+
+def _words(chunk: bytes) -> list[str]:
+    return chunk.decode().split(" ")
 
 
 def _keys(block: int, rows: bytes) -> Iterator[pa.RecordBatch]:
@@ -108,9 +114,9 @@ def _encode_shared(rows: bytes, back: list | None, tokenizer: str, narrow: bool)
         return
     for _, words, begins in _runs(B.unpack(rows)):
         for w, b in zip(words, begins):
-            chunks = [(key, chunk) for key, chunk in _chunks(w, b) if key in wanted]
+            chunks = [(key, _words(chunk)) for key, chunk in _chunks(w, b) if key in wanted]
             wanted.difference_update(key for key, _ in chunks)
-            known = pieces.learn([p for _, chunk in chunks for p in chunk])
+            known = pieces.learn(chain.from_iterable(chunk for _, chunk in chunks))
             ids = [pieces.joined(chunk, known) for _, chunk in chunks]
             if narrow:
                 ids = [np.frombuffer(i, "<i4").astype("<u2").tobytes() for i in ids]
@@ -128,18 +134,18 @@ def _encode_all(rows: bytes, back: list | None, tokenizer: str, narrow: bool) ->
     own: dict[bytes, bytes] = {}
     for begin, words, begins in _runs(table):
         chunks = [list(_chunks(w, b)) for w, b in zip(words, begins)]
-        new = {key: chunk for of in chunks for key, chunk in of if key not in shared and key not in own}
-        ends = [(of[i][1][-1], of[i + 1][1][0]) for of in chunks for i in range(len(of) - 1)]
-        known = pieces.learn([p for chunk in new.values() for p in chunk] + [p for pair in ends for p in pair])
+        new = {key: _words(chunk) for of in chunks for key, chunk in of if key not in shared and key not in own}
+        ends = [(w[i - 1].decode(), w[i].decode()) for w, b in zip(words, begins) for i in b[1:]]
+        known = pieces.learn(chain(chain.from_iterable(new.values()), chain.from_iterable(ends)))
         own |= {key: pieces.joined(chunk, known) for key, chunk in new.items()}
-        checks = iter(pieces.encode([f"{a} {b}" for a, b in ends]))
+        joins = iter(zip(ends, pieces.encode([f"{a} {b}" for a, b in ends])))
         ids = []
         for of in chunks:
             parts = [own[key] if key in own else shared[key] for key, _ in of]
             for i in range(len(of) - 1):
-                together = np.array(next(checks), dtype="<i4").tobytes()
-                if together != known[of[i][1][-1]] + known[of[i + 1][1][0]]:
-                    parts[i], parts[i + 1] = repaired(of[i][1], of[i + 1][1], parts[i], parts[i + 1], pieces.encode)
+                (last, first), together = next(joins)
+                if _bytes(together) != known[last] + known[first]:
+                    parts[i], parts[i + 1] = repaired(_words(of[i][1]), _words(of[i + 1][1]), parts[i], parts[i + 1], pieces.encode)
             ids.append(np.frombuffer(b"".join(parts), dtype="<i4"))
         many = np.array([len(i) for i in ids], dtype=np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()),
