@@ -88,6 +88,12 @@ def overlay_dictionary(annotated: DataFrame, overlay: DataFrame) -> DataFrame:
     )
 
 
+def _joint_key(module: Column, item: Column, code: Column) -> Column:
+    """One text for the three keys; lengths in front keep it unambiguous.  NULL if any is."""
+    return F.concat(F.length(module).cast("string"), F.lit(":"), F.length(item).cast("string"), F.lit(":"),
+                    module, item, code)
+
+
 def lookup_table(code_list: DataFrame) -> DataFrame:
     """One row per (mod, item, code): several matches collapse to the smallest
     decode, like a scalar lookup that returns one row."""
@@ -103,7 +109,7 @@ class CodeLookup:
     reference validates a code); ``output='decode'`` returns the label.  Any NULL
     argument or no match gives NULL.
 
-    Each lookup is a left join with the (module, item) slice of the
+    Each lookup is a left join with the wanted slices of the
     de-duplicated code list.  One small aggregate measures that list's bytes:
     up to ``max_bytes`` its slices are broadcast (the planner multiplies the
     sizes of a joined list and its overlay, and would shuffle the facts by each
@@ -125,10 +131,24 @@ class CodeLookup:
         return (self.table.agg(F.sum(row.cast("long"))).first()[0] or 0) <= self.max_bytes
 
     def add_all(self, df: DataFrame, specs, output: str | None = None) -> DataFrame:
-        """``df`` plus one column per spec ``(alias, module, item, code)``."""
+        """``df`` plus one column per spec ``(alias, module, item, code)``.
+
+        All specs are joined with one relation, the slices of their items keyed
+        by one text, so the planner broadcasts it once and reuses that.
+        """
+        specs = list(specs)
         out = output or self.output
+        items = sorted({item for _, _, item, _ in specs})
+        slices = self.table.filter(F.col("itm_name").isin(items))
+        if all(isinstance(module, str) for _, module, _, _ in specs):
+            slices = slices.filter(F.col("mod_name").isin(sorted({module for _, module, _, _ in specs})))
         for alias, module, item, code in specs:
-            df = self._join(df, alias, module, item, code, out)
+            key = _tmp("key")
+            right = slices.select(_joint_key(F.col("mod_name"), F.col("itm_name"), F.col("code")).alias(key),
+                                  F.col(out).alias(alias))
+            module = F.lit(module) if isinstance(module, str) else as_col(module).cast("string")
+            cond = _joint_key(module, F.lit(item), as_col(code).cast("string")) == right[key]
+            df = df.join(F.broadcast(right) if self.small else right, cond, "left").drop(right[key])
         return df
 
     def add(self, df: DataFrame, alias: str, module, item: str, code,
@@ -140,21 +160,6 @@ class CodeLookup:
         """
         return self.add_all(df, [(alias, module, item, code)], output)
 
-    def _join(self, df: DataFrame, alias: str, module, item: str, code, out: str) -> DataFrame:
-        key = _tmp("code")
-        cl = self.table.filter(F.col("itm_name") == F.lit(item))
-        if isinstance(module, str):
-            right = (cl.filter(F.col("mod_name") == F.lit(module))
-                     .select(F.col("code").alias(key), F.col(out).alias(alias)))
-            cond = as_col(code).cast("string") == right[key]
-        else:
-            mod = _tmp("mod")
-            right = cl.select(F.col("mod_name").alias(mod), F.col("code").alias(key),
-                              F.col(out).alias(alias))
-            cond = ((as_col(module).cast("string") == right[mod])
-                    & (as_col(code).cast("string") == right[key]))
-        return df.join(F.broadcast(right) if self.small else right, cond, "left").select(df["*"], right[alias])
-
     def values(self, keys: list[tuple[str, str, str]], output: str | None = None) -> Column:
         """Constant lookups (e.g. the label of code '1' of several items): a
         struct ``k0, k1, ...`` from one scalar subquery over the code list, so a
