@@ -7,8 +7,10 @@ which answers come back.  Packing happens next to the scan; the packed rows
 are then dealt out by block id, about half the size of the texts, and every
 further pass reads that exchange.
 
-The input must be a stored table (or another source that yields the same rows
-when a lost task is run again): block ids are derived from the rows.
+A block's id is the number of its task and its number within it, so tasks that
+read the same rows still make blocks of their own.  The input must be a stored
+table (or another source that deals the same rows to the same task when a lost
+one is run again).
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -48,7 +50,7 @@ def pack(docs: DataFrame, layout: Layout, text: str = "text", order: str = "doc_
     block_bytes = layout.block_bytes
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        held, size, block = [], 0, TaskContext.get().partitionId() << 32
         for batch in batches:
             lengths = batch.column(batch.schema.get_field_index(text)).to_numpy(zero_copy_only=False)
             begin = 0
@@ -56,18 +58,18 @@ def pack(docs: DataFrame, layout: Layout, text: str = "text", order: str = "doc_
                 size += 64 + (len(value) if value is not None else 0)
                 if size >= block_bytes:
                     held.append(batch.slice(begin, i + 1 - begin))
-                    yield _row(held, order)
-                    held, size, begin = [], 0, i + 1
+                    yield _row(block, held, order)
+                    held, size, begin, block = [], 0, i + 1, block + 1
             if begin < batch.num_rows:
                 held.append(batch.slice(begin))
         if held:
-            yield _row(held, order)
+            yield _row(block, held, order)
 
     packed = docs.mapInArrow(blocks, "block long, rows binary")
     return packed.repartition("block")
 
 
-def _row(held: list[pa.RecordBatch], order: str) -> pa.RecordBatch:
+def _row(block: int, held: list[pa.RecordBatch], order: str) -> pa.RecordBatch:
     table = pa.Table.from_batches(held)
     table = table.sort_by([(order, "ascending")])  # nulls last
     sink = pa.BufferOutputStream()
@@ -75,7 +77,6 @@ def _row(held: list[pa.RecordBatch], order: str) -> pa.RecordBatch:
     with pa.ipc.new_stream(sink, table.schema, options=options) as writer:
         writer.write_table(table.combine_chunks())
     data = sink.getvalue().to_pybytes()
-    block = xxhash.xxh64_intdigest(data) - (1 << 63)
     return pa.RecordBatch.from_arrays(
         [pa.array([block], pa.int64()), pa.array([data], pa.binary())], names=["block", "rows"])
 

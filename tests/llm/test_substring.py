@@ -72,6 +72,17 @@ def test_repeated_rows_keep_one_and_extra_columns_stay(spark):
     assert all(r.more == [1] and r.text == text for r in rows)
 
 
+def test_tasks_that_read_the_same_rows_keep_one_copy(spark):
+    rows = [(d, " ".join(f"d{d}w{i}" for i in range(30))) for d in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    out = dedup_substrings(df.union(df)).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in out) == sorted((d, gone) for d in range(20) for gone in (0, 30))
+    # One repeated row, alike in number in every task.
+    text = rows[0][1]
+    alike = spark.range(0, 12, 1, 4).selectExpr("cast(7 as long) doc_id", f"'{text}' text")
+    assert sorted(r.n_removed for r in dedup_substrings(alike).collect()) == [0] + [30] * 11
+
+
 def test_layout_is_kept(spark):
     a = " ".join(f"w{i}" for i in range(25))
     df = spark.createDataFrame([(1, a), (2, f"first line\nsecond {a}\n\nlast  line\n")], "doc_id long, text string")
