@@ -2,11 +2,16 @@
 
 Every line with a word is judged on its own and fails if
 
-* *punctuation*: it does not end like a sentence, or holds more than three
-  marks for every two words (``word*** word%%%``, ``SHOUT!! SHOUT!!``);
+* *punctuation*: it is short, does not end like a sentence and holds no end of
+  one either, or it has more than three marks for every two words
+  (``word*** word%%%``, ``SHOUT!! SHOUT!!``);
 * *navigation*: it is a row of menu entries parted by ``|`` and the like;
 * *boilerplate*: it holds a phrase of site furniture.
 
+A line of ``SHORT_WORDS`` or more is a paragraph, and its last character alone
+does not decide about it.  Where words are not parted by spaces (Chinese, Thai),
+``SYLLABLES`` characters count as a word for this.
+
 Failed lines are removed.  A document is then rejected if it lost more than
 ``MOST_LOST`` of its words, and also if it fails the base rules: fewer than 50
 words, or more than half of its words in windows of three that it repeats.
@@ -19,6 +24,7 @@ are carried; a clash with the columns made here is resolved in favour of these.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,8 +38,28 @@ LEAST_WORDS = 50
 MOST_LOST = 0.5
 MOST_MARKS = 1.5
 SYMBOLS = b"#*$%&|<>"
+#: Words of a line that is no longer short.
+SHORT_WORDS = 10
+#: Characters that count as a word in scripts that have none or few spaces.
+SYLLABLES = 4
+#: Ends of sentences in all scripts: Unicode's Sentence_Terminal, the ellipses and the Tibetan shad.
+_SPACED_STOPS = ".!?…"
+_STOPS = "".join(chr(c) for a, b in (
+    (0x0589, 0x0589), (0x061D, 0x061F), (0x06D4, 0x06D4), (0x0700, 0x0702), (0x07F9, 0x07F9), (0x0837, 0x0837),
+    (0x0839, 0x0839), (0x083D, 0x083E), (0x0964, 0x0965), (0x0F0D, 0x0F0E), (0x104A, 0x104B), (0x1362, 0x1362),
+    (0x1367, 0x1368), (0x166E, 0x166E), (0x1735, 0x1736), (0x17D4, 0x17D5), (0x1803, 0x1803), (0x1809, 0x1809),
+    (0x1944, 0x1945), (0x1AA8, 0x1AAB), (0x1B5A, 0x1B5B), (0x1B5E, 0x1B5F), (0x1C3B, 0x1C3C), (0x1C7E, 0x1C7F),
+    (0x203C, 0x203D), (0x2047, 0x2049), (0x2E2E, 0x2E2E), (0x2E3C, 0x2E3C), (0x2E53, 0x2E54), (0x3002, 0x3002),
+    (0xA4FF, 0xA4FF), (0xA60E, 0xA60F), (0xA6F3, 0xA6F3), (0xA6F7, 0xA6F7), (0xA876, 0xA877), (0xA8CE, 0xA8CF),
+    (0xA92F, 0xA92F), (0xA9C8, 0xA9C9), (0xAA5D, 0xAA5F), (0xAAF0, 0xAAF1), (0xABEB, 0xABEB), (0xFE52, 0xFE52),
+    (0xFE56, 0xFE57), (0xFF01, 0xFF01), (0xFF0E, 0xFF0E), (0xFF1F, 0xFF1F), (0xFF61, 0xFF61), (0x10A56, 0x10A57),
+    (0x11047, 0x11048), (0x110BE, 0x110C1), (0x11141, 0x11143), (0x111C5, 0x111C6), (0x11238, 0x1123C),
+    (0x1144B, 0x1144C), (0x115C2, 0x115C3), (0x11641, 0x11642), (0x1173C, 0x1173E)) for c in range(a, b + 1))
+_CLOSERS = "\"')]}”’“‘»«›‹」』】》〉〕）］｝｣"
 #: What a line may end with.
-ENDS = set(".!?:;\"')]}") | {"…", "”", "’", "»", "。", "！", "？"}
+ENDS = set(_SPACED_STOPS + ":;" + _STOPS + _CLOSERS) | set("：；︰;")
+# An end of a sentence within a line; the first kind only counts before a space.
+_SENTENCE = re.compile(f"[^\\W\\d_][{re.escape(_CLOSERS)}]*[{re.escape(_SPACED_STOPS)}]+[{re.escape(_CLOSERS)}]*\\s|[{re.escape(_STOPS)}]")
 #: Parts of menus.
 SEPARATORS = ("|", "»", "›", "•", "·", "&gt;")
 #: Phrases of site furniture, in lower case.
@@ -57,6 +83,8 @@ def _marked(characters: bytes) -> np.ndarray:
 _SYMBOL = _marked(SYMBOLS)
 _MARKS = _marked(bytes(c for c in range(0x21, 0x7F) if not chr(c).isalnum()))
 _END = _marked("".join(c for c in ENDS if c.isascii()).encode())
+# First bytes of characters of three bytes, but for U+2000 to U+2FFF: punctuation and symbols.
+_SYLLABLE = _marked(bytes(c for c in range(0xE0, 0xEE) if c != 0xE2))
 
 
 def judge(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -152,15 +180,21 @@ def _failed(run: W.Texts, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
     out = np.zeros(len(starts), dtype=bool)
     if not len(has):
         return out
+    words = np.maximum(last - first, 1)
+    syllables = _sums(_SYLLABLE[data])
+    words = np.maximum(words, (syllables[ends] - syllables[starts]) // SYLLABLES)
     # Punctuation: the last character of the last word, and marks among all characters.
     final = data[run.ends[last[has] - 1] - 1]
     good = _END[final]
     for i in np.flatnonzero(final >= 0x80):
         word = run.data[run.starts[last[has[i]] - 1]:run.ends[last[has[i]] - 1]]
         good[i] = word.decode()[-1] in ENDS
+    good |= words[has] >= SHORT_WORDS
+    for i in np.flatnonzero(~good):
+        good[i] = _SENTENCE.search(run.data[starts[has[i]]:ends[has[i]]].decode()) is not None
     out[has] = ~good
     marks = _sums(_MARKS[data])
-    out |= marks[ends] - marks[starts] > MOST_MARKS * np.maximum(1, last - first)
+    out |= marks[ends] - marks[starts] > MOST_MARKS * words
     # Navigation and boilerplate: looked for in the whole run, then ascribed to lines.
     lower = run.data.lower()
     parts = np.zeros(len(starts), dtype=np.int64)

@@ -60,6 +60,20 @@ def test_lines_fail_by_each_rule(spark):
     assert all(r.n_failed_lines == 0 for r in judged(spark, *fine))
 
 
+def test_a_missing_end_mark_fails_short_lines_only(spark):
+    good = prose(60)
+    long = " ".join(f"word{i}" for i in range(70, 130))
+    thai, chinese = "ภาษาไทยไม่มีจุดจบประโยค " * 3, "今天天气很好(2019)我们去公园散步然后回家吃饭看书休息睡觉做梦起床上班工作(2020)"
+    fine = [f"{good}\n{line}" for line in (
+        f"{good} You fool", f"{good} Mail to x@y.org", f"{good}\n{long}", "It went well. We left", "他来了。我们走", thai, chinese,
+        "यह हिन्दी का वाक्य है।", "هل هذا سؤال؟", "これは（本当です）", "„Ein Zitat“", "Այսպես։", "ဒါပဲ။")]
+    fine.append(f"{long} and no end")
+    for text, r in zip(fine, judged(spark, *fine)):
+        assert r.n_failed_lines == 0 and r.cleaned == text and (r.kept or r.n_repeat_words), text
+    short = ["About us", "Figure 3. 14", "Posted by admin on Monday", "关于我们", "ติดต่อเรา"]
+    assert [r.n_failed_lines for r in judged(spark, *[f"{good}\n{line}" for line in short])] == [1] * len(short)
+
+
 def test_documents_that_lose_too_much_are_rejected(spark):
     menu = " | ".join(f"entry{i}" for i in range(80))
     light, heavy, short, null = judged(spark, f"{prose(100)}\nHome | News | Sport |", f"{prose(60)}\n{menu}", prose(49), None)
