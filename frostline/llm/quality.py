@@ -6,7 +6,8 @@ Every line with a word is judged on its own and fails if
   one either, or it has more than three marks for every two words
   (``word*** word%%%``, ``SHOUT!! SHOUT!!``);
 * *navigation*: it is a row of menu entries parted by ``|`` and the like;
-* *boilerplate*: it holds a phrase of site furniture.
+* *boilerplate*: phrases of site furniture make up a quarter of its words or
+  more; a paragraph that mentions one stays.
 
 A line of ``SHORT_WORDS`` or more is a paragraph, and its last character alone
 does not decide about it.  Where words are not parted by spaces (Chinese, Thai),
@@ -37,6 +38,8 @@ from . import words as W
 LEAST_WORDS = 50
 MOST_LOST = 0.5
 MOST_MARKS = 1.5
+#: Share of a line's words in phrases of site furniture from which on it fails.
+BOILERPLATE_SHARE = 0.25
 SYMBOLS = b"#*$%&|<>"
 #: Words of a line that is no longer short.
 SHORT_WORDS = 10
@@ -180,6 +183,7 @@ def _failed(run: W.Texts, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
     out = np.zeros(len(starts), dtype=bool)
     if not len(has):
         return out
+    # Words of each line, as told in the docstring.
     words = np.maximum(last - first, 1)
     syllables = _sums(_SYLLABLE[data])
     words = np.maximum(words, (syllables[ends] - syllables[starts]) // SYLLABLES)
@@ -201,8 +205,10 @@ def _failed(run: W.Texts, data: np.ndarray, starts: np.ndarray, ends: np.ndarray
     for s in SEPARATORS:
         np.add.at(parts, np.searchsorted(starts, _places(lower, s.encode()), side="right") - 1, 1)
     out |= (parts >= 3) & (4 * parts >= last - first - parts)
+    furniture = np.zeros(len(starts), dtype=np.int64)
     for phrase in BOILERPLATE:
-        out[np.searchsorted(starts, _places(lower, phrase.encode()), side="right") - 1] = True
+        np.add.at(furniture, np.searchsorted(starts, _places(lower, phrase.encode()), side="right") - 1, len(phrase.split()))
+    out |= (furniture > 0) & (furniture >= BOILERPLATE_SHARE * words)
     return out
 
 

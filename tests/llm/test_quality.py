@@ -74,6 +74,18 @@ def test_a_missing_end_mark_fails_short_lines_only(spark):
     assert [r.n_failed_lines for r in judged(spark, *[f"{good}\n{line}" for line in short])] == [1] * len(short)
 
 
+def test_a_paragraph_may_mention_site_furniture(spark):
+    good = prose(60)
+    whole = " ".join(f"word{i}" for i in range(2000)) + " whose privacy policy he read, then the terms of use. " + prose(3000, 2000)
+    part = f"{good}\nThe court held that the firm had broken its own privacy policy when it sold the addresses of its customers."
+    for text, r in zip((whole, part), judged(spark, whole, part)):
+        assert r.kept and r.n_failed_lines == 0 and r.cleaned == text
+    furniture = ["Privacy Policy. Terms of Use.", "Copyright 2020 Acme Inc. All rights reserved.", "Click here to read more.",
+                 "This site uses cookies to provide you with the best possible experience on our website.",
+                 "Lorem ipsum dolor sit amet."]
+    assert [r.n_failed_lines for r in judged(spark, *[f"{good}\n{line}" for line in furniture])] == [1] * len(furniture)
+
+
 def test_documents_that_lose_too_much_are_rejected(spark):
     menu = " | ".join(f"entry{i}" for i in range(80))
     light, heavy, short, null = judged(spark, f"{prose(100)}\nHome | News | Sport |", f"{prose(60)}\n{menu}", prose(49), None)
