@@ -16,9 +16,15 @@ from __future__ import annotations
 import os
 from array import array
 from collections.abc import Iterable, Sequence
+from sys import getsizeof
 
-# Entries a worker's memo may hold (about 200 bytes each).
+# Entries a worker's memo may hold, and bytes for each on average.
 MEMO_PIECES = 1_200_000
+ENTRY_BYTES = 200
+# Characters of the longest piece that is kept: longer ones hardly come again.
+LONGEST_KEPT = 64
+# Bytes of an entry in the dictionary itself, besides its key and value.
+_SLOT_BYTES = 48
 _TAILS = (".", ",")
 
 _LOADED: dict[str, "Pieces"] = {}
@@ -32,11 +38,12 @@ def pieces_of(path: str, most: int = MEMO_PIECES) -> "Pieces":
 
 
 class _Memo(dict):
-    """Pieces that stay, and ``passing`` ones of the texts at hand for which there was no room."""
+    """Pieces that stay, and ``passing`` ones of the texts at hand: long ones and those for which there was no room."""
 
     def __init__(self):
         super().__init__()
         self.passing: dict[str, bytes] = {}
+        self.bytes = 0
 
     def __missing__(self, piece: str) -> bytes:
         return self.passing[piece]
@@ -85,8 +92,16 @@ class Pieces:
         return (piece,)
 
     def _keep(self, coded: dict[str, bytes]) -> None:
-        place = self.memo if len(self.memo) + len(coded) <= self.most else self.memo.passing
-        place.update(coded)
+        memo = self.memo
+        stay = {p: ids for p, ids in coded.items() if len(p) <= LONGEST_KEPT}
+        size = sum(map(getsizeof, stay)) + sum(map(getsizeof, stay.values())) + _SLOT_BYTES * len(stay)
+        if len(memo) + len(stay) <= self.most and memo.bytes + size <= self.most * ENTRY_BYTES:
+            memo.update(stay)
+            memo.bytes += size
+            if len(stay) == len(coded):
+                return
+            coded = {p: ids for p, ids in coded.items() if len(p) > LONGEST_KEPT}
+        memo.passing.update(coded)
 
     @staticmethod
     def joined(pieces: Sequence[str], known: _Memo) -> bytes:

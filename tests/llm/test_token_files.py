@@ -65,6 +65,22 @@ def test_round_trip_equals_the_library(spark, tmp_path, monkeypatch):
     assert not [p for p in (tmp_path / "out").iterdir() if p.name.startswith(".") and not p.name.endswith(".crc")]
 
 
+def test_memo_is_bounded_by_bytes():
+    from frostline.llm.pieces import Pieces
+
+    pieces = Pieces(PATH, most=100)
+    whole = [f"uncut\u00a0text number {i} " + "with many words " * 500 for i in range(40)]
+    short = [f"{i} \u3000" + "語" * 50 for i in range(200)]
+    for texts in (whole, *([t] for t in short)):
+        for _ in range(2):
+            data, lengths = K._encoded(texts, pieces, 2, 2)
+            want = [e + [2] for e in pieces.encode(texts)]
+            assert np.frombuffer(data, "<u2").tolist() == sum(want, []) and lengths.tolist() == [len(e) for e in want]
+    held = sum(len(p.encode()) + len(ids) for p, ids in pieces.memo.items())
+    assert 0 < len(pieces.memo) <= 100 and held <= 100 * 200
+    assert max(map(len, pieces.memo)) <= 64
+
+
 def test_other_files_are_refused(tmp_path):
     (tmp_path / "x.bin").write_bytes(b"0" * 200)
     with pytest.raises(ValueError):
