@@ -4,9 +4,12 @@
 all words) by weight.  No source is taken more than ``MOST`` times; what a
 source cannot take is shared out among the others by weight, until none is
 above.  Words are taken from a stream that lays out a source's documents in a
-fixed shuffled order, again and again: a source with a target of 1.3 times its
-size gives every document once and a first part of the order once more, so its
-total is its target to the word and no document is cut but at the stream's end.
+fixed shuffled order, again and again.  Documents are taken whole: a source
+with a target of 1.3 times its size gives every document once and a first part
+of the order once more.  Where the stream ends, the documents around the border
+are chosen so that the total comes as near to the target as it can by leaving
+out one of the last ``NEAR`` documents before and adding up to two of the first
+``NEAR`` after it; a source with a target is never left out altogether.
 
 *When.*  A source's weight varies over training time ``t`` from 0 to 1 as
 ``w * (1 + c * (2 t - 1))``, with a slope ``c`` that sources take in turn
@@ -43,9 +46,8 @@ MOST = 2
 SLOPES = (-0.5, 0.0, 0.5)
 #: Documents in a bucket of a source's stream, on average.
 BUCKET_ROWS = 2000
-
-_SPACE = r"[\x20\x09-\x0D]+"
-
+#: Documents on each side of a stream's end that may be left out or added.
+NEAR = 16
 
 def word_count(text: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
@@ -95,26 +97,70 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
 
     sums = place.groupBy(F.col("source").alias("s"), F.col("bucket").alias("b")).agg(F.sum("size").alias("words"))
     earlier = Window.partitionBy("s").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.select("s", "b", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"))
+    around = [F.coalesce(F.sum("words").over(earlier.rowsBetween(Window.unboundedPreceding, k)), F.lit(0)) for k in (-2, 1)]
+    sums = sums.select("s", "b", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"),
+                       around[0].alias("near_from"), around[1].alias("near_until"))
     within = (Window.partitionBy("source", "bucket").orderBy("order", F.col("doc_id").asc_nulls_last(), "size", *carry)
               .rowsBetween(Window.unboundedPreceding, -1))
     place = (place.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
              .withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0))))
 
-    goal = F.round("target").cast("long")
+    # The target is a number of whole passes and the rest, which a last pass gives.
+    whole = F.greatest(F.col("source_size"), F.lit(1))
+    place = (place.withColumn("goal", F.round("target").cast("long")).withColumn("rest", F.pmod("goal", whole))
+             .withColumn("passes", ((F.col("goal") - F.col("rest")) / whole).cast("long")))
+    place = place.join(_last_passes(place), F.col("source").eqNullSafe(F.col("of_source")), "left")
+    last = (((F.col("start") + F.col("size") <= F.col("rest")) & ~F.array_contains("leave", F.col("start")))
+            | F.array_contains("add", F.col("start")))
+    total = F.greatest(F.coalesce("total", "goal"), F.lit(1))
     slope = _nth(slopes, F.col("number"))
     turns = []
     for turn in range(int(-(-most // 1))):
-        start = turn * F.col("source_size") + F.col("start")
-        words = F.greatest(F.lit(0), F.least(F.col("size"), goal - start))
-        share = (start + words / 2) / F.greatest(goal, F.lit(1))
-        turns.append(F.struct(words.cast("long").alias("words"), _time_of(share, slope).alias("position")))
+        met = (F.col("passes") > turn) | ((F.col("passes") == turn) & (F.col("rest") > 0) & last)
+        share = F.least(F.lit(1.0), (turn * F.col("source_size") + F.col("start") + F.col("size") / 2) / total)
+        turns.append(F.struct(F.when(met, F.col("size")).otherwise(0).cast("long").alias("words"),
+                              F.least(F.lit(1.0), _time_of(share, slope)).alias("position")))
     met = F.filter(F.array(*turns), lambda c: c["words"] > 0)
     return place.withColumn("copies", met).select(
         "doc_id", "source", *carry, "size", "source_size", "target",
         F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"), "copies")
 
 
+def _last_passes(place: DataFrame) -> DataFrame:
+    """``of_source, leave, add, total`` of each source whose stream ends within a pass.
+
+    Documents (``leave`` and ``add``) are named by where they start.  Only the
+    bucket in which the stream ends and its neighbours are looked at.
+    """
+    near = place.where((F.col("rest") > 0) & (F.col("size") > 0)
+                       & (F.col("near_from") <= F.col("rest")) & (F.col("rest") < F.col("near_until")))
+    inside = F.col("start") + F.col("size") <= F.col("rest")
+    document = F.struct(F.abs(F.col("start") - F.col("rest")).alias("off"), "start", "size")
+    sides = near.groupBy(F.col("source").alias("of_source")).agg(
+        *(F.slice(F.sort_array(F.collect_list(F.when(side, document))), 1, NEAR).alias(name)
+          for name, side in (("before", inside), ("after", ~inside))),
+        F.min(F.when(~inside, F.col("start"))).alias("border"), F.first("rest").alias("rest"),
+        F.first(F.col("passes") * F.col("source_size")).alias("passed"))
+
+    def some(words: Column, *starts: Column) -> Column:
+        return F.struct(words.cast("long").alias("words"), F.array(*starts).cast("array<bigint>").alias("starts"))
+
+    none, one = F.array(some(F.lit(0))), lambda c: some(c["size"], c["start"])
+    two = F.flatten(F.transform("after", lambda c, i: F.transform(
+        F.slice("after", i + 2, NEAR), lambda d: some(c["size"] + d["size"], c["start"], d["start"]))))
+    leave, add = F.concat(none, F.transform("before", one)), F.concat(none, F.transform("after", one), two)
+
+    def choice(left: Column, added: Column) -> Column:
+        total = F.col("passed") + F.col("border") - left["words"] + added["words"]
+        return F.struct((total == 0).alias("nothing"), F.abs(total - F.col("passed") - F.col("rest")).alias("off"),
+                        (F.size(left["starts"]) + F.size(added["starts"])).alias("changes"),
+                        left["starts"].alias("leave"), added["starts"].alias("add"), total.alias("total"))
+
+    sides = sides.select("*", leave.alias("leaves"), add.alias("adds"))
+    best = F.array_min(F.flatten(F.transform("leaves", lambda x: F.transform("adds", lambda y: choice(x, y)))))
+    return sides.select("of_source", best.alias("best")).select("of_source", "best.leave", "best.add", "best.total")
+
+
 def _time_of(share: Column, slope: Column) -> Column:
     """The time t at which ``t + c (t^2 - t)`` is the share."""
     linear = 1 - slope
@@ -125,26 +171,19 @@ def _time_of(share: Column, slope: Column) -> Column:
 def curriculum(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """The training order: ``docs`` plus ``position``, a row for each time a document is met.
 
-    A copy that the stream's end cuts short has its first words only, joined by
-    one space.  Rows are range-sorted by position.
+    Texts are whole.  Rows are range-sorted by position.
     """
     columns = [f"`{c}`" for c in docs.columns]
     marked = docs.withColumn("__row_hash", F.xxhash64(*columns)).dropDuplicates(["doc_id", "__row_hash"])
     mixed = mix(marked, text=text, carry=["__row_hash"], **how).select(
-        F.col("doc_id").alias("__id"), F.col("__row_hash").alias("__hash"), F.col("size").alias("__size"),
+        F.col("doc_id").alias("__id"), F.col("__row_hash").alias("__hash"),
         F.explode("copies").alias("__copy"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row_hash") == F.col("__hash"))
     met = marked.join(mixed, same)
-    words = F.filter(F.split(text, _SPACE), lambda w: w != "")
-    cut = F.array_join(F.slice(words, 1, F.col("__copy.words").cast("int")), " ")
-    part = F.when(F.col("__copy.words") < F.col("__size"), cut).otherwise(F.col(text))
-    out = [part.alias(text) if c == f"`{text}`" else F.col(c) for c in columns]
+    out = [F.col(c) for c in columns]
     return met.select(*out, F.col("__copy.position").alias("position")).orderBy("position", "doc_id")
 
 
 def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``curriculum`` in the columns of ``docs`` (``n_chars`` follows a text that is cut)."""
-    out = curriculum(docs, text)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+    """``curriculum`` in the columns of ``docs``."""
+    return curriculum(docs, text).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -86,6 +86,27 @@ def test_curriculum_rows(spark):
     assert all(r.n_chars == len(r.text) for r in met)
 
 
+def test_documents_are_taken_whole(spark):
+    rng = random.Random(5)
+    rows = [(i, "\n".join(f"{i}w{k}" for k in range(rng.randrange(1, 400))), s) for i, s in enumerate("abbcccccccccd" * 3)]
+    rows += [(100, "long " * 50000, "alone"), (101, "as  long\n" * 40000, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    out = M.mix(df).collect()
+    assert all(r.taken == len(r.copies) * r.size and all(c.words == r.size for c in r.copies) for r in out)
+    assert {r.source for r in out if r.taken} == {s for _, _, s in rows}
+    largest = {}
+    for _, t, s in rows:
+        largest[s] = max(largest.get(s, 0), len(t.split()))
+    for source, most in largest.items():
+        of = [r for r in out if r.source == source]
+        assert abs(sum(r.taken for r in of) - of[0].target) <= max(most / 2, min(r.size for r in of)) + 1
+    # No matter where its stream ends, a source of one document is given whole.
+    for weights in ((1, 50), (50, 1), (3, 2)):
+        two = spark.createDataFrame([(1, "x " * 1000, "p"), (2, "y  " * 1000, "q")], df.schema)
+        met = M.curriculum(two, weights=weights, budget=1.0).collect()
+        assert {r.doc_id for r in met} == {1, 2} and {r.text for r in met} == {"x " * 1000, "y  " * 1000}
+
+
 def test_edges(spark):
     empty = spark.createDataFrame([], "doc_id long, text string, source string")
     assert M.mix(empty).collect() == [] and M.curriculum(empty).collect() == []
