@@ -108,6 +108,16 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken")
 
 
+@query
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .token_alignment import align
+
+    return align(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
+                 public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
