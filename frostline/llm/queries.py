@@ -118,6 +118,15 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
                  public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query
+def op12_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from .packing import pack
+
+    return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
