@@ -127,6 +127,14 @@ def op12_sequence_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2, capacity=1024)
 
 
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .ranked_search import search
+
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    return search(benchmark, documents(spark, sf_dir), k=10)
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
