@@ -2,13 +2,14 @@
 
 A code list is ``(mod_name, itm_name, code) -> decode, mapping_notes``; a data
 dictionary is ``(mod_name, itm_name) -> dscr, mapping_notes``.  Both are small
-metadata tables; a lookup is a join, broadcast behind a bound on bytes.
+metadata tables; lookups share one keyed structure behind a bound on bytes.
 A loaded code list may hold typed codes (all digits): keys are compared as text.
 """
 
 from __future__ import annotations
 
 import itertools
+from collections.abc import Sequence
 from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions._util import as_col
-from ..functions.scalars import number_text
+from ..functions.scalars import number_text, safe_boolean
 
 CODE_LIST_SCHEMA = T.StructType([
     T.StructField("mod_name", T.StringType(), False),
@@ -33,8 +34,10 @@ DICTIONARY_SCHEMA = T.StructType([
     T.StructField("mapping_notes", T.StringType(), True),
 ])
 
-#: Bytes of a code list whose slices may be broadcast.
-BROADCAST_BYTES = 64 << 20
+#: Bytes of a stored code list, with its overlay, that may be folded into one structure.
+STRUCTURE_BYTES = 8 << 20
+#: Maps of that structure: a look-up compares the keys of one of them.
+BUCKETS = 256
 
 _ids = itertools.count()
 
@@ -94,6 +97,19 @@ def _joint_key(module: Column, item: Column, code: Column) -> Column:
                     module, item, code)
 
 
+def _bucket(key: Column) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(BUCKETS)).cast("int")
+
+
+def keyed_structure(listed: DataFrame) -> Column:
+    """``(key, text, flag)`` rows of distinct keys as a scalar subquery: an array of maps, by the key's bucket."""
+    rows = listed.filter(F.col("key").isNotNull())
+    in_bucket = rows.groupBy(_bucket(F.col("key")).alias("bucket")).agg(
+        F.map_from_entries(F.collect_list(F.struct("key", F.struct("text", "flag")))).alias("codes"))
+    whole = in_bucket.agg(F.map_from_entries(F.collect_list(F.struct("bucket", "codes"))).alias("of"))
+    return whole.select(F.transform(F.sequence(F.lit(0), F.lit(BUCKETS - 1)), lambda b: F.try_element_at("of", b))).scalar()
+
+
 def lookup_table(code_list: DataFrame) -> DataFrame:
     """One row per (mod, item, code): several matches collapse to the smallest
     decode, like a scalar lookup that returns one row."""
@@ -102,6 +118,12 @@ def lookup_table(code_list: DataFrame) -> DataFrame:
             .agg(F.min("decode").alias("decode")))
 
 
+def stored_bytes(df: DataFrame) -> int:
+    """Bytes of the stored tables a plan reads, as the planner knows them (no job runs)."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+
+
 class CodeLookup:
     """Adds looked-up columns to a DataFrame.
 
@@ -109,14 +131,15 @@ class CodeLookup:
     reference validates a code); ``output='decode'`` returns the label.  Any NULL
     argument or no match gives NULL.
 
-    Each lookup is a left join with the wanted slices of the
-    de-duplicated code list.  One small aggregate measures that list's bytes:
-    up to ``max_bytes`` its slices are broadcast (the planner multiplies the
-    sizes of a joined list and its overlay, and would shuffle the facts by each
-    code, few and hot); beyond, the joins are the planner's.  Nothing is cached.
+    All lookups of a view share one keyed structure: a scalar subquery folds the
+    wanted slices of the de-duplicated code list into an array of ``BUCKETS``
+    maps, and a key is sought in the map its hash points to.  The facts are
+    neither shuffled nor joined.  That needs a code list whose stored tables have
+    at most ``max_bytes``, which the planner knows without a job; beyond, or where
+    it does not know, each lookup is a left join and the planner chooses how.
     """
 
-    def __init__(self, code_list: DataFrame, output: str = "code", max_bytes: int = BROADCAST_BYTES):
+    def __init__(self, code_list: DataFrame, output: str = "code", max_bytes: int = STRUCTURE_BYTES):
         if output not in ("code", "decode"):
             raise ValueError("output must be 'code' or 'decode'")
         self.table = lookup_table(code_list)
@@ -125,16 +148,13 @@ class CodeLookup:
 
     @cached_property
     def small(self) -> bool:
-        row = F.lit(32)
-        for c in self.table.columns:
-            row = row + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-        return (self.table.agg(F.sum(row.cast("long"))).first()[0] or 0) <= self.max_bytes
+        return stored_bytes(self.table) <= self.max_bytes
 
-    def add_all(self, df: DataFrame, specs, output: str | None = None) -> DataFrame:
+    def add_all(self, df: DataFrame, specs, output: str | None = None, booleans: Sequence[str] = ()) -> DataFrame:
         """``df`` plus one column per spec ``(alias, module, item, code)``.
 
-        All specs are joined with one relation, the slices of their items keyed
-        by one text, so the planner broadcasts it once and reuses that.
+        The columns in ``booleans`` are the looked-up text as a boolean, which is
+        worked out on the code list's rows and not on those of ``df``.
         """
         specs = list(specs)
         out = output or self.output
@@ -142,13 +162,19 @@ class CodeLookup:
         slices = self.table.filter(F.col("itm_name").isin(items))
         if all(isinstance(module, str) for _, module, _, _ in specs):
             slices = slices.filter(F.col("mod_name").isin(sorted({module for _, module, _, _ in specs})))
-        for alias, module, item, code in specs:
+        listed = slices.select(_joint_key(F.col("mod_name"), F.col("itm_name"), F.col("code")).alias("key"),
+                               F.col(out).alias("text"), safe_boolean(F.col(out)).alias("flag"))
+        keys = [_joint_key(F.lit(module) if isinstance(module, str) else as_col(module).cast("string"), F.lit(item),
+                           as_col(code).cast("string")) for _, module, item, code in specs]
+        field = ["flag" if alias in booleans else "text" for alias, *_ in specs]
+        if self.small:
+            codes = keyed_structure(listed)
+            return df.select(*df.columns, *[F.element_at(F.get(codes, _bucket(key)), key)[f].alias(alias)
+                                            for key, f, (alias, *_) in zip(keys, field, specs)])
+        for n, (alias, *_) in enumerate(specs):
             key = _tmp("key")
-            right = slices.select(_joint_key(F.col("mod_name"), F.col("itm_name"), F.col("code")).alias(key),
-                                  F.col(out).alias(alias))
-            module = F.lit(module) if isinstance(module, str) else as_col(module).cast("string")
-            cond = _joint_key(module, F.lit(item), as_col(code).cast("string")) == right[key]
-            df = df.join(F.broadcast(right) if self.small else right, cond, "left").drop(right[key])
+            right = listed.select(F.col("key").alias(key), F.col(field[n]).alias(alias))
+            df = df.join(right, keys[n] == right[key], "left").drop(right[key])
         return df
 
     def add(self, df: DataFrame, alias: str, module, item: str, code,

@@ -1,7 +1,7 @@
 """Curated views over the loaded freeze tables.
 
 Each view is a ``DataFrame -> DataFrame`` function over tables with the
-clinical column names.  Lookups are broadcast hash joins on the (small) code
+clinical column names.  Lookups share one keyed structure made of the (small) code
 list; the per-participant aggregate is a partial aggregation joined back on
 ``patno``.  Nothing here is a Python UDF.
 """
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import (flags_to_tags, mm_yyyy_to_yyyy_mm, number_text, one_hot_class,
-                                 round_half_even_smallint, safe_boolean, typed_null)
+                                 round_half_even_smallint, typed_null)
 from ..operators.codes import CodeLookup
 
 # Module, items and labels used by the demographics view.
@@ -73,7 +73,8 @@ def demographics(demo: DataFrame, socio: DataFrame, code_list: DataFrame,
     ``functions.scalars.mm_yyyy_to_yyyy_mm``."""
     lk = CodeLookup(code_list, output=output)
     df = lk.add_all(demo, [(f"__lk_{col}", module, item, code_text(demo, col))
-                           for col, (module, item) in lookups.items()])
+                           for col, (module, item) in lookups.items()],
+                    booleans=["__lk_aficberb", "__lk_ashkjew", "__lk_basque"])
     df = df.withColumn("__labels", lk.values([(module, item, "1") for _, (module, item) in race_flags]))
     race = one_hot_class([(F.col(c), F.col(f"__labels.k{n}")) for n, (c, _) in enumerate(race_flags)],
                          RACE_NONE, RACE_MANY)
@@ -83,9 +84,9 @@ def demographics(demo: DataFrame, socio: DataFrame, code_list: DataFrame,
     df = df.join(educ, df["patno"] == educ["__se_patno"], "left")
     return df.select(
         "rec_id", "patno", "infodt",
-        safe_boolean(F.col("__lk_aficberb")).alias("aficberb"),
-        safe_boolean(F.col("__lk_ashkjew")).alias("ashkjew"),
-        safe_boolean(F.col("__lk_basque")).alias("basque"),
+        F.col("__lk_aficberb").alias("aficberb"),
+        F.col("__lk_ashkjew").alias("ashkjew"),
+        F.col("__lk_basque").alias("basque"),
         mm_yyyy_to_yyyy_mm("birthdt", on_bad_date).alias("birthdt"),
         F.col("__lk_sex").alias("sex"),
         F.col("__lk_howlive").alias("gender"),

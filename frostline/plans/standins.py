@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
+from ..sources.catalog import text_rows
 from ..sources.parquet import read_parquet
 from ..operators.codes import (CODE_LIST_SCHEMA, DICTIONARY_SCHEMA, nullable, overlay_code_list,
                                overlay_dictionary)
@@ -96,11 +97,11 @@ DICTIONARY_OVERLAY_ROWS = [
 
 
 def code_list_overlay(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(CODE_LIST_OVERLAY_ROWS, nullable(CODE_LIST_SCHEMA))
+    return text_rows(spark, CODE_LIST_OVERLAY_ROWS, nullable(CODE_LIST_SCHEMA))
 
 
 def dictionary_overlay(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DICTIONARY_OVERLAY_ROWS, nullable(DICTIONARY_SCHEMA))
+    return text_rows(spark, DICTIONARY_OVERLAY_ROWS, nullable(DICTIONARY_SCHEMA))
 
 
 def stored_code_list(t: Tables) -> DataFrame:

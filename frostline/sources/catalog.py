@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators.codes import CODE_LIST_SCHEMA, DICTIONARY_SCHEMA, nullable
 
@@ -31,12 +33,18 @@ REFERENCE_CODE_LIST_OVERLAY = [
 REFERENCE_DICTIONARY_OVERLAY: list[tuple] = []
 
 
+def text_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Rows of text columns that are part of the plan, so that the planner knows their size."""
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return spark.createDataFrame(pa.table({f.name: pa.array(c, pa.string()) for f, c in zip(schema.fields, columns)}), schema)
+
+
 def reference_code_list_overlay(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REFERENCE_CODE_LIST_OVERLAY, nullable(CODE_LIST_SCHEMA))
+    return text_rows(spark, REFERENCE_CODE_LIST_OVERLAY, nullable(CODE_LIST_SCHEMA))
 
 
 def reference_dictionary_overlay(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(REFERENCE_DICTIONARY_OVERLAY, nullable(DICTIONARY_SCHEMA))
+    return text_rows(spark, REFERENCE_DICTIONARY_OVERLAY, nullable(DICTIONARY_SCHEMA))
 
 
 def read_overlay_csv(spark: SparkSession, path: str, kind: str = "code_list") -> DataFrame:
