@@ -36,8 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
-from .pieces import Pieces, pieces_of
-from .token_files import _encoded, cuts_are_safe
+from .coded import ByteLevel, Coder, cuts_of, spans
 from .words import groups_of
 
 #: Groups of equal cardinality.
@@ -47,7 +46,7 @@ GROUPS = 64
 #: combinations fit well, a high one lengths of which nearly any fit.
 SMALL = (1 / 8, 1 / 4, 1 / 2)
 # Text bytes that are encoded at a time.
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 2 << 20
 _EPS = 1e-9
 
 
@@ -208,20 +207,18 @@ def _best_fit(out: Plan, gaps, ranks: list[tuple[int, int]], after, total, lengt
 def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, doc_id: str = "doc_id", text: str = "text",
          tokens: bool = False) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32, sequence_id, offset`` and, if asked, ``ids`` of each piece."""
-    if not cuts_are_safe(Pieces(tokenizer)):
-        raise ValueError("the tokenizer joins words across white space that follows them")
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, task int, nth long" + ", ids array<int>" * tokens
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, seen, known = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), pieces_of(tokenizer)
+        task, seen, known = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64), _coder(tokenizer)
         for batch in batches:
             sizes = [1 + (n or 0) for n in pc.binary_length(batch.column(1)).to_pylist()]
             for a, b in groups_of(sizes, _TEXT_BYTES):
                 part = batch.slice(a, b - a)
-                data, lengths = _encoded(part.column(1).to_pylist(), known, end_id, 4)
-                yield _pieces(part.column(0), np.frombuffer(data, "<u4"), lengths, capacity, task, seen, tokens)
+                ids, lengths = _encoded(part.column(1).to_pylist(), known, end_id)
+                yield _pieces(part.column(0), ids, lengths, capacity, task, seen, tokens)
 
     folder = scratch_dir(spark, "packing")
     rows.mapInArrow(cut, schema).write.parquet(f"{folder}/pieces")
@@ -250,6 +247,45 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, doc
                  + ", ids array<int>" * tokens)
 
 
+_LOADED: dict[str, Coder] = {}
+
+
+def _coder(path: str) -> Coder:
+    """The worker's coder for a tokenizer file."""
+    if path not in _LOADED:
+        _LOADED[path] = Coder(ByteLevel(path))
+    return _LOADED[path]
+
+
+def _encoded(texts: list[str | None], coder: Coder, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the texts, each with the end id, and how many each has.
+
+    Texts that hold a special token's string are encoded by themselves.
+    """
+    tokenizer = coder.sides[0].tokenizer
+    apart = {i: np.array(tokenizer.with_special(t), np.int64) for i, t in enumerate(texts)
+             if t and any(name in t for name in tokenizer.special)}
+    used = [i for i, t in enumerate(texts) if t and i not in apart]
+    whole = [texts[i].encode() for i in used]
+    data = b"".join(whole)
+    sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+    begins = np.cumsum(sizes) - sizes
+    lengths = np.ones(len(texts), np.int64)
+    found = np.empty(0, np.int64)
+    if used:
+        cuts = cuts_of(np.frombuffer(data, np.uint8), begins)
+        (found, counts, _), = coder.encode(data, cuts, np.searchsorted(cuts, begins))
+        lengths[used] += counts
+    for i, own in apart.items():
+        lengths[i] += len(own)
+    first = np.cumsum(lengths) - lengths
+    ids = np.full(int(lengths.sum()), end_id, "<u4")
+    ids[spans(first[used], lengths[used] - 1)] = found
+    for i, own in apart.items():
+        ids[first[i]:first[i] + len(own)] = own
+    return ids, lengths
+
+
 def _pieces(doc_ids: pa.Array, ids: np.ndarray, lengths: np.ndarray, capacity: int, task: int, seen: np.ndarray,
             tokens: bool) -> pa.RecordBatch:
     """Rows of the pieces of some documents; ``seen`` counts the task's pieces of each length."""

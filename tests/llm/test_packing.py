@@ -73,7 +73,7 @@ def test_configurations_meet_the_demand():
 
 
 def test_pieces_are_the_library_s_tokens(spark):
-    texts = ["one two three", None, "", "a<|endoftext|>b", "words and words " * 900, "x", "one two three", "日本語 " * 700]
+    texts = ["one two three", None, "", "a<|endoftext|>b", "words and words " * 900, "x", "one two three", "日本語 " * 700, " lead\n\nNoLead.\r\nx", "The"]
     rows = [(i, t, i, "s") for i, t in enumerate(texts)] + [(0, texts[0], 9, None), (None, "no id", None, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, length long, task string").repartition(3)
     out = K.pack(docs, PATH, 2, tokens=True).collect()
