@@ -3,7 +3,7 @@
   load      load a freeze (zip archives or CSV files) into a warehouse database
   describe  print the inferred schema report of every table of a freeze
   views     publish the curated and metadata views, list them, and set column
-            comments from the data dictionary
+            comments from the data dictionary; with --schema also permanent views
 
 Runs in the current Spark environment (``spark-submit -m``-style launchers or a
 plain ``python`` with a local session); cluster settings come from there.
@@ -39,6 +39,9 @@ def main(argv: list[str] | None = None) -> int:
     v = sub.add_parser("views")
     v.add_argument("--database", default="freeze")
     v.add_argument("--labels", action="store_true", help="lookups return labels, not codes")
+    v.add_argument("--schema", default=None, help="make permanent views in this schema, too")
+    v.add_argument("--code-list-overlay", default=None, help="CSV that replaces the code-list overlay table")
+    v.add_argument("--dictionary-overlay", default=None, help="CSV that replaces the dictionary overlay table")
     args = p.parse_args(argv)
 
     from .plans.load import LoadOptions, load_freeze, scan_staged_table, stage_freeze
@@ -49,7 +52,17 @@ def main(argv: list[str] | None = None) -> int:
         from .functions.scalars import blanks_to_null
         from .plans.publish import VIEW_DESCRIPTIONS, apply_dictionary_comments, publish_views
 
+        from .plans.catalog_views import create_views, overlay_tables
+        from .sources.catalog import read_overlay_csv
+
         wh = Warehouse(spark, args.database)
+        overlays = [path and read_overlay_csv(spark, path, kind) for path, kind in
+                    ((args.code_list_overlay, "code_list"), (args.dictionary_overlay, "dictionary"))]
+        if any(overlays):
+            overlay_tables(wh, *overlays)
+        if args.schema:
+            for name in create_views(wh, args.schema, "decode" if args.labels else "code"):
+                print(f"{args.schema}.{name}")
         views = publish_views(spark, wh, lookup_output="decode" if args.labels else "code")
         for name in views:
             print(name + (f"  -- {VIEW_DESCRIPTIONS[name]}" if name in VIEW_DESCRIPTIONS else ""))

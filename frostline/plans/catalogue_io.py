@@ -18,6 +18,7 @@ from .load import load_freeze, scan_staged_table, stage_freeze
 from ..operators import checks
 from ..operators.profile import profile, schema_report
 from . import standins as si
+from .catalog_views import create_views
 from .catalogue import query
 from .standins import Tables
 
@@ -222,3 +223,27 @@ def catalog_page_pairs(spark, sf_dir):
     pairs = inv.page_name_pairs(spark, base_tables(spark, wh.database, column=r".*_nationkey"),
                                 column_pattern=r"_nationkey$")
     return pairs.select("pag_name", "table_name")
+
+
+def _published(spark, tables, view):
+    """A permanent view over tables that were loaded into a warehouse of their own."""
+    mark = uuid.uuid4().hex[:12]
+    wh = Warehouse(spark, f"published_{mark}")
+    for name, df in tables.items():
+        wh.create_if_absent(name, df.schema)
+        wh.append(df, name)
+    create_views(wh, f"curated_{mark}", location=f"{wh.location}-views")
+    return spark.table(f"curated_{mark}.{view}")
+
+
+@query("snk_published_code_list")
+def snk_published_code_list(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    tables = {"code_list_annotated": si.stored_code_list(t), "_code_list_overlay": si.code_list_overlay(spark)}
+    return _published(spark, tables, "code_list_v")
+
+
+@query("snk_published_status")
+def snk_published_status(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return _published(spark, {"participant_status": si.participant_status_raw(t)}, "participant_status")

@@ -328,4 +328,6 @@ ORACLE_SQL: dict[str, str] = {
 def oracle_sql() -> dict[str, str]:
     from . import oracle_io
 
-    return {**ORACLE_SQL, **oracle_io.ORACLE_SQL}
+    published = {"snk_published_code_list": ORACLE_SQL["overlay_code_list"],  # a published view returns what its session view does
+                 "snk_published_status": ORACLE_SQL["view_participant_status"]}
+    return {**ORACLE_SQL, **oracle_io.ORACLE_SQL, **published}

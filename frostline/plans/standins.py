@@ -104,12 +104,19 @@ def dictionary_overlay(spark: SparkSession) -> DataFrame:
     return text_rows(spark, DICTIONARY_OVERLAY_ROWS, nullable(DICTIONARY_SCHEMA))
 
 
+#: Where an application stored the code list of a folder's tables.
+_STORED: dict[tuple[str, str], str] = {}
+
+
 def stored_code_list(t: Tables) -> DataFrame:
     """The code list as a stored table, as a loaded freeze has it: looked up many
     times, derived once, and of a size the planner knows."""
-    path = f"{scratch_dir(t.spark, 'code_list')}/rows"
-    code_list(t).write.parquet(path)
-    return t.spark.read.parquet(path)
+    key = (t.spark.sparkContext.applicationId, t.sf_dir)
+    if key not in _STORED:
+        path = f"{scratch_dir(t.spark, 'code_list')}/rows"
+        code_list(t).write.parquet(path)
+        _STORED[key] = path
+    return t.spark.read.schema(nullable(CODE_LIST_SCHEMA)).parquet(_STORED[key])
 
 
 def code_list_view(t: Tables) -> DataFrame:

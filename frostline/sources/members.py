@@ -70,7 +70,8 @@ def _list_zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 with open_binary(archive) as fh, zipfile.ZipFile(fh) as zf:
                     rows = [(archive, entry, info.filename, info.file_size, None)
                             for entry, info in enumerate(zf.infolist()) if not info.is_dir()]
-            except zipfile.BadZipFile as fault:
+            except (zipfile.BadZipFile, FileNotFoundError, IsADirectoryError) as fault:
+                # The input is at fault; other failures of the file system are retried with the task.
                 rows = [(archive, -1, archive, 0, f"not a readable archive: {fault}")]
             yield pd.DataFrame(rows, columns=cols)
 

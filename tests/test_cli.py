@@ -24,3 +24,22 @@ def test_cli_load_describe_views(spark, tmp_path, capsys):
     row = spark.table("participant_status").first()
     assert row.mutations == "GBA,PINK1" and row.enroll_date == "2025-04"
     assert main(["load", "-z", archive, "--database", "freeze_cli", "missing.csv"]) == 1
+    overlay = tmp_path / "overlay.csv"
+    overlay.write_text('mod_name,itm_name,code,decode,mapping_notes\nSCREEN,SEX,1,"MALE, own",\n')
+    capsys.readouterr()
+    assert main(["views", "--database", "freeze_cli", "--schema", "curated_cli", "--code-list-overlay", str(overlay)]) == 0
+    assert "curated_cli.participant_status" in capsys.readouterr().out
+    assert spark.newSession().table("curated_cli.participant_status").first().mutations == "GBA,PINK1"
+    assert spark.table("freeze_cli._code_list_overlay").first().decode == "MALE, own"
+
+
+def test_missing_archive_is_one_audit_row(spark, tmp_path, capsys):
+    """A missing archive is reported; the others are loaded."""
+    archive = str(tmp_path / "good.gz")
+    with zipfile.ZipFile(archive, "w") as zf:
+        zf.writestr("Things_20250401.csv", b"A,B\n1,x\n")
+    missing = str(tmp_path / "none.gz")
+    assert main(["load", "-z", archive, "-z", missing, "--database", "freeze_missing"]) == 1
+    out = capsys.readouterr().out
+    assert "none.gz" in out and "not a readable archive" in out
+    assert spark.table("freeze_missing.things").count() == 1

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+from frostline.plans.catalog_views import DESCRIPTIONS as CATALOG_DESCRIPTIONS
+from frostline.plans.catalog_views import create_views
 from frostline.plans.publish import VIEW_DESCRIPTIONS, apply_dictionary_comments, publish_views
 from frostline.sinks.warehouse import Warehouse
 
@@ -52,6 +54,17 @@ def test_publish_views(spark, tmp_path):
     ], "mod_name string, itm_name string, dscr string, mapping_notes string")
 
     views = publish_views(spark, wh, lookup_output="decode")
+    made = create_views(wh, "curated_pub", "decode", str(tmp_path / "views"))
+    assert set(made) == {"code_list_v", "data_dictionary_v", "demographics", "participant_status",
+                         "data_dict_shared_descriptions_v"}
+    later = spark.newSession()  # no session view of the first one is left
+    assert not [t for t in later.catalog.listTables("curated_pub") if t.isTemporary or t.tableType != "VIEW"]
+    for name in made:
+        kept, session = later.table(f"curated_pub.{name}"), views[name]
+        assert kept.dtypes == session.dtypes, name
+        assert sorted(map(str, kept.collect())) == sorted(map(str, session.collect())), name
+    described = {r.col_name: r for r in later.sql("DESCRIBE EXTENDED curated_pub.demographics").collect()}
+    assert described["sex"].comment == "Sex" and described["Comment"].data_type == CATALOG_DESCRIPTIONS["demographics"]
     demo = {r.rec_id: r for r in spark.table("demographics").collect()}
     assert demo["A1"].sex == "MALE"            # overlay decode wins
     assert demo["A1"].aficberb is True         # 'Yes' -> true
@@ -99,3 +112,33 @@ def test_lookup_compares_a_code_list_of_digits_as_text(spark):
                                     "mod_name string, itm_name string, code string, decode string, mapping_notes string")
     annotated = codes.selectExpr("*", "CAST(NULL AS STRING) AS mapping_notes")
     assert {r.decode for r in overlay_code_list(annotated, overlay).collect()} == {"LEFT", "Right"}
+
+
+def test_views_are_made_again_over_a_new_overlay(spark, tmp_path):
+    from frostline.plans.catalog_views import overlay_tables
+
+    wh = Warehouse(spark, database="freeze_again", location=str(tmp_path / "wh"))
+    schema = "mod_name string, itm_name string, code string, decode string, mapping_notes string"
+    _load(spark, wh, "code_list_annotated", [("SCREEN", "SEX", "1", "Male", None)], schema)
+    assert create_views(wh, "curated_again", location=str(tmp_path / "views")) == ["code_list_v"]
+    read = lambda: [tuple(r) for r in spark.table("curated_again.code_list_v").collect()]
+    assert read() == [("SCREEN", "SEX", "1", "MALE", None)]  # the shipped overlay
+    overlay_tables(wh, spark.createDataFrame([("SCREEN", "SEX", "1", None, "it's a note")], schema))
+    assert read() == [("SCREEN", "SEX", "1", "Male", "it's a note")]  # no new view is needed
+
+
+def test_permanent_diagnosis_view_looks_up_each_row_s_module(spark, tmp_path):
+    wh = Warehouse(spark, database="freeze_diag", location=str(tmp_path / "wh"))
+    _load(spark, wh, "code_list_annotated", [("SCREEN", "DOMSIDE", "1", "Left", None), ("OTHER", "DOMSIDE", "1", "Links", None)],
+          "mod_name string, itm_name string, code string, decode string, mapping_notes string")
+    _load(spark, wh, "pd_diagnosis_history", [
+        ("D1", 1, "SC", "SCREEN", "04/2025", "03/2020", None, 1, 0, 1, None, 0, 1.0, "04/2025"),
+        ("D2", 2, "SC", "OTHER", None, "text", "01/2021", 0, 0, 0, 0, 0, 1.0, None),
+    ], "rec_id string, patno bigint, event_id string, pag_name string, infodt string, sxdt string, pddxdt string, "
+       "dxbrady int, dxothsx int, dxposins int, dxrigid int, dxtremor int, domside double, orig_entry string")
+    views = publish_views(spark, wh, lookup_output="decode")
+    assert create_views(wh, "curated_diag", "decode", str(tmp_path / "views")) == ["code_list_v", "pd_diagnosis_history"]
+    kept, session = spark.newSession().table("curated_diag.pd_diagnosis_history"), views["pd_diagnosis_history"]
+    assert kept.dtypes == session.dtypes
+    assert sorted(map(str, kept.collect())) == sorted(map(str, session.collect()))
+    assert {r.rec_id: (r.domside, r.dx_symptoms) for r in kept.collect()} == {"D1": ("Left", "BRADY,POSINS"), "D2": ("Links", None)}
