@@ -128,3 +128,22 @@ def test_hot_participant_is_split_by_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("name", ["view_demographics", "view_diagnosis_history", "view_participant_status"])
+def test_generated_methods_are_small_enough_to_be_compiled(spark, name):
+    """The JVM compiles methods of at most 8000 bytes; lookups add no job while a view is built."""
+    from frostline.operators.codes import CodeLookup
+    from frostline.plans import standins as si
+
+    df = entry_mod.queries()[name](spark, SF)
+    df.collect()
+    stages = df._jdf.queryExecution().debug().codegenToSeq()
+    assert stages.size() and all(stages.apply(i)._3().maxMethodCodeSize() < 8000 for i in range(stages.size()))
+    t = si.Tables(spark, SF)
+    view, facts = si.code_list_view(t), si.diagnosis_history_raw(t)
+    spark.sparkContext.setJobGroup(f"build-{name}", "")
+    lookup = CodeLookup(view)
+    lookup.add(facts, "side", "Brand#11", "SIZE", "domside")
+    assert lookup.small and not spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
