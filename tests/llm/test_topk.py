@@ -10,15 +10,11 @@ def brute(rows, queries, k):
     def good(v):
         return v is not None and all(x is not None and math.isfinite(x) for x in v)
 
-    ints = {}
-    for i, v in rows:
-        if i is not None and good(v):
-            ints[i] = min(ints[i], v) if i in ints else v
-    ints = {i: [math.floor(256 * x) for x in v] for i, v in ints.items()}
+    ints = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and good(v)]
     out = []
-    for i in queries:
-        if i in ints:
-            best = sorted(((-sum(a * b for a, b in zip(ints[i], w)), j) for j, w in ints.items() if j != i))[:k]
+    for own, (i, v) in enumerate(ints):
+        if i in queries:
+            best = sorted(((-sum(a * b for a, b in zip(v, w)), j) for n, (j, w) in enumerate(ints) if n != own))[:k]
             out += [(i, r + 1, j, -s) for r, (s, j) in enumerate(best)]
     return sorted(out)
 
@@ -69,7 +65,24 @@ def test_distant_annuli_are_left(spark):
     longest = base.agg({"square": "max"}).first()[0]
     pivots, width = K._pivots([K._padded(r.vec, 8) for r in base.collect()], longest, 8)
     cells = K._cells(K._keyed(base, pivots, width, longest, 8))
-    one = base.where("id = 0").withColumn("least", base["square"] * 0.98)
+    one = base.where("id = 0").selectExpr("*", "square * 0.98 least", "row query", "row own")
     visits = K._visits(one, "least", pivots, width, longest, 8, 5)
     met = visits.join(cells, "pivot").where("ring between low and high").selectExpr("sum(size(members)) n").first().n
     assert met < 1000
+
+
+def test_rows_that_share_an_id_are_candidates_and_queries(spark):
+    rows = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (1, [3.0, 0.0]), (2, [0.5, 0.0]), (0, [1.0, 0.0]), (2, [0.5, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    for asked in ([0], [1], [0, 1, 2]):
+        got = K.top_k(df, df.where(df.vec_id.isin(asked)), 3)
+        assert sorted(map(tuple, got.collect())) == brute(rows, asked, 3)
+
+
+def test_long_vectors_and_one_hot_id(spark):
+    """Vectors of 5000 components, and an id that holds a third of all rows."""
+    rng = random.Random(3)
+    rows = [(i if i % 3 else 7, [rng.gauss(0, 1) for _ in range(5000)]) for i in range(24)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = K.top_k(df, df.where("vec_id in (7, 10)"), 5)
+    assert sorted(map(tuple, got.collect())) == brute(rows, [7, 10], 5)
