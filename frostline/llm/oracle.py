@@ -4,6 +4,21 @@ _TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'ab
           r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_substring_dedup": r"""
+        WITH a AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+        t AS (SELECT doc_id, unnest(ws) AS word, unnest(range(len(ws))) AS i FROM a),
+        g AS (SELECT doc_id, i, word,
+                     CASE WHEN count(*) OVER f = 20 THEN md5(array_to_string(list(word) OVER f, ' ')) END AS words
+              FROM t WINDOW f AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING)),
+        l AS (SELECT doc_id, i, word, words IS NOT NULL AND row_number() OVER (PARTITION BY words ORDER BY doc_id, i) > 1 AS later FROM g),
+        c AS (SELECT doc_id, i, word,
+                     bool_or(later) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+              FROM l),
+        k AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS kept
+              FROM c GROUP BY doc_id)
+        SELECT a.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+               sha256(coalesce(kept, '')) AS kept_sha256
+        FROM a LEFT JOIN k ON a.doc_id = k.doc_id""",
     "op9_exact_top_k": """
         WITH v AS (
             SELECT row_number() OVER () AS own, vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e
