@@ -87,7 +87,10 @@ def main(argv: list[str] | None = None) -> int:
                 print(f"-- schema inferred for {table}")
                 report = schema_report(profile(raw.drop(MEMBER_ID, CORRUPT), table)).toPandas()
                 print(report.to_string(index=False))
-        return 0
+        failed = [m for m in staged.members if m.status in ("error", "not_found")]
+        for m in failed:
+            print(f"not described: {m.member}  ({m.error})", file=sys.stderr)
+        return 1 if failed else 0
 
     audit = load_freeze(spark, Warehouse(spark, args.database), options=opts, **kw)
     rows = audit.collect()

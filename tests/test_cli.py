@@ -43,3 +43,13 @@ def test_missing_archive_is_one_audit_row(spark, tmp_path, capsys):
     out = capsys.readouterr().out
     assert "none.gz" in out and "not a readable archive" in out
     assert spark.table("freeze_missing.things").count() == 1
+
+
+def test_describe_reports_members_it_cannot_read(spark, tmp_path, capsys):
+    archive = str(tmp_path / "mixed.gz")
+    with zipfile.ZipFile(archive, "w") as zf:
+        zf.writestr("Good_20250401.csv", b"A,B\n1,x\n")
+        zf.writestr("Bad_20250401.csv", b"A,B\n1,\x81\n")  # a byte that the code page does not define
+    assert main(["describe", "-z", archive]) == 1
+    out = capsys.readouterr()
+    assert "schema inferred for good" in out.out and "Bad_20250401.csv" in out.err
