@@ -24,9 +24,11 @@ sums in two steps, over buckets and within buckets of about ``BUCKET_ROWS``
 documents, so that a source with a third of all rows is spread like any other.
 
 Cases: a null or empty text has size 0 and is taken 0 words.  A null source is
-a source, the last.  Documents without an id come last in a tie.  Repeated rows
-are documents of their own in ``mix``; ``curriculum`` takes rows alike in every
-column for one document.  An empty table gives an empty result.
+a source, the last.  Documents without an id, rows that share one and repeated rows are
+documents of their own, in ``mix`` and in ``curriculum``, and are spread over
+the buckets of their source like all others.  An empty table gives an empty
+result.  ``mix`` reads the columns it names and no other; ``curriculum`` returns
+all columns, whatever their names (hashed to tell rows apart, so no maps).
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 
 from ..operators.ordering import with_sort_position
 from ..session import ensure_checkpoint_dir
+from .names import named_back, numbered
 
 WEIGHTS = (3.0, 1.0, 2.0)
 BUDGET = 1.5
@@ -46,6 +49,8 @@ MOST = 2
 SLOPES = (-0.5, 0.0, 0.5)
 #: Documents in a bucket of a source's stream, on average.
 BUCKET_ROWS = 2000
+#: Rows alike that are numbered at once.
+ALIKE_ROWS = 10_000
 #: Documents on each side of a stream's end that may be left out or added.
 NEAR = 16
 
@@ -82,17 +87,19 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     """One row per document with what the mix takes of it, and when.
 
     ``doc_id, source, carry, size, source_size, target, taken`` and ``copies``:
-    an array of ``(words, position)``, one for each time the document is met.
+    an array of ``(words, position)``, one for each time the document is met;
+    ``order`` is a hash that tells rows of a source apart.
     """
     if any(not -1 <= c <= 1 for c in slopes) or any(w <= 0 for w in weights) or not 0 < budget <= most:
         raise ValueError("slopes must be within -1 and 1, weights positive, the budget at most the cap")
     ensure_checkpoint_dir(docs.sparkSession)
     # Sizes are read three times below; as three short columns they are cheap to keep.
-    sized = docs.select("doc_id", "source", *carry, word_count(text).alias("size")).checkpoint()
+    sized = _numbered_rows(docs.select("doc_id", "source", *carry, word_count(text).alias("size"),
+                                       F.xxhash64(text).alias("of_text"))).checkpoint()
     targets = source_targets(sized, weights, budget, most).withColumnRenamed("source", "of_source")
     buckets = F.ceil(F.col("n_docs") / BUCKET_ROWS).cast("int")
     place = (sized.join(targets, F.col("source").eqNullSafe(F.col("of_source"))).drop("of_source")
-             .withColumn("order", F.xxhash64("source", "doc_id"))
+             .withColumn("order", F.xxhash64("source", "doc_id", "of_text", "nth"))
              .withColumn("bucket", F.pmod(F.col("order"), buckets)))
 
     sums = place.groupBy(F.col("source").alias("s"), F.col("bucket").alias("b")).agg(F.sum("size").alias("words"))
@@ -100,7 +107,7 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     around = [F.coalesce(F.sum("words").over(earlier.rowsBetween(Window.unboundedPreceding, k)), F.lit(0)) for k in (-2, 1)]
     sums = sums.select("s", "b", F.coalesce(F.sum("words").over(earlier), F.lit(0)).alias("before"),
                        around[0].alias("near_from"), around[1].alias("near_until"))
-    within = (Window.partitionBy("source", "bucket").orderBy("order", F.col("doc_id").asc_nulls_last(), "size", *carry)
+    within = (Window.partitionBy("source", "bucket").orderBy("order", F.col("doc_id").asc_nulls_last(), "size", *carry, "nth")
               .rowsBetween(Window.unboundedPreceding, -1))
     place = (place.join(sums, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
              .withColumn("start", F.col("before") + F.coalesce(F.sum("size").over(within), F.lit(0))))
@@ -123,7 +130,21 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUD
     met = F.filter(F.array(*turns), lambda c: c["words"] > 0)
     return place.withColumn("copies", met).select(
         "doc_id", "source", *carry, "size", "source_size", "target",
-        F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"), "copies")
+        F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"), "copies", "order")
+
+
+def _numbered_rows(rows: DataFrame) -> DataFrame:
+    """``rows`` plus ``nth``, which numbers rows alike from 0, however many there are.
+
+    Rows alike are counted (pre-aggregated by task) and dealt out again in parts
+    of ``ALIKE_ROWS``, so a row that a third of the table repeats is spread.
+    """
+    columns = rows.columns
+    parts = rows.groupBy(*columns).agg(F.count(F.lit(1)).alias("many")).withColumn(
+        "part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("many") - 1) / ALIKE_ROWS).cast("long"))))
+    begin = F.col("part") * ALIKE_ROWS
+    nth = F.sequence(begin, F.least(begin + ALIKE_ROWS, F.col("many")) - 1)
+    return parts.repartition("of_text", "part").select(*columns, F.explode(nth).alias("nth"))
 
 
 def _last_passes(place: DataFrame) -> DataFrame:
@@ -171,19 +192,37 @@ def _time_of(share: Column, slope: Column) -> Column:
 def curriculum(docs: DataFrame, text: str = "text", **how) -> DataFrame:
     """The training order: ``docs`` plus ``position``, a row for each time a document is met.
 
-    Texts are whole.  Rows are range-sorted by position.
+    Texts are whole.  Rows are range-sorted by position.  A column of ``docs`` named
+    ``position`` stays, before the one made here.
     """
-    columns = [f"`{c}`" for c in docs.columns]
-    marked = docs.withColumn("__row_hash", F.xxhash64(*columns)).dropDuplicates(["doc_id", "__row_hash"])
-    mixed = mix(marked, text=text, carry=["__row_hash"], **how).select(
-        F.col("doc_id").alias("__id"), F.col("__row_hash").alias("__hash"),
-        F.explode("copies").alias("__copy"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__row_hash") == F.col("__hash"))
-    met = marked.join(mixed, same)
-    out = [F.col(c) for c in columns]
-    return met.select(*out, F.col("__copy.position").alias("position")).orderBy("position", "doc_id")
+    own, names = numbered(docs)
+    at = {c: names[c] for c in ("doc_id", "source", text)}
+    rows = own.withColumns({"row_a": F.xxhash64(*own.columns), "row_b": F.xxhash64(F.lit(1), *own.columns)})
+    mixed = mix(rows.select(*(F.col(at[c]).alias(c) for c in at), "row_a", "row_b"), text=text, carry=["row_a", "row_b"], **how)
+    times = mixed.select("row_a", "row_b", F.explode("copies.position").alias("position"))
+    # Of rows alike in every column one is looked up as often as all of them are met.
+    met = rows.dropDuplicates(["row_a", "row_b"]).join(times, ["row_a", "row_b"])
+    met = met.orderBy("position", "row_a", "row_b").select(*own.columns, "position")
+    return named_back(met, [*docs.columns, "position"])
 
 
 def mixed_documents(docs: DataFrame, text: str = "text") -> DataFrame:
     """``curriculum`` in the columns of ``docs``."""
-    return curriculum(docs, text).select(*(F.col(f"`{c}`") for c in docs.columns))
+    own, _ = numbered(docs)
+    ordered = curriculum(docs, text).toDF(*own.columns, "position")
+    return named_back(ordered.drop("position"), docs.columns)
+
+
+def training_places(mixed: DataFrame) -> DataFrame:
+    """``mixed``, of ``mix``, with ``first_position``, ``first_place`` and ``last_place`` for ``copies`` and ``order``.
+
+    All copies are range-sorted by position; a place is a copy's number in that
+    order, from 1.  Documents that the mix does not take have nulls.
+    """
+    columns = [c for c in mixed.columns if c not in ("copies", "order")]
+    rows = mixed.withColumn("row", F.monotonically_increasing_id()).checkpoint()
+    met = rows.select("row", "order", F.posexplode("copies.position").alias("turn", "position"))
+    placed = with_sort_position(met, [F.col("position"), F.col("order"), F.col("turn"), F.col("row")], "place")
+    places = placed.groupBy("row").agg(F.min("position").alias("first_position"), F.min("place").alias("first_place"),
+                                       F.max("place").alias("last_place"))
+    return rows.join(places, "row", "left").select(*columns, "first_position", "first_place", "last_place")

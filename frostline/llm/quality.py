@@ -20,7 +20,8 @@ words, or more than half of its words in windows of three that it repeats.
 Cases: a null text has no words and is rejected, its cleaned text is null; an
 empty text likewise is rejected and stays empty.  Null ids and repeated rows
 are judged row by row.  An empty table gives an empty result.  Other columns
-are carried; a clash with the columns made here is resolved in favour of these.
+are carried; in ``judge`` a clash with the columns made here is resolved in favour
+of these, ``kept_documents`` returns the input's own.
 """
 
 from __future__ import annotations
@@ -31,9 +32,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import words as W
+from .names import named_back, numbered
 
 LEAST_WORDS = 50
 MOST_LOST = 0.5
@@ -221,10 +224,12 @@ def _places(data: bytes, what: bytes) -> np.ndarray:
 
 
 def kept_documents(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The documents that are kept, with their cleaned text and its length, in the columns of ``docs``."""
-    from pyspark.sql import functions as F
-
-    judged = judge(docs, text).where("kept").withColumn(text, F.col("cleaned"))
-    if "n_chars" in docs.columns:
-        judged = judged.withColumn("n_chars", F.length(text).cast(docs.schema["n_chars"].dataType))
-    return judged.select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The documents that are kept, with their cleaned text and its length, in the columns of ``docs``.
+
+    All other columns come back as they are, also if ``judge`` makes one of their name.
+    """
+    own, names = numbered(docs)
+    judged = judge(own, names[text]).where("kept").withColumn(names[text], F.col("cleaned"))
+    if "n_chars" in names:
+        judged = judged.withColumn(names["n_chars"], F.length("cleaned").cast(docs.schema["n_chars"].dataType))
+    return named_back(judged.select(*own.columns), docs.columns)

@@ -102,10 +102,10 @@ def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .mixing import mix
+    from .mixing import mix, training_places
 
-    return mix(documents(spark, sf_dir, "doc_id", "source", "text")).select(
-        "doc_id", "size", "source_size", "target", "taken")
+    return training_places(mix(documents(spark, sf_dir, "doc_id", "source", "text"))).select(
+        "doc_id", "size", "source_size", "target", "taken", "first_position", "first_place", "last_place")
 
 
 @query

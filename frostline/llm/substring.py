@@ -25,7 +25,8 @@ text.  A null ``doc_id`` comes after all others.  Rows that share a ``doc_id``
 are ordered by packed block, then by place in it, so of repeated rows exactly
 one stays whole.  An empty table gives an empty result.  Further columns of the
 input are carried through; a clash with the columns made here (``n_words``,
-``n_removed``, ``kept``) is resolved in favour of those made here.
+``n_removed``, ``kept``) is resolved in favour of those made here, but
+``shortened_documents`` returns the input's own.
 """
 
 from __future__ import annotations
@@ -35,9 +36,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from . import blocks as B
 from . import words as W
+from .names import named_back, numbered
 
 SPAN = 20
 _NARROW = 40  # hash bits sent beside the group number in the index step
@@ -71,6 +74,19 @@ def dedup_substrings(docs: DataFrame, span: int = SPAN, doc_id: str = "doc_id",
                        lambda r, a: _removed(r, a, span, text, keep_layout))
 
 
+def shortened_documents(docs: DataFrame, span: int = SPAN, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` without the words that go, in its columns; a document without any words left goes.
+
+    ``n_chars``, if there is one, is the new text's length; all other columns come back as they are.
+    """
+    own, names = numbered(docs)
+    out = dedup_substrings(own, span, names[doc_id], names[text], keep_layout=True).where("n_removed < n_words")
+    out = out.withColumn(names[text], F.col("kept"))
+    if "n_chars" in names:
+        out = out.withColumn(names["n_chars"], F.length("kept").cast(docs.schema["n_chars"].dataType))
+    return named_back(out.select(*own.columns), docs.columns)
+
+
 def _grams(texts: list[bytes], k: int, seeds: tuple[int, ...]) -> Iterator[tuple]:
     """Of each run of texts: its words, which k-grams lie in one text, and their hashes."""
     for begin, end in W.groups_of(texts):

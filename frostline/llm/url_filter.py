@@ -23,7 +23,8 @@ rule; the method judges its characters, and a URL that has none (null, empty) is
 blocked.  If rules decide no URL of a class, nothing tells the classes apart
 and undecided URLs are allowed.  Null ids, repeated rows and repeated URLs are
 judged row by row.  An empty table gives an empty result.  Other columns are
-carried; clashes with those made here are resolved in favour of these.
+carried, whatever their names; only those named like the five columns returned
+(``host``, ``path``, ``rule``, ``verdict``, ``score``) give way to these.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .names import named_back, numbered
+
 #: Verdict and rule; a rule is a host and the beginning of a path.
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 SMOOTHING = 5.0
@@ -74,7 +77,9 @@ def _trigrams(url: Column) -> Column:
 def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url: str = "url") -> DataFrame:
     """``pages`` plus ``host``, ``path``, ``rule``, ``verdict`` and ``score``."""
     pages = pages.drop(*_MADE)
-    columns = [f"`{c}`" for c in pages.columns]
+    kept = pages.columns
+    pages, names = numbered(pages)
+    columns, url = pages.columns, names[url]
     verdicts = {rule: verdict for verdict, rule in rules}
     host, path = host_and_path(F.col(url))
     ruled = (pages.withColumn("host", host).withColumn("path", path)
@@ -87,9 +92,10 @@ def judge_urls(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, url:
     grams = ruled.withColumn("__row", F.monotonically_increasing_id()).withColumn("gram", F.explode_outer(_trigrams(F.col(url))))
     scored = (grams.join(F.broadcast(_model(grams)), "gram", "left")
               .groupBy("__row").agg(F.avg("ratio").alias("score"),
-                                    *(F.first(c).alias(c.strip("`")) for c in [*columns, "host", "path", "rule", "decided"])))
+                                    *(F.first(c).alias(c) for c in [*columns, "host", "path", "rule", "decided"])))
     allowed = F.when(F.col("score") >= _threshold(scored), "allow").otherwise("block")
-    return scored.withColumn("verdict", F.coalesce("decided", allowed)).select(*columns, *_MADE)
+    judged = scored.withColumn("verdict", F.coalesce("decided", allowed)).select(*columns, *_MADE)
+    return named_back(judged, [*kept, *_MADE])
 
 
 def _model(grams: DataFrame) -> DataFrame:

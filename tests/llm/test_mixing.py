@@ -74,16 +74,56 @@ def test_curriculum_rows(spark):
     df = frame(spark, rows).withColumnRenamed("size", "n_chars").selectExpr("doc_id", "text", "source", "cast(length(text) as int) n_chars")
     out = M.mixed_documents(df)
     assert out.dtypes == df.dtypes
-    unique = list(dict.fromkeys(rows))
-    mixed = M.mix(df.dropDuplicates()).collect()
+    mixed = M.mix(df).collect()
     met = out.collect()
     assert len(met) == sum(len(r.copies) for r in mixed)
     assert sum(len(r.text.split()) for r in met) == sum(r.taken for r in mixed)
-    whole = {(d, s): t for d, t, s in unique}
-    short = [r for r in met if r.text != whole[r.doc_id, r.source]]
-    assert len(short) <= len({s for _, _, s in unique})
-    assert all(whole[r.doc_id, r.source].split()[:len(r.text.split())] == r.text.split() for r in short)
-    assert all(r.n_chars == len(r.text) for r in met)
+    whole = {(d, s): t for d, t, s in rows}
+    assert all(r.text == whole[r.doc_id, r.source] and r.n_chars == len(r.text) for r in met)
+    takes = lambda rs, n: sorted((str(r.doc_id), str(r.source)) for r in rs for _ in range(n(r)))
+    assert takes(met, lambda r: 1) == takes(mixed, lambda r: len(r.copies))
+
+
+def test_repeated_rows_are_documents_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(M, "ALIKE_ROWS", 7)
+    for doc_id in (5, None):
+        rows = [(i + 100, "a b c", "s") for i in range(50)] + [(doc_id, "a b c", "s")] * 50
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+        mixed = M.mix(df).collect()
+        assert len(mixed) == 100 and sum(r.taken for r in mixed) == 450 and len({r.order for r in mixed}) == 100
+        assert M.curriculum(df).count() == 150
+
+
+def test_any_column_names(spark):
+    rows = [(i, f"one two {i}", "ab"[i % 2], f"p{i}", f"c{i}", i, f"n{i}") for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, position string, __copy string, size int, `a.b c` string")
+    out = M.curriculum(df)
+    assert out.columns == [*df.columns, "position"]
+    met = M.mixed_documents(df)
+    assert met.dtypes == df.dtypes and len(met.collect()) == out.count() >= 55
+    assert {tuple(r) for r in met.collect()} <= set(rows)
+
+
+def test_places_number_the_training_order(spark):
+    df = frame(spark, corpus()).drop("size")
+    mixed = M.mix(df)
+    out = M.training_places(mixed)
+    assert out.columns == ["doc_id", "source", "size", "source_size", "target", "taken", "first_position", "first_place", "last_place"]
+    got = out.collect()
+    key = lambda r: (str(r.doc_id), str(r.source), r.size, r.taken)
+    assert sorted(map(key, got)) == sorted(map(key, mixed.collect()))
+    assert all((r.first_place is None) == (r.taken == 0) for r in got)
+    met = sorted((c.position, r.order, turn) for r in mixed.collect() for turn, c in enumerate(r.copies))
+    places = sorted(p for r in got if r.taken for p in {r.first_place, r.last_place})
+    assert places == list(range(1, len(met) + 1))
+    assert all(met[r.first_place - 1][0] == r.first_position for r in got if r.taken)
+
+
+def test_no_python_in_the_plan(spark):
+    df = frame(spark, corpus()).drop("size")
+    for out in (M.mix(df), M.curriculum(df), M.training_places(M.mix(df))):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert not any(w in plan for w in ("Python", "Pandas", "Arrow"))
 
 
 def test_documents_are_taken_whole(spark):

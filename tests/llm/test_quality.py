@@ -100,6 +100,13 @@ def test_kept_documents_have_the_columns_of_documents(spark):
     assert [tuple(r) for r in out.collect()] == [(1, prose(60), len(prose(60)))]
 
 
+def test_other_columns_keep_their_values(spark):
+    df = spark.createDataFrame([(1, f"{prose(60)}\nno stop", "KEEP", "c", 7)], "doc_id long, text string, n_words string, cleaned string, kept int")
+    out = Q.kept_documents(df)
+    assert out.dtypes == df.dtypes
+    assert [tuple(r) for r in out.collect()] == [(1, prose(60), "KEEP", "c", 7)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert Q.judge(df).collect() == [] and Q.kept_documents(df).collect() == []

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from frostline.llm.substring import dedup_substrings
+from frostline.llm.substring import dedup_substrings, shortened_documents
 
 SPACE = " \t\n\r\x0b\x0c"
 
@@ -93,3 +93,13 @@ def test_layout_is_kept(spark):
 def test_empty_table(spark):
     out = dedup_substrings(spark.createDataFrame([], "doc_id long, text string"))
     assert out.collect() == [] and out.columns == ["doc_id", "text", "n_words", "n_removed", "kept"]
+
+
+def test_shortened_documents_keep_their_other_columns(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    rows = [(1, f"first {passage}", "KEEP", 4, 0), (2, f"second\n{passage} end", "KEEP", 5, 0), (3, passage, "KEEP", 6, 0), (4, None, "x", 7, 0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_words string, kept int, n_chars int")
+    out = shortened_documents(df)
+    assert out.dtypes == df.dtypes
+    got = sorted(tuple(r) for r in out.collect())
+    assert got == [(1, f"first {passage}", "KEEP", 4, len(passage) + 6), (2, "second\nend", "KEEP", 5, 10)]

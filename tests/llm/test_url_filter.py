@@ -85,6 +85,15 @@ def test_equals_brute_force(spark):
     assert {g[4] for g in got if g[3] is None} == {"allow", "block"}
 
 
+def test_columns_of_any_name_are_carried(spark):
+    names = ["ratio", "decided", "gram", "__row", "allow", "score_", "a.b c"]
+    rows = [(i, f"http://a{i}.{'net' if i % 2 else 'com'}/", *(f"{n}{i}" for n in names)) for i in range(6)]
+    df = spark.createDataFrame(rows, ["page_id", "url", *names])
+    out = U.judge_urls(df)
+    assert out.columns == [*df.columns, "host", "path", "rule", "verdict", "score"]
+    assert sorted(tuple(r)[:len(df.columns)] for r in out.collect()) == rows
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     plan = U.judge_urls(df)._jdf.queryExecution().executedPlan().toString()
