@@ -10,13 +10,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from frostline.llm.bpe_chunks import encode_documents
 from frostline.llm.mixing import mixed_documents
 from frostline.llm.quality import kept_documents
 from frostline.llm.simhash import one_of_each
-from frostline.llm.substring import dedup_substrings
+from frostline.llm.substring import shortened_documents
 from frostline.session import scratch_dir
 
 
@@ -32,9 +31,7 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that stand earlier go; a document without any words left goes."""
-    deduped = dedup_substrings(docs, keep_layout=True).where("n_removed < n_words")
-    out = deduped.withColumn("text", F.col("kept")).withColumn("n_chars", F.length("kept").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return shortened_documents(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
