@@ -144,7 +144,7 @@ def _numbered_rows(rows: DataFrame) -> DataFrame:
         "part", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("many") - 1) / ALIKE_ROWS).cast("long"))))
     begin = F.col("part") * ALIKE_ROWS
     nth = F.sequence(begin, F.least(begin + ALIKE_ROWS, F.col("many")) - 1)
-    return parts.repartition("of_text", "part").select(*columns, F.explode(nth).alias("nth"))
+    return parts.repartition("doc_id", "of_text", "part").select(*columns, F.explode(nth).alias("nth"))
 
 
 def _last_passes(place: DataFrame) -> DataFrame:
