@@ -44,7 +44,7 @@ def main(argv: list[str] | None = None) -> int:
     v.add_argument("--dictionary-overlay", default=None, help="CSV that replaces the dictionary overlay table")
     args = p.parse_args(argv)
 
-    from .plans.load import LoadOptions, load_freeze, scan_staged_table, stage_freeze
+    from .plans.load import LoadOptions, load_freeze, reject_malformed, scan_staged_table, source_names, stage_freeze
     from .sinks.warehouse import Warehouse
 
     spark = _session()
@@ -81,11 +81,15 @@ def main(argv: list[str] | None = None) -> int:
         from .sources.staging import MEMBER_ID
 
         staged = stage_freeze(spark, options=opts, **kw)
-        for table in sorted(staged.tables()):
+        for table, members in sorted(staged.tables().items()):
             raw = scan_staged_table(spark, staged, table, opts)
             if raw is not None:
+                names = source_names(staged, table)
+                raw = reject_malformed(raw, [m for m in members if m.status == "pending"])
+                if all(m.status != "pending" for m in members):
+                    continue
                 print(f"-- schema inferred for {table}")
-                report = schema_report(profile(raw.drop(MEMBER_ID, CORRUPT), table)).toPandas()
+                report = schema_report(profile(raw.drop(MEMBER_ID, CORRUPT), table, csv_names=names)).toPandas()
                 print(report.to_string(index=False))
         failed = [m for m in staged.members if m.status in ("error", "not_found")]
         for m in failed:

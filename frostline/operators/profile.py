@@ -27,6 +27,9 @@ BOOL_WORDS = ("true", "false")
 SMALLINT_RANGE = (-32768, 32767)
 INTEGER_RANGE = (-2147483648, 2147483647)
 
+# Integers that 64 bits cannot hold.
+WIDE_INTEGER, WIDE_BASE = "decimal(38,0)", "Decimal(38, 0)"
+
 PROFILE_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType(), False),
     T.StructField("ordinal", T.IntegerType(), False),
@@ -77,7 +80,10 @@ def _col_stats(df: DataFrame, i: int, name: str, infer_strings: bool):
         looks_float = ~looks_int & c.rlike(FLOAT_PATTERN)
         as_long = F.when(looks_int, c.try_cast("bigint"))
         as_double = F.when(looks_int | looks_float, c.try_cast("double"))
+        # integers beyond 64 bits, up to 38 digits
+        as_wide = F.when(looks_int & as_long.isNull(), c.try_cast(WIDE_INTEGER))
         aggs += [
+            F.count(as_wide).alias(p + "nw"), F.min(as_wide).alias(p + "minw"), F.max(as_wide).alias(p + "maxw"),
             F.count_if(looks_int & as_long.isNotNull()).alias(p + "ni"),
             F.count_if(looks_float).alias(p + "nf"),
             F.count_if((F.length(c) <= 5) & F.lower(c).isin(*BOOL_WORDS)).alias(p + "nb"),
@@ -86,15 +92,20 @@ def _col_stats(df: DataFrame, i: int, name: str, infer_strings: bool):
         ]
 
         def finish(n_rows: Column) -> Column:
-            nn, ni, nf, nb = (F.col(p + s) for s in ("nn", "ni", "nf", "nb"))
+            nn, ni, nw, nf, nb = (F.col(p + s) for s in ("nn", "ni", "nw", "nf", "nb"))
             base = (F.when(nn == 0, F.lit("String"))
                     .when(ni == nn, F.lit("Int64"))
-                    .when(ni + nf == nn, F.lit("Float64"))
+                    .when(ni + nw == nn, F.lit(WIDE_BASE))
+                    .when(ni + nw + nf == nn, F.lit("Float64"))
                     .when(nb == nn, F.lit("Boolean"))
                     .otherwise(F.lit("String")))
+            wide = [f(F.col(p + m + "i").cast(WIDE_INTEGER), F.col(p + m + "w")).cast("string")
+                    for f, m in ((F.least, "min"), (F.greatest, "max"))]
             lo = (F.when(base == "Int64", F.col(p + "mini").cast("string"))
+                  .when(base == WIDE_BASE, wide[0])
                   .when(base == "Float64", F.col(p + "minf").cast("string")))
             hi = (F.when(base == "Int64", F.col(p + "maxi").cast("string"))
+                  .when(base == WIDE_BASE, wide[1])
                   .when(base == "Float64", F.col(p + "maxf").cast("string")))
             return base, lo, hi, nn
         return aggs, finish
@@ -130,6 +141,7 @@ def narrow_sql_type(base: Column, lo: Column, hi: Column) -> Column:
             .when(base == "Boolean", F.lit("BOOLEAN"))
             .when(base == "Date", F.lit("DATE"))
             .when(base == "Datetime", F.lit("TIMESTAMP WITHOUT TIME ZONE"))
+            .when(base == "Decimal", F.lit("NUMERIC"))
             .when(base.startswith("Decimal("),
                   F.concat(F.lit("NUMERIC"), F.regexp_extract(base, r"(\(.*\))", 1)))
             .when(base.isin("List", "Struct"), F.lit("JSONB"))
@@ -160,7 +172,7 @@ COLUMNS_PER_PASS = 100
 
 
 def _profile_pass(df: DataFrame, cols: list[str], names: list[str], first: int,
-                  infer_strings: bool) -> DataFrame:
+                  infer_strings: bool, csv_names: dict[str, str]) -> DataFrame:
     aggs = [F.count(F.lit(1)).alias("__n_rows")]
     finishers = []
     for i, c in enumerate(cols):
@@ -173,7 +185,7 @@ def _profile_pass(df: DataFrame, cols: list[str], names: list[str], first: int,
     for i, (c, n, fin) in enumerate(zip(cols, names, finishers)):
         base, lo, hi, nn = fin(n_rows)
         structs.append(F.struct(
-            F.lit(first + i + 1).alias("ordinal"), F.lit(c).alias("csv_name"), F.lit(n).alias("sql_name"),
+            F.lit(first + i + 1).alias("ordinal"), F.lit(csv_names.get(c, c)).alias("csv_name"), F.lit(n).alias("sql_name"),
             base.alias("base_type"), (nn < n_rows).alias("is_nullable"),
             lo.alias("min_value"), hi.alias("max_value"),
             n_rows.alias("n_rows"), (n_rows - nn).alias("n_nulls")))
@@ -181,19 +193,26 @@ def _profile_pass(df: DataFrame, cols: list[str], names: list[str], first: int,
 
 
 def profile(df: DataFrame, table_name: str, infer_strings: bool = True,
-            columns_per_pass: int = COLUMNS_PER_PASS) -> DataFrame:
-    """One row per column of ``df`` (see ``PROFILE_SCHEMA``), in column order."""
+            columns_per_pass: int = COLUMNS_PER_PASS, csv_names: dict[str, str] | None = None) -> DataFrame:
+    """One row per column of ``df`` (see ``PROFILE_SCHEMA``), in column order.
+
+    ``csv_names``: what columns are called in their source, where that differs.
+    """
     cols = df.columns
     names = sql_names(cols)
     if not cols:
         return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
     passes = [_profile_pass(df, cols[i:i + columns_per_pass], names[i:i + columns_per_pass], i,
-                            infer_strings)
+                            infer_strings, csv_names or {})
               for i in range(0, len(cols), columns_per_pass)]
     rows = reduce(DataFrame.unionByName, passes)
+    return _with_types(rows.withColumn("table_name", F.lit(table_name)))
+
+
+def _with_types(rows: DataFrame) -> DataFrame:
     base_sql = narrow_sql_type(F.col("base_type"), F.col("min_value"), F.col("max_value"))
     return rows.select(
-        F.lit(table_name).alias("table_name"), F.col("ordinal").cast("int").alias("ordinal"),
+        "table_name", F.col("ordinal").cast("int").alias("ordinal"),
         "csv_name", "sql_name", "base_type", "is_nullable", "min_value", "max_value",
         F.concat(base_sql, F.when(F.col("is_nullable"), F.lit(" NULL")).otherwise(F.lit(" NOT NULL")))
          .alias("sql_type"),
@@ -201,6 +220,40 @@ def profile(df: DataFrame, table_name: str, infer_strings: bool = True,
         F.col("n_rows").cast("bigint").alias("n_rows"), F.col("n_nulls").cast("bigint").alias("n_nulls"))
 
 
+def merge_profiles(older: DataFrame, newer: DataFrame) -> DataFrame:
+    """The profile of both inputs' rows together, without reading them again.
+
+    Columns meet by table and cleaned name.  Each side's base type votes unless
+    it has no values: integers and wide integers give wide integers, numbers of
+    both kinds give floats, and anything else that differs gives text, so the
+    result does not depend on the order of merging.  A column that one side
+    lacks is null in all that side's rows.  Ranges of text columns are lost, as in
+    ``profile``.
+    """
+    both = older.withColumn("side", F.lit(0)).unionByName(newer.withColumn("side", F.lit(1)))
+    rows_of = both.groupBy("table_name", "side").agg(F.max("n_rows").alias("n")).groupBy("table_name").agg(F.sum("n").alias("n_rows"))
+    votes = F.when(F.col("n_rows") > F.col("n_nulls"), F.col("base_type"))
+    number = lambda kind: [f(F.col(c).try_cast(kind)) for f, c in ((F.min, "min_value"), (F.max, "max_value"))]
+    double, wide = number("double"), number(WIDE_INTEGER)
+    met = both.groupBy("table_name", "sql_name").agg(
+        F.min("ordinal").alias("ordinal"), F.max_by("csv_name", "side").alias("csv_name"), F.collect_set(votes).alias("kinds"),
+        F.sum(F.col("n_rows") - F.col("n_nulls")).alias("nn"),
+        *(e.alias(n) for e, n in zip([*double, *wide], ("mind", "maxd", "minw", "maxw"))))
+    only = lambda *names: F.size(F.array_except("kinds", F.array(*map(F.lit, names)))) == 0
+    base = (F.when(F.size("kinds") == 0, "String").when(F.size("kinds") == 1, F.element_at("kinds", 1))
+            .when(only("Int64", WIDE_BASE), WIDE_BASE).when(only("Int64", WIDE_BASE, "Float64"), "Float64").otherwise("String"))
+    met = met.withColumn("base_type", base).join(rows_of, "table_name")
+
+    def bound(side: str) -> Column:
+        whole = F.col("base_type").isin("Int8", "Int16", "Int32", "Int64", WIDE_BASE)
+        some = F.col("base_type").isin("Float32", "Float64") | F.col("base_type").startswith("Decimal(")
+        return F.when(whole, F.col(side + "w").cast("string")).when(some, F.col(side + "d").cast("string"))
+
+    return _with_types(met.select(
+        "table_name", "ordinal", "csv_name", "sql_name", "base_type", (F.col("nn") < F.col("n_rows")).alias("is_nullable"),
+        bound("min").alias("min_value"), bound("max").alias("max_value"), "n_rows", (F.col("n_rows") - F.col("nn")).alias("n_nulls")))
+
+
 def schema_report(prof: DataFrame) -> DataFrame:
     """The six-column human report: names, source type, Yes/No, range, SQL type."""
     rng = F.when(F.col("min_value").isNotNull() & F.col("max_value").isNotNull(),

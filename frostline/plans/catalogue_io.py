@@ -16,7 +16,7 @@ from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_encode, repair
 from .freeze_fixture import Freeze
 from .load import load_freeze, scan_staged_table, stage_freeze
 from ..operators import checks
-from ..operators.profile import profile, schema_report
+from ..operators.profile import merge_profiles, profile, schema_report
 from . import standins as si
 from .catalog_views import create_views
 from .catalogue import query
@@ -42,6 +42,14 @@ def prf_narrow_types(spark, sf_dir):
     return _part_profile(spark, sf_dir).select("csv_name", "sql_name", "sql_type", "spark_type")
 
 
+@query("prf_merge")
+def prf_merge(spark, sf_dir):
+    """Profiles of two parts of a table, merged; a column of integers beyond 64 bits."""
+    p = si.part_with_wide(Tables(spark, sf_dir))
+    large = F.coalesce(F.col("is_big") == "true", F.lit(False))
+    return merge_profiles(profile(p.where(~large), "part"), profile(p.where(large), "part"))
+
+
 @query("prf_report")
 def prf_report(spark, sf_dir):
     return schema_report(_part_profile(spark, sf_dir))

@@ -129,7 +129,11 @@ def stage_freeze(spark: SparkSession, archives: Sequence[str] | None = None,
                 audit.append(_Member(r["archive"], r["member"], None, "", status="skipped", error="not a CSV member"))
             wanted = wanted.filter(F.lower("member").endswith(".csv"))
     elif files:
-        wanted = msrc.find_files(spark, files).select(
+        there, absent = msrc.find_each(spark, [files] if isinstance(files, str) else list(files))
+        audit += [_Member(None, path, None, "", status="not_found", error="no such file") for path in absent]
+        if there is None:
+            return Staged(audit, os.path.join(stage, "text"), stage)
+        wanted = there.select(
             F.lit(None).cast("string").alias("archive"), F.lit(0).alias("entry"), F.col("path").alias("member"))
     else:
         raise ValueError("give archives or files")
@@ -180,6 +184,28 @@ def scan_staged_table(spark: SparkSession, staged: Staged, table: str,
     return raw
 
 
+def source_names(staged: Staged, table: str) -> dict[str, str]:
+    """What the columns of a table's staged members are called in their headers, by cleaned name."""
+    out: dict[str, str] = {}
+    for header in dict.fromkeys(m.header or "" for m in staged.tables().get(table, [])):
+        names = csvsrc.parse_header(header)
+        for clean, name in zip(sql_names(names), names):
+            out.setdefault(clean, name)
+    return out
+
+
+def reject_malformed(rows: DataFrame, members: Sequence[_Member]) -> DataFrame:
+    """``rows`` of a table scan without the members that hold malformed records, which fail."""
+    data = [f"`{c}`" for c in rows.columns if c not in (MEMBER_ID, csvsrc.CORRUPT)]
+    # All columns are read, as a record is malformed by its number of fields.
+    bad = (rows.groupBy(MEMBER_ID).agg(F.count(csvsrc.CORRUPT).alias("bad"), F.max(F.xxhash64(*data)))
+           .where("bad > 0").collect())
+    by_id = {m.member_id: m for m in members}
+    for r in bad:
+        by_id[r[MEMBER_ID]].fail(f"{r['bad']} malformed CSV record(s)")
+    return _without_rejected(rows, by_id.values())
+
+
 def load_freeze(spark: SparkSession, warehouse: Warehouse, archives: Sequence[str] | None = None,
                 files: Sequence[str] | None = None, members: Sequence[str] | None = None,
                 options: LoadOptions | None = None, stage: str | None = None) -> DataFrame:

@@ -56,6 +56,18 @@ SELECT 'part' AS table_name, CAST(ordinal AS INTEGER) AS ordinal, csv_name, sql_
 FROM t"""
 
 
+# The same profile with one more column, of integers up to 38 digits.
+_WIDE = (PART_PROFILE.replace("CAST(NULL AS VARCHAR) AS empty_col\n", "CAST(NULL AS VARCHAR) AS empty_col, "
+                              "CAST(p_partkey AS VARCHAR) || repeat('0', 18) AS wide\n")
+         .replace("\n  FROM pt)", "\n  FROM pt\n  UNION ALL\n" + _stats(len(PART_COLUMNS) + 1, "wide", "wide") + ")")
+         .replace("AS BIGINT) IS NOT NULL", "AS HUGEINT) IS NOT NULL").replace("AS BIGINT)) AS m", "AS HUGEINT)) AS m")
+         .replace("WHEN ni = nn THEN 'Int64'", "WHEN ni = nn AND (mini < -9223372036854775808 OR maxi > 9223372036854775807) "
+                                               "THEN 'Decimal(38, 0)' WHEN ni = nn THEN 'Int64'")
+         .replace("CASE base_type WHEN 'Int64'", "CASE replace(base_type, 'Decimal(38, 0)', 'Int64') WHEN 'Int64'")
+         .replace("WHEN base_type = 'Boolean'", "WHEN base_type = 'Decimal(38, 0)' THEN 'NUMERIC(38, 0)' WHEN base_type = 'Boolean'")
+         .replace("WHEN 'BOOLEAN' THEN", "WHEN 'NUMERIC(38, 0)' THEN 'decimal(38,0)' WHEN 'BOOLEAN' THEN"))
+
+
 def _from_profile(select: str) -> str:
     return f"SELECT {select} FROM ({PART_PROFILE}) AS prof"
 
@@ -64,6 +76,7 @@ _WS = "'^[\\s\\v]+|[\\s\\v]+$'"
 
 ORACLE_SQL: dict[str, str] = {
     "prf_profile": PART_PROFILE,
+    "prf_merge": _WIDE,
     "prf_base_type": _from_profile("ordinal, csv_name, base_type, is_nullable"),
     "prf_narrow_types": _from_profile("csv_name, sql_name, sql_type, spark_type"),
     "prf_report": _from_profile(

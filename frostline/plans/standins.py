@@ -276,6 +276,11 @@ def diagnosis_history_raw(t: Tables) -> DataFrame:
     )
 
 
+def part_with_wide(t: Tables) -> DataFrame:
+    """``part_as_text`` plus a column of integers that 64 bits cannot hold."""
+    return part_as_text(t).withColumn("wide", F.concat(F.col("P_PARTKEY"), F.repeat(F.lit("0"), F.lit(18))))
+
+
 def part_as_text(t: Tables) -> DataFrame:
     """part as the all-text table a CSV scan yields, plus a boolean-looking, a
     mixed int/float and an all-NULL column; brand has NULLs."""

@@ -12,6 +12,7 @@ import zipfile
 from collections.abc import Iterable, Iterator, Sequence
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,27 @@ def find_files(spark: SparkSession, pattern: str | Sequence[str], recursive: boo
     return reader.load(paths).select(F.col("path"), F.col("length").alias("size"))
 
 
+def find_each(spark: SparkSession, paths: Sequence[str]) -> tuple[DataFrame | None, list[str]]:
+    """``find_files`` of the paths that exist, and those that do not.
+
+    Paths are tried one by one only where one of them is missing.
+    """
+    try:
+        return find_files(spark, paths), []
+    except AnalysisException as fault:
+        if fault.getCondition() != "PATH_NOT_FOUND":
+            raise
+        if len(paths) == 1:
+            return None, list(paths)
+    found, missing = None, []
+    for path in paths:
+        one, none = find_each(spark, [path])
+        missing += none
+        if one is not None:
+            found = one if found is None else found.unionAll(one)
+    return found, missing
+
+
 def _list_zip(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     cols = ["archive", "entry", "member", "size", "error"]
     for pdf in batches:

@@ -66,8 +66,11 @@ def cp1252_undefined(content) -> Column:
 
 
 def cp1252_encode(text) -> Column:
-    """Bytes of text in cp1252 (characters outside it become '?')."""
-    return F.encode(F.translate(as_col(text), CP1252_CHARS, C1_DEFINED), "ISO-8859-1")
+    """Bytes of text in cp1252 (characters outside it become '?', undefined C1
+    code points their own byte, so ``strict`` decoding is undone)."""
+    known = "".join(f"\\x{{{ord(c):X}}}" for c in CP1252_CHARS + C1_UNDEFINED)
+    inside = F.regexp_replace(as_col(text), f"[^\\x00-\\x7F\\xA0-\\xFF{known}]", "?")
+    return F.encode(F.translate(inside, CP1252_CHARS, C1_DEFINED), "ISO-8859-1")
 
 
 def strip_whitespace(text) -> Column:

@@ -53,3 +53,24 @@ def test_describe_reports_members_it_cannot_read(spark, tmp_path, capsys):
     assert main(["describe", "-z", archive]) == 1
     out = capsys.readouterr()
     assert "schema inferred for good" in out.out and "Bad_20250401.csv" in out.err
+
+
+def test_describe_shows_source_names_and_malformed_members(spark, tmp_path, capsys):
+    archive = str(tmp_path / "names.gz")
+    with zipfile.ZipFile(archive, "w") as zf:
+        zf.writestr("Good_20250401.csv", b"PATNO,Visit Date\n1,x\n")
+        zf.writestr("Ragged_20250401.csv", b"A,B\n1,x\n2,y,z\n")
+    assert main(["describe", "-z", archive]) == 1
+    out = capsys.readouterr()
+    assert "PATNO" in out.out and "Visit Date" in out.out and "visit_date" in out.out
+    assert "Ragged_20250401.csv" in out.err and "1 malformed" in out.err and "inferred for ragged" not in out.out
+
+
+def test_missing_file_is_one_audit_row(spark, tmp_path, capsys):
+    good, missing = tmp_path / "Things_20250401.csv", tmp_path / "None_20250401.csv"
+    good.write_bytes(b"A,B\n1,x\n")
+    assert main(["load", "--database", "freeze_absent", str(good), str(missing)]) == 1
+    out = capsys.readouterr().out
+    assert "None_20250401.csv" in out and "no such file" in out
+    assert spark.table("freeze_absent.things").count() == 1
+    assert main(["load", "--database", "freeze_absent", str(missing)]) == 1

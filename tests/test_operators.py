@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from frostline.operators import checks, inventory as inv
 from frostline.operators.codes import CodeLookup, overlay_code_list, overlay_dictionary
 from frostline.operators.ordering import pg_sort_keys, with_sort_position
-from frostline.operators.profile import profile, sql_names
+from frostline.operators.profile import merge_profiles, profile, sql_names
 
 CL = "mod_name string, itm_name string, code string, decode string, mapping_notes string"
 
@@ -157,3 +157,26 @@ def test_profile_wide_table_in_passes(spark):
     split = [tuple(r) for r in profile(df, "w", columns_per_pass=3).collect()]
     assert sorted(one) == sorted(split) and len(split) == 7
     assert sorted(r[1] for r in split) == list(range(1, 8))
+
+
+def test_profile_integers_beyond_64_bits(spark):
+    rows = [("9" * 20, "1", "9" * 20, "9" * 39), ("-" + "8" * 19, "9" * 38, "0.5", "1"), (None, "2", "1", "1")]
+    prof = {r.csv_name: r for r in profile(spark.createDataFrame(rows, "a string, b string, c string, d string"), "t").collect()}
+    assert (prof["a"].sql_type, prof["a"].spark_type, prof["a"].min_value, prof["a"].max_value) == (
+        "NUMERIC(38, 0) NULL", "decimal(38,0)", "-" + "8" * 19, "9" * 20)
+    assert prof["b"].max_value == "9" * 38 and prof["b"].min_value == "1"
+    assert (prof["c"].sql_type, prof["d"].sql_type) == ("DOUBLE PRECISION NOT NULL", "TEXT NOT NULL")
+
+
+def test_merged_profiles_equal_the_profile_of_all_rows(spark):
+    names = "a string, b string, c string, d string, e string, f string"
+    one = [("1", "1.5", "true", None, "x", "7"), ("70000", None, "False", None, "2", "8")]
+    two = [("9" * 20, "3", "no", None, None, "-9"), ("2", "4", "true", "5", None, "9")]
+    part = lambda rows: spark.createDataFrame(rows, names)
+    want = [tuple(r) for r in profile(part(one + two), "t").orderBy("ordinal").collect()]
+    for a, b in ((one, two), (two, one)):
+        got = merge_profiles(profile(part(a), "t"), profile(part(b), "t")).orderBy("ordinal").collect()
+        assert [tuple(r) for r in got] == want
+    fewer = merge_profiles(profile(part(one).select("a"), "t"), profile(part(two).select("a", "f"), "t")).collect()
+    assert {r.sql_name: (r.n_rows, r.n_nulls, r.sql_type) for r in fewer} == {
+        "a": (4, 0, "NUMERIC(38, 0) NOT NULL"), "f": (4, 2, "SMALLINT NULL")}

@@ -262,3 +262,10 @@ def test_lenient_decoding_and_append_semantics(spark, tmp_path):
     # loading again appends (the load is not idempotent by design)
     load_freeze(spark, wh, archives=[archive], options=opts, stage=str(tmp_path / "s2")).collect()
     assert wh.read("bad_byte").count() == 2
+
+
+def test_cp1252_encode_replaces_foreign_characters(spark):
+    texts = ["plain € ž", "日本 ok", "\U0001F600x", "\x80", "\x81", ""]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [bytes(r.b) for r in df.select(cp1252_encode("t").alias("b")).collect()]
+    assert got == ["plain € ž".encode("cp1252"), b"?? ok", b"?x", b"?", b"\x81", b""]
