@@ -2,6 +2,7 @@
 
   load      load a freeze (zip archives or CSV files) into a warehouse database
   describe  print the inferred schema report of every table of a freeze
+  export    write tables of a warehouse database as CSV or through a Spark connector
   views     publish the curated and metadata views, list them, and set column
             comments from the data dictionary; with --schema also permanent views
 
@@ -36,15 +37,24 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--exclude-tables", default=None, help="regex of table names to skip")
     sub.choices["load"].add_argument("--no-create", action="store_true",
                                      help="only append to existing tables")
+    x = sub.add_parser("export")
+    x.add_argument("tables", nargs="*", help="tables to write; all of the database by default")
+    x.add_argument("--database", default="freeze")
+    x.add_argument("--to", required=True, help="folder, or name prefix at the connector; the table's name is added")
+    x.add_argument("--format", default="csv", help="csv, or any format the session has a connector for")
+    x.add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="option of the connector")
     v = sub.add_parser("views")
     v.add_argument("--database", default="freeze")
     v.add_argument("--labels", action="store_true", help="lookups return labels, not codes")
     v.add_argument("--schema", default=None, help="make permanent views in this schema, too")
     v.add_argument("--code-list-overlay", default=None, help="CSV that replaces the code-list overlay table")
     v.add_argument("--dictionary-overlay", default=None, help="CSV that replaces the dictionary overlay table")
+    for name in ("load", "export", "views"):
+        sub.choices[name].add_argument("--location", default=None,
+                                       help="shared folder of the database, one that outlives the application")
     args = p.parse_args(argv)
 
-    from .plans.load import LoadOptions, load_freeze, reject_malformed, scan_staged_table, source_names, stage_freeze
+    from .plans.load import AUDIT_TABLE, LoadOptions, load_freeze, reject_malformed, scan_staged_table, source_names, stage_freeze
     from .sinks.warehouse import Warehouse
 
     spark = _session()
@@ -55,7 +65,7 @@ def main(argv: list[str] | None = None) -> int:
         from .plans.catalog_views import create_views, overlay_tables
         from .sources.catalog import read_overlay_csv
 
-        wh = Warehouse(spark, args.database)
+        wh = Warehouse(spark, args.database, args.location)
         overlays = [path and read_overlay_csv(spark, path, kind) for path, kind in
                     ((args.code_list_overlay, "code_list"), (args.dictionary_overlay, "dictionary"))]
         if any(overlays):
@@ -71,10 +81,28 @@ def main(argv: list[str] | None = None) -> int:
             print(f"{n} column comment(s) set from the data dictionary")
         return 0
 
+    if args.command == "export":
+        from .sinks.warehouse import export_csv, write_format
+
+        wh = Warehouse(spark, args.database, args.location)
+        options = dict(o.partition("=")[::2] for o in args.option)
+        absent = [t for t in args.tables if not wh.exists(t)]
+        for table in args.tables or sorted(t for t in wh.base_tables() if not t.startswith("_")):
+            if table in absent:
+                print(f"no such table: {table}", file=sys.stderr)
+                continue
+            target = f"{args.to.rstrip('/')}/{table}" if "/" in args.to else f"{args.to}.{table}"
+            if args.format == "csv":
+                export_csv(wh.read(table), target, **options)
+            else:
+                write_format(wh.read(table), args.format, target, **options)
+            print(f"{table}  {target}")
+        return 1 if absent else 0
+
     archives = args.zip_file or None
     kw = ({"archives": archives, "members": args.files or None} if archives else {"files": args.files})
     opts = LoadOptions(exclude_tables=args.exclude_tables,
-                       create_tables=not getattr(args, "no_create", False))
+                       create_tables=not getattr(args, "no_create", False), audit_table=AUDIT_TABLE)
     if args.command == "describe":
         from .operators.profile import profile, schema_report
         from .sources.csv import CORRUPT
@@ -96,7 +124,7 @@ def main(argv: list[str] | None = None) -> int:
             print(f"not described: {m.member}  ({m.error})", file=sys.stderr)
         return 1 if failed else 0
 
-    audit = load_freeze(spark, Warehouse(spark, args.database), options=opts, **kw)
+    audit = load_freeze(spark, Warehouse(spark, args.database, args.location), options=opts, **kw)
     rows = audit.collect()
     for r in rows:
         print(f"{r.status:9s} {r.table_name or '-':30s} {r.n_rows if r.n_rows is not None else '-':>10} "

@@ -40,6 +40,9 @@ from ..sources import members as msrc
 from ..sources.staging import MEMBER_ID, stage_members
 from ..sources.text import FILE_PATCHES
 
+#: Where the command line keeps audits; no member can make a table of this name.
+AUDIT_TABLE = "_load_audit"
+
 AUDIT_SCHEMA = T.StructType([
     T.StructField("archive", T.StringType(), True),
     T.StructField("member", T.StringType(), False),
@@ -88,6 +91,7 @@ class LoadOptions:
     workers: int = 4
     universal_newlines: bool = True               # CRLF / CR -> LF, as text-mode reads do
     extra_csv_options: dict = field(default_factory=dict)
+    audit_table: str | None = None               # table of the warehouse that keeps the audits of all loads
 
 
 @dataclass
@@ -229,7 +233,12 @@ def load_freeze(spark: SparkSession, warehouse: Warehouse, archives: Sequence[st
     for m in staged.members:
         if m.status == "pending":
             m.fail("not loaded")
-    return spark.createDataFrame([m.row() for m in staged.members], AUDIT_SCHEMA)
+    audit = spark.createDataFrame([m.row() for m in staged.members], AUDIT_SCHEMA)
+    if opts.audit_table:
+        kept = audit.withColumn("loaded_at", F.current_timestamp())
+        warehouse.create_if_absent(opts.audit_table, kept.schema, cluster_by=())
+        warehouse.append(kept, opts.audit_table)
+    return audit
 
 
 def _without_rejected(rows: DataFrame, members) -> DataFrame:

@@ -74,3 +74,20 @@ def test_missing_file_is_one_audit_row(spark, tmp_path, capsys):
     assert "None_20250401.csv" in out and "no such file" in out
     assert spark.table("freeze_absent.things").count() == 1
     assert main(["load", "--database", "freeze_absent", str(missing)]) == 1
+
+
+def test_audit_is_kept_and_tables_are_exported(spark, tmp_path, capsys):
+    archive, home, out = (str(tmp_path / n) for n in ("f.gz", "home", "out"))
+    with zipfile.ZipFile(archive, "w") as zf:
+        zf.writestr("Things_20250401.csv", b"A,B\n1,x\n2,\n")
+        zf.writestr("Bad_20250401.csv", b"A,B\n1,\x81\n")
+    for _ in range(2):
+        assert main(["load", "-z", archive, "--database", "freeze_kept", "--location", home]) == 1
+    audit = spark.table("freeze_kept._load_audit")
+    assert sorted((r.table_name, r.status) for r in audit.collect()) == [("bad", "error")] * 2 + [("things", "loaded")] * 2
+    assert audit.select("loaded_at").distinct().count() == 2
+    assert spark.read.parquet(f"{home}/things").count() == 4
+    assert main(["export", "--database", "freeze_kept", "--location", home, "--to", out]) == 0
+    assert sorted(map(tuple, spark.read.option("header", True).csv(f"{out}/things").collect())) == [("1", "x"), ("1", "x"), ("2", None), ("2", None)]
+    assert main(["export", "--database", "freeze_kept", "--to", out, "--format", "json", "things", "absent"]) == 1
+    assert spark.read.json(f"{out}/things").count() >= 4 and "no such table: absent" in capsys.readouterr().err
