@@ -2,9 +2,10 @@
 
 Flow (one Spark job per arrow unless noted):
 
-1. list members (zip central directories) and filter by name; requested names
-   not found, unreadable archives and non-CSV members go straight to the audit;
-2. executors stream each member: decode cp1252, repair quotes, apply file
+1. the member source plans its partitions as ranges of bytes of the archives and
+   files; requested names not found, missing or unreadable archives and files and
+   non-CSV members go straight to the audit;
+2. executors stream each wanted member: decode cp1252, repair quotes, apply file
    patches, write UTF-8 text -> one short row per member (table, header, file);
 3. per table (driver thread pool): scan the staged members with the CSV rules
    (one scan per distinct header, columns under their cleaned names), write the
@@ -36,7 +37,6 @@ from ..operators.profile import profile, sql_names
 from ..session import scratch_dir
 from ..sinks.warehouse import CLUSTER_COLUMNS, Warehouse
 from ..sources import csv as csvsrc
-from ..sources import members as msrc
 from ..sources.staging import MEMBER_ID, stage_members
 from ..sources.text import FILE_PATCHES
 
@@ -91,6 +91,7 @@ class LoadOptions:
     workers: int = 4
     universal_newlines: bool = True               # CRLF / CR -> LF, as text-mode reads do
     extra_csv_options: dict = field(default_factory=dict)
+    split_bytes: int | None = None                # compressed bytes a staging task gets (the source's default, if None)
     audit_table: str | None = None               # table of the warehouse that keeps the audits of all loads
 
 
@@ -115,45 +116,24 @@ def stage_freeze(spark: SparkSession, archives: Sequence[str] | None = None,
     """Steps 1 and 2: list, filter, and stream the members' repaired text."""
     opts = options or LoadOptions()
     stage = stage or scratch_dir(spark, "stage")
-    audit: list[_Member] = []
-
-    if archives:
-        listed = os.path.join(stage, "listing")
-        msrc.list_archive_members(spark, archives).write.mode("overwrite").parquet(listed)
-        listing = spark.read.schema(msrc.LISTING_SCHEMA).parquet(listed)
-        for r in msrc.missing_members(spark, listing, members).collect():
-            audit.append(_Member(None, r["member"], None, "", status="not_found",
-                                 error="requested member is in no archive"))
-        wanted = msrc.select_members(listing, members)
-        for r in wanted.filter("error IS NOT NULL").collect():
-            audit.append(_Member(r["archive"], r["member"], None, "", status="error", error=r["error"]))
-        wanted = wanted.filter("error IS NULL")
-        if opts.csv_only:
-            for r in wanted.filter(~F.lower("member").endswith(".csv")).select("archive", "member").collect():
-                audit.append(_Member(r["archive"], r["member"], None, "", status="skipped", error="not a CSV member"))
-            wanted = wanted.filter(F.lower("member").endswith(".csv"))
-    elif files:
-        there, absent = msrc.find_each(spark, [files] if isinstance(files, str) else list(files))
-        audit += [_Member(None, path, None, "", status="not_found", error="no such file") for path in absent]
-        if there is None:
-            return Staged(audit, os.path.join(stage, "text"), stage)
-        wanted = there.select(
-            F.lit(None).cast("string").alias("archive"), F.lit(0).alias("entry"), F.col("path").alias("member"))
-    else:
+    if not archives and not files:
         raise ValueError("give archives or files")
-
+    files = [files] if isinstance(files, str) else files
     text_dir = os.path.join(stage, "text")
     found = []
-    for r in stage_members(wanted, text_dir, opts.errors, opts.patches, opts.exclude_tables,
-                           opts.universal_newlines).collect():
+    for r in stage_members(spark, text_dir, opts.errors, opts.patches, archives, None if archives else files,
+                           members if archives else None, opts.exclude_tables, opts.universal_newlines,
+                           csv_only=opts.csv_only and bool(archives), split_bytes=opts.split_bytes).collect():
         m = _Member(r["archive"], r["member"], r["table_name"], r["member_id"], r["path"], r["header"],
-                    r["header_length"])
-        if r["error"]:
-            m.fail(r["error"])
-        elif m.path is None:
-            m.status, m.error = "excluded", "table excluded by pattern"
+                    r["header_length"], r["status"], r["error"])
+        if m.status == "error":
+            m.fail(m.error)
         found.append(m)
-    return Staged(audit + found, text_dir, stage)
+    seen = {m.member for m in found}
+    absent = [_Member(None, name, None, "", status="not_found", error="requested member is in no archive")
+              for name in dict.fromkeys(members or []) if archives and name not in seen]
+    found.sort(key=lambda m: (m.archive or "", m.member, m.member_id))
+    return Staged(absent + found, text_dir, stage)
 
 
 def scan_staged_table(spark: SparkSession, staged: Staged, table: str,

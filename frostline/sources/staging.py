@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import json
 import lzma
 import os
 import re
@@ -26,19 +27,16 @@ import zipfile
 import zlib
 from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.naming import table_name_from_path_text
-from .members import open_binary, open_output
+from .members import MemberSource, Piece, entries, open_binary, open_output
 
 META_SCHEMA = ("archive string, member string, table_name string, member_id string, path string, "
-               "header string, header_length long, error string")
+               "header string, header_length long, status string, error string")
 #: Cleaned header names never begin with an underscore, so no column can take this name.
 MEMBER_ID = "_member_id"
 CHUNK = 4 << 20
-# Members a task streams, one after the other, once every core has some.
-MEMBERS_PER_TASK = 64
 _HEADER_WS = " \t\n\x0b\f\r"
 # What a broken or unsupported entry raises; OSError is the file system's.
 _DATA_FAULTS = (zipfile.BadZipFile, zlib.error, lzma.LZMAError, EOFError, NotImplementedError, RuntimeError)
@@ -179,9 +177,9 @@ def _stage_one(open_archive: _Archive, archive: str | None, entry: int, member:
     except ValueError:
         table = ""
     if not table:
-        return archive, member, None, mid, None, None, None, "member name gives an empty table name"
+        return archive, member, None, mid, None, None, None, "error", "member name gives an empty table name"
     if exclude and re.search(exclude, table):
-        return archive, member, table, mid, None, None, None, None
+        return archive, member, table, mid, None, None, None, "excluded", "table excluded by pattern"
     path = os.path.join(text_dir, table, f"{MEMBER_ID}={mid}", f"{uuid.uuid4().hex}.txt")
     header, whole = "", False
     try:
@@ -193,31 +191,62 @@ def _stage_one(open_archive: _Archive, archive: str | None, entry: int, member:
                 out.write(part.encode("utf-8"))
             out.write(b"\n")
     except UnicodeDecodeError:
-        return archive, member, table, mid, None, None, None, "byte undefined in cp1252"
+        return archive, member, table, mid, None, None, None, "error", "byte undefined in cp1252"
     except _DATA_FAULTS as fault:
-        return archive, member, table, mid, None, None, None, f"{type(fault).__name__}: {fault}"
+        return archive, member, table, mid, None, None, None, "error", f"{type(fault).__name__}: {fault}"
     header = header.removesuffix("\r")
-    return archive, member, table, mid, path, header, len(header.strip(_HEADER_WS)), None
-
-
-def stage_members(members: DataFrame, text_dir: str, errors: str, patches: Sequence[tuple[str, str, str]],
-                  exclude: str | None = None, newlines: bool = True) -> DataFrame:
-    """Stream each ``(archive, entry, member)`` row into the staging folder; one
-    row per member (``META_SCHEMA``).  Lazy: run it with one action."""
-    cols = [c.split()[0] for c in META_SCHEMA.split(", ")]
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held = _Archive()
-        try:
-            for pdf in batches:
-                for archive, entry, member in zip(pdf["archive"], pdf["entry"], pdf["member"]):
-                    row = _stage_one(held, archive if isinstance(archive, str) else None, int(entry), member,
-                                     text_dir, errors, patches, exclude, newlines)
-                    yield pd.DataFrame([row], columns=cols).astype({"header_length": "Int64"})
-        finally:
-            held.close()
-
-    count = members.count()
-    tasks = max(1, min(count, members.sparkSession.sparkContext.defaultParallelism), -(-count // MEMBERS_PER_TASK))
-    return (members.select("archive", "entry", "member").repartition(tasks)
-            .sortWithinPartitions("archive", "entry").mapInPandas(run, META_SCHEMA))
+    return archive, member, table, mid, path, header, len(header.strip(_HEADER_WS)), "pending", None
+
+
+def stage_pieces(pieces: Sequence[Piece], request: dict) -> Iterator[tuple]:
+    """Stage the wanted members of a task's pieces; one ``META_SCHEMA`` row each.
+
+    Entries that are not wanted give no row; one that is wanted but not a CSV file
+    (with ``csv_only``) is reported as skipped.  An archive that cannot be read gives one error row.
+    """
+    wanted = set(request.get("members") or [])
+    held = _Archive()
+
+    def staged(archive: str | None, entry: int, member: str) -> tuple:
+        return _stage_one(held, archive, entry, member, request["text_dir"], request["errors"], request["patches"],
+                          request.get("exclude"), request["newlines"])
+
+    try:
+        for piece in pieces:
+            if piece.error:
+                yield (piece.path if piece.archive else None, piece.path, None, "", None, None, None,
+                       "error" if piece.archive else "not_found", piece.error)
+            elif not piece.archive:
+                yield staged(None, 0, piece.path)
+            else:
+                try:
+                    found = list(entries(piece))
+                except (zipfile.BadZipFile, FileNotFoundError, IsADirectoryError) as fault:
+                    # The input is at fault; other failures of the file system are retried with the task.
+                    if piece.start == 0:
+                        yield piece.path, piece.path, None, "", None, None, None, "error", f"not a readable archive: {fault}"
+                    continue
+                for entry, info in found:
+                    if wanted and info.filename not in wanted:
+                        continue
+                    if request.get("csv_only") and not info.filename.lower().endswith(".csv"):
+                        yield (piece.path, info.filename, None, member_id(piece.path, entry, info.filename), None, None, None,
+                               "skipped", "not a CSV member")
+                    else:
+                        yield staged(piece.path, entry, info.filename)
+    finally:
+        held.close()
+
+
+def stage_members(spark: SparkSession, text_dir: str, errors: str, patches: Sequence[tuple[str, str, str]],
+                  archives: Sequence[str] | None = None, files: Sequence[str] | None = None,
+                  members: Sequence[str] | None = None, exclude: str | None = None, newlines: bool = True,
+                  csv_only: bool = False, split_bytes: int | None = None) -> DataFrame:
+    """Stream each wanted member into the staging folder; one row per member
+    (``META_SCHEMA``).  Lazy: run it with one action."""
+    request = {"archives": list(archives or []), "files": list(files or []), "members": list(members or []),
+               "text_dir": text_dir, "errors": errors, "patches": [list(p) for p in patches], "exclude": exclude,
+               "newlines": newlines, "csv_only": csv_only, "split_bytes": split_bytes,
+               "tasks": spark.sparkContext.defaultParallelism}
+    spark.dataSource.register(MemberSource)
+    return spark.read.format(MemberSource.name()).schema(META_SCHEMA).option("request", json.dumps(request)).load()

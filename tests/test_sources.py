@@ -269,3 +269,39 @@ def test_cp1252_encode_replaces_foreign_characters(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [bytes(r.b) for r in df.select(cp1252_encode("t").alias("b")).collect()]
     assert got == ["plain € ž".encode("cp1252"), b"?? ok", b"?x", b"?", b"\x81", b""]
+
+
+def test_members_are_planned_by_bytes_and_each_is_read_once(spark, tmp_path):
+    """An archive is cut into ranges of bytes; an entry belongs to the range its data begin in."""
+    import os as _os
+
+    from frostline.sources.members import entries, plan_pieces
+
+    archive = str(tmp_path / "many.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as zf:
+        for i in range(40):
+            zf.writestr(f"d{i}/T_20250401.csv", b"A,B\n" + b"".join(b"%d,%s\n" % (i, _os.urandom(20).hex().encode())
+                                                                     for _ in range(10 if i else 4000)))
+    planned = plan_pieces([archive, str(tmp_path / "none.zip")], True, split_bytes=20_000)
+    pieces = [p for task in planned for p in task]
+    found = [e for p in pieces if not p.error for e, _ in entries(p)]
+    assert sorted(found) == list(range(40)) and len(pieces) > 5 and [p.error for p in pieces if p.error]
+    wh = Warehouse(spark, database="freeze_ranges", location=str(tmp_path / "wh"))
+    opts = LoadOptions(split_bytes=20_000)
+    audit = load_freeze(spark, wh, archives=[archive], options=opts, stage=str(tmp_path / "s")).collect()
+    assert len(audit) == 40 and {r.status for r in audit} == {"loaded"} and sum(r.n_rows for r in audit) == 4390
+    assert wh.read("t").count() == 4390
+
+
+def test_files_by_folder_and_by_pattern(tmp_path):
+    from frostline.sources.members import plan_pieces
+
+    for name in ("a/X.csv", "a/Y.csv", "b/X.csv", "a/deep/X.csv", "a/_SUCCESS"):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_bytes(b"A\n1\n")
+
+    def names(*paths):
+        return sorted(p.path.removeprefix(str(tmp_path) + "/") for task in plan_pieces(paths, False) for p in task)
+    assert names(f"{tmp_path}/a") == ["a/X.csv", "a/Y.csv"]
+    assert names(f"{tmp_path}/*/X.csv") == ["a/X.csv", "b/X.csv"]
+    assert names(f"file:{tmp_path}/a/[Y]*") == [f"file:{tmp_path}/a/Y.csv"]
