@@ -1,6 +1,7 @@
 """Command line: ``python -m frostline <command> ...``
 
-  load      load a freeze (zip archives or CSV files) into a warehouse database
+  load      load a freeze (zip archives or CSV files) into a warehouse database, or
+            with --to through a Spark connector
   describe  print the inferred schema report of every table of a freeze
   export    write tables of a warehouse database as CSV or through a Spark connector
   views     publish the curated and metadata views, list them, and set column
@@ -37,6 +38,9 @@ def main(argv: list[str] | None = None) -> int:
         c.add_argument("--exclude-tables", default=None, help="regex of table names to skip")
     sub.choices["load"].add_argument("--no-create", action="store_true",
                                      help="only append to existing tables")
+    sub.choices["load"].add_argument("--to", default=None, help="load into this folder, or name prefix at the connector, not a database")
+    sub.choices["load"].add_argument("--format", default="frostline_files", help="connector that --to is for")
+    sub.choices["load"].add_argument("--option", action="append", default=[], metavar="NAME=VALUE", help="option of the connector")
     x = sub.add_parser("export")
     x.add_argument("tables", nargs="*", help="tables to write; all of the database by default")
     x.add_argument("--database", default="freeze")
@@ -124,7 +128,13 @@ def main(argv: list[str] | None = None) -> int:
             print(f"not described: {m.member}  ({m.error})", file=sys.stderr)
         return 1 if failed else 0
 
-    audit = load_freeze(spark, Warehouse(spark, args.database, args.location), options=opts, **kw)
+    if args.to:
+        from .sinks.external import ExternalSink
+
+        sink = ExternalSink(spark, args.format, args.to, dict(o.partition("=")[::2] for o in args.option))
+    else:
+        sink = Warehouse(spark, args.database, args.location)
+    audit = load_freeze(spark, sink, options=opts, **kw)
     rows = audit.collect()
     for r in rows:
         print(f"{r.status:9s} {r.table_name or '-':30s} {r.n_rows if r.n_rows is not None else '-':>10} "

@@ -6,11 +6,13 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import inventory as inv
 from ..operators.codes import overlay_code_list
+from ..session import scratch_dir
+from ..sinks.external import CommittedFiles, ExternalSink
 from ..sinks.warehouse import Warehouse, export_csv
+from ..sources import catalog
 from ..sources import csv as csvsrc
-from ..sources.catalog import base_tables, read_overlay_csv
+from ..sources.catalog import read_overlay_csv
 from ..sources.staging import MEMBER_ID
 from ..sources.text import FILE_PATCHES, cp1252_decode, cp1252_encode, repair
 from .freeze_fixture import Freeze
@@ -167,8 +169,6 @@ def src_file_patch(spark, sf_dir):
 
 @query("snk_export_csv")
 def snk_export_csv(spark, sf_dir):
-    from ..session import scratch_dir
-
     path = scratch_dir(spark, "export")
     export_csv(si.part_as_text(Tables(spark, sf_dir)), path)
     return csvsrc.read_text_csv(spark, path + "/*.csv").drop(csvsrc.CORRUPT)
@@ -183,6 +183,29 @@ def snk_clustered(spark, sf_dir):
     return wh.read("demographics")
 
 
+# Participants asked for by ``snk_participant_rows`` (keys of the table, some of them absent).
+LISTED = (3, 17, 64, 65, 66, 128, 512, 700, 901, 1024, 1300, 1499, 999_999_999)
+
+
+@query("snk_participant_rows")
+def snk_participant_rows(spark, sf_dir):
+    """Rows of listed participants from a clustered table, by its buckets, row groups and filters."""
+    demo, _ = si.demographics_raw(Tables(spark, sf_dir))
+    wh = _warehouse(spark)
+    wh.create_if_absent("demographics", demo.schema)
+    wh.append(demo, "demographics")
+    return wh.rows_of("demographics", LISTED)
+
+
+@query("snk_external")
+def snk_external(spark, sf_dir):
+    """A freeze loaded into an external sink through its connector, read back from there."""
+    fz = Freeze(spark, Tables(spark, sf_dir)("orders"), "Orders")
+    sink = ExternalSink(spark, CommittedFiles.name(), scratch_dir(spark, "external"))
+    _loaded(load_freeze(spark, sink, archives=fz.archives))
+    return sink.read("orders")
+
+
 @query("log_load_audit")
 def log_load_audit(spark, sf_dir):
     t = Tables(spark, sf_dir)
@@ -208,7 +231,6 @@ def log_load_audit(spark, sf_dir):
 def overlay_code_list_csv(spark, sf_dir):
     """Overlay rows go through a CSV file, the overlay loader and a truncate +
     load of the overlay table, then overlay the code list."""
-    from ..session import scratch_dir
     from ..operators.codes import CODE_LIST_SCHEMA
 
     path = scratch_dir(spark, "overlay")
@@ -228,9 +250,7 @@ def catalog_page_pairs(spark, sf_dir):
         spark.sql(f"CREATE TABLE `{wh.database}`.`{name}` USING parquet "
                   f"LOCATION '{sf_dir.rstrip('/')}/{name}.parquet'")
     spark.sql(f"CREATE VIEW `{wh.database}`.`nation_v` AS SELECT * FROM `{wh.database}`.`nation`")
-    pairs = inv.page_name_pairs(spark, base_tables(spark, wh.database, column=r".*_nationkey"),
-                                column_pattern=r"_nationkey$")
-    return pairs.select("pag_name", "table_name")
+    return catalog.catalog_page_pairs(spark, wh.database, column=r".*_nationkey").select("pag_name", "table_name")
 
 
 def _published(spark, tables, view):

@@ -115,6 +115,12 @@ def _clustered() -> str:
     return with_(LF, demo_cte()) + "SELECT * FROM demo"
 
 
+def _listed() -> str:
+    from .catalogue_io import LISTED
+
+    return f"SELECT * FROM ({_clustered()}) AS c WHERE patno IN ({', '.join(map(str, LISTED))})"
+
+
 def _from_main(name: str) -> str:
     from .oracle import ORACLE_SQL as MAIN
 
@@ -125,6 +131,8 @@ ORACLE_SQL.update({
     "overlay_code_list_csv": _from_main("overlay_code_list"),
     "catalog_page_pairs": _from_main("ident_page_pairs"),
     "snk_clustered": _clustered(),
+    "snk_participant_rows": _listed(),
+    "snk_external": f"SELECT {ORDERS_LOADED}, o_orderpriority FROM orders",
     "src_archive": f"SELECT {ORDERS_TEXT} FROM orders",
     "snk_create_load": f"SELECT {ORDERS_LOADED}, o_orderpriority FROM orders",
     "src_member_filter": (f"SELECT {ORDERS_LOADED} FROM orders "

@@ -17,7 +17,7 @@ from ..operators import inventory as inv
 from ..operators.codes import overlay_code_list, overlay_dictionary
 from ..operators.ordering import pg_order_by
 from ..sinks.warehouse import Warehouse, _lit, _q
-from ..sources.catalog import base_tables, reference_code_list_overlay, reference_dictionary_overlay
+from ..sources.catalog import catalog_page_pairs, reference_code_list_overlay, reference_dictionary_overlay
 from . import curated
 
 # View descriptions.
@@ -86,7 +86,7 @@ def publish_views(spark: SparkSession, wh: Warehouse, code_list_overlay: DataFra
                      "pd_diagnosis_history", out)
     if has("participant_status"):
         _publish(curated.participant_status(wh.read("participant_status")), "participant_status", out)
-    pairs = inv.page_name_pairs(spark, base_tables(spark, wh.database))
+    pairs = catalog_page_pairs(spark, wh.database)
     _publish(pairs.select("pag_name", "table_name"), "unique_table_pag_name_pairs_v", out)
     _publish(inv.table_pages(pairs), "table_pag_names_v", out)
     _publish(inv.page_tables(pairs), "pag_name_tables_v", out)

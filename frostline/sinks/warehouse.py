@@ -9,7 +9,8 @@ nor NOT NULL on parquet tables; see ``operators.checks`` for those.
 from __future__ import annotations
 
 import os
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +22,11 @@ from ..session import scratch_root
 # Fixed value: columns a table is clustered on when present (the reference
 # indexes them).
 CLUSTER_COLUMNS = ("patno",)
+# Long enough for scans, short enough for a lookup to read little of a large file.
+ROW_GROUP_BYTES = 32 << 20
+# Up to so many values of one IN reach the Parquet reader as equalities (a default of the
+# session); of longer ones it sees the smallest and the largest value alone.
+_VALUES_PUSHED = 10
 
 
 def _q(name: str) -> str:
@@ -31,15 +37,26 @@ def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+_BITS = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}
+
+
+def _fits(value, kind: T.DataType) -> bool:
+    """False for an integer that a column of this type cannot hold, and so does not."""
+    bits = _BITS.get(type(kind))
+    return bits is None or not isinstance(value, int) or -(1 << bits - 1) <= value < 1 << bits - 1
+
+
 class Warehouse:
     """A catalog database of parquet tables in a shared location."""
 
     def __init__(self, spark: SparkSession, database: str = "freeze", location: str | None = None,
-                 buckets: int | None = None):
+                 buckets: int | None = None, row_group_bytes: int = ROW_GROUP_BYTES):
         """``buckets``: bucket count of clustered tables.  It must be the same
         for every table (co-located joins need equal counts), so it is one
         warehouse-wide setting; by default the session's shuffle partition
-        count, which a cluster sizes for its data."""
+        count, which a cluster sizes for its data.  ``row_group_bytes``: how long
+        a row group of a clustered table gets; lookups by its key skip whole ones."""
+        self.row_group_bytes = row_group_bytes
         self.spark = spark
         self.database = database
         self.location = location or os.path.join(scratch_root(spark), f"{database}.db")
@@ -72,7 +89,10 @@ class Warehouse:
         layout = ""
         if present:
             keys = ", ".join(_q(c) for c in present)
-            layout = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS"
+            options = {"parquet.block.size": str(self.row_group_bytes), "parquet.bloom.filter.adaptive.enabled": "true",
+                       **{f"parquet.bloom.filter.enabled#{c}": "true" for c in present}}
+            pairs = ", ".join(f"{_lit(k)} {_lit(v)}" for k, v in options.items())
+            layout = f" OPTIONS ({pairs}) CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.buckets} BUCKETS"
         comment = f" COMMENT {_lit(table_comment)}" if table_comment else ""
         location = os.path.join(self.location, table)
         if "://" not in location and not location.startswith("file:"):
@@ -108,6 +128,22 @@ class Warehouse:
     def read(self, table: str) -> DataFrame:
         return self.spark.table(self.name(table))
 
+    def rows_of(self, table: str, values: Iterable, key: str = CLUSTER_COLUMNS[0]) -> DataFrame:
+        """The rows whose ``key`` is one of ``values`` (a list a user typed or uploaded).
+
+        On a table clustered by ``key`` only the buckets of the values are listed, and row groups whose range,
+        dictionary or Bloom filter leaves a value out are skipped.  Use a semi join for
+        values that are rows of a table.
+        """
+        kind = self.schema(table)[key].dataType
+        wanted = sorted({v for v in values if v is not None and _fits(v, kind)})
+        if not wanted:
+            return self.read(table).where(F.lit(False))
+        column = F.col(_q(key))
+        tens = [column.isin(*[F.lit(v).cast(kind) for v in wanted[i:i + _VALUES_PUSHED]])
+                for i in range(0, len(wanted), _VALUES_PUSHED)]
+        return self.read(table).where(reduce(lambda a, b: a | b, tens))
+
     def base_tables(self) -> dict[str, DataFrame]:
         """``{name: DataFrame}`` of the database's tables (views excluded)."""
         out = {}
