@@ -11,9 +11,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.naming import clean_sql_name_text
 
@@ -171,15 +173,20 @@ def spark_type_of(sql_type: Column) -> Column:
 COLUMNS_PER_PASS = 100
 
 
-def _profile_pass(df: DataFrame, cols: list[str], names: list[str], first: int,
-                  infer_strings: bool, csv_names: dict[str, str]) -> DataFrame:
+def _aggregates(df: DataFrame, cols: list[str], first: int, infer_strings: bool):
+    """The aggregates of one pass, and per column what makes its row of them."""
     aggs = [F.count(F.lit(1)).alias("__n_rows")]
     finishers = []
     for i, c in enumerate(cols):
         a, fin = _col_stats(df, first + i, c, infer_strings)
         aggs += a
         finishers.append(fin)
-    one = df.select(*[F.col(f"`{c}`") for c in cols]).agg(*aggs)
+    return aggs, finishers
+
+
+def _column_rows(one: DataFrame, finishers, cols: list[str], names: list[str], first: int,
+                 csv_names: dict[str, str]) -> DataFrame:
+    """One row per column from the row of a pass's aggregates."""
     n_rows = F.col("__n_rows")
     structs = []
     for i, (c, n, fin) in enumerate(zip(cols, names, finishers)):
@@ -192,6 +199,50 @@ def _profile_pass(df: DataFrame, cols: list[str], names: list[str], first: int,
     return one.select(F.inline(F.array(*structs)))
 
 
+def _profile_pass(df: DataFrame, cols: list[str], names: list[str], first: int,
+                  infer_strings: bool, csv_names: dict[str, str]) -> DataFrame:
+    aggs, finishers = _aggregates(df, cols, first, infer_strings)
+    one = df.select(*[F.col(f"`{c}`") for c in cols]).agg(*aggs)
+    return _column_rows(one, finishers, cols, names, first, csv_names)
+
+
+class ObservedProfile:
+    """The profile of rows as they are written: no scan of its own.
+
+    ``rows`` are the input's rows; once an action has run over all of them,
+    ``profile`` gives what ``profile()`` of the columns would, and ``extra`` the
+    values of further aggregates.  The action must not run twice over a row, so
+    write ``rows`` without a shuffle.
+    """
+
+    def __init__(self, df: DataFrame, columns: list[str], infer_strings: bool = True,
+                 columns_per_pass: int = COLUMNS_PER_PASS, **extra: Column):
+        self._spark, self._columns, self._names = df.sparkSession, list(columns), sql_names(columns)
+        self._extra = Observation()
+        self.rows = df.observe(self._extra, F.count(F.lit(1)).alias("n_rows"), *[e.alias(n) for n, e in extra.items()])
+        self._passes = []
+        for first in range(0, len(self._columns), columns_per_pass):
+            cols = self._columns[first:first + columns_per_pass]
+            aggs, finishers = _aggregates(df, cols, first, infer_strings)
+            seen = Observation()
+            self.rows = self.rows.observe(seen, *aggs)
+            self._passes.append((first, cols, df.agg(*aggs).schema, finishers, seen))
+
+    @property
+    def extra(self) -> dict:
+        return self._extra.get
+
+    def profile(self, table_name: str, csv_names: dict[str, str] | None = None) -> DataFrame:
+        parts = []
+        for first, cols, schema, finishers, seen in self._passes:
+            values = pa.Table.from_pylist([seen.get], schema=to_arrow_schema(schema))
+            one = self._spark.createDataFrame(values, schema)
+            parts.append(_column_rows(one, finishers, cols, self._names[first:first + len(cols)], first, csv_names or {}))
+        if not parts:
+            return self._spark.createDataFrame([], PROFILE_SCHEMA)
+        return _with_types(reduce(DataFrame.unionByName, parts).withColumn("table_name", F.lit(table_name)))
+
+
 def profile(df: DataFrame, table_name: str, infer_strings: bool = True,
             columns_per_pass: int = COLUMNS_PER_PASS, csv_names: dict[str, str] | None = None) -> DataFrame:
     """One row per column of ``df`` (see ``PROFILE_SCHEMA``), in column order.

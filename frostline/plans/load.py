@@ -9,8 +9,9 @@ Flow (one Spark job per arrow unless noted):
    patches, write UTF-8 text -> one short row per member (table, header, file);
 3. per table (driver thread pool): scan the staged members with the CSV rules
    (one scan per distinct header, columns under their cleaned names), write the
-   text columns once to parquet, count rows and malformed records per member,
-   profile the good members, create the table if absent, check casts against
+   text columns once to parquet and observe their profile and row counts on the way
+   (with several members, rows are counted per member from one column; with malformed
+   records, the good members are profiled again), create the table if absent, check casts against
    the table's types per member, append the good members;
 4. the audit (one row per member) is returned as a DataFrame.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import checks
-from ..operators.profile import profile, sql_names
+from ..operators.profile import ObservedProfile, profile, sql_names
 from ..session import scratch_dir
 from ..sinks.warehouse import CLUSTER_COLUMNS, Warehouse
 from ..sources import csv as csvsrc
@@ -235,28 +236,35 @@ def _load_table(spark: SparkSession, wh: Warehouse, table: str, members: list[_M
         return
     stage = staged.stage
     raw_path = os.path.join(stage, "raw", table)
-    raw.write.mode("overwrite").parquet(raw_path)
+    data_cols = [c for c in raw.columns if c not in (MEMBER_ID, csvsrc.CORRUPT)]
+    seen = ObservedProfile(raw, data_cols, bad=F.count(csvsrc.CORRUPT))
+    seen.rows.write.mode("overwrite").parquet(raw_path)
     raw = spark.read.parquet(raw_path)
 
     by_id = {m.member_id: m for m in members if m.status == "pending"}
-    counts = (raw.groupBy(MEMBER_ID)
-              .agg(F.count(F.lit(1)).alias("n"), F.count(csvsrc.CORRUPT).alias("bad")).collect())
-    for r in counts:
-        m = by_id.get(r[MEMBER_ID])
-        if m is None:
+    if len(by_id) == 1:
+        counts = [(*by_id, seen.extra["n_rows"], seen.extra["bad"])]
+    else:
+        counts = (raw.groupBy(MEMBER_ID)
+                  .agg(F.count(F.lit(1)).alias("n"), F.count(csvsrc.CORRUPT).alias("bad")).collect())
+    for member, n, bad in counts:
+        if (m := by_id.get(member)) is None:
             continue
-        m.n_rows = r["n"]
-        if r["bad"]:
-            m.fail(f"{r['bad']} malformed CSV record(s)")
+        m.n_rows = n
+        if bad:
+            m.fail(f"{bad} malformed CSV record(s)")
     for m in by_id.values():
         if m.n_rows is None and m.status == "pending":
             m.n_rows = 0
     ok = [i for i, m in by_id.items() if m.status == "pending"]
     if not ok:
         return
-    data_cols = [c for c in raw.columns if c not in (MEMBER_ID, csvsrc.CORRUPT)]
     good = _without_rejected(raw, by_id.values())
-    prof_rows = profile(good.select(*[F.col(f"`{c}`") for c in data_cols]), table).collect()
+    if seen.extra["bad"]:  # rows of rejected members do not count
+        prof = profile(good.select(*[F.col(f"`{c}`") for c in data_cols]), table)
+    else:
+        prof = seen.profile(table)
+    prof_rows = prof.collect()
     names = {r["csv_name"]: r["sql_name"] for r in prof_rows}
     created = False
     if opts.create_tables:

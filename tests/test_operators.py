@@ -180,3 +180,19 @@ def test_merged_profiles_equal_the_profile_of_all_rows(spark):
     fewer = merge_profiles(profile(part(one).select("a"), "t"), profile(part(two).select("a", "f"), "t")).collect()
     assert {r.sql_name: (r.n_rows, r.n_nulls, r.sql_type) for r in fewer} == {
         "a": (4, 0, "NUMERIC(38, 0) NOT NULL"), "f": (4, 2, "SMALLINT NULL")}
+
+
+def test_observed_profile_equals_the_profile(spark, tmp_path):
+    """Metrics taken while rows are written give what a scan of its own gives."""
+    from frostline.operators.profile import ObservedProfile, profile
+
+    rows = [("1", "2.5", "true", "12345678901234567890", None, "x,y"), ("-7", "3", "False", "5", None, ""),
+            (None, "NaN", None, None, None, "z")]
+    df = spark.createDataFrame(rows * 20, "A string, `B C` string, d string, wide string, none string, t string").repartition(3)
+    for data in (df, df.limit(0)):
+        want = list(map(tuple, profile(data, "t").orderBy("ordinal").collect()))
+        for per_pass in (100, 4):
+            seen = ObservedProfile(data, data.columns, columns_per_pass=per_pass, xs=F.count_if(F.col("t") == "z"))
+            seen.rows.write.mode("overwrite").parquet(str(tmp_path / "raw"))
+            assert list(map(tuple, seen.profile("t").orderBy("ordinal").collect())) == want
+            assert seen.extra == {"n_rows": data.count(), "xs": data.where("t = 'z'").count()}
