@@ -58,6 +58,8 @@ class ExternalSink:
         return bool(self._there(table))
 
     def _there(self, table: str) -> T.StructType | None:
+        if self.fmt == CommittedFiles.name() and not _loads(self.target(table)):
+            return None
         try:
             return self.read(table).schema
         except PySparkException:
