@@ -23,7 +23,6 @@ table gives no file and no rows.  Other columns are not stored.
 
 from __future__ import annotations
 
-import itertools
 import re
 import struct
 import uuid
@@ -39,6 +38,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from .coded import cuts_of
 from .elias_fano import EliasFano
 from .pieces import Pieces, pieces_of
 from .words import groups_of
@@ -50,10 +50,11 @@ _READ_IDS = 1 << 20
 _MARK = b"TOKENSEF"
 _FOOTER = "<QQQBQQ8s"
 
+# Text bytes that are encoded at a time.
+_TEXT_BYTES = 8 << 20
 # Cuts are made before white space that follows something else: the tokenizer
-# never joins across such a place.  Texts with other white space are not cut.
+# never joins across such a place (``coded.cuts_of`` has the exact places).
 _PIECE = re.compile(r"[ \t\n\r]*[^ \t\n\r]+|[ \t\n\r]+")
-_OTHER_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -90,7 +91,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         known = pieces_of(tokenizer)
         for batch in batches:
             sizes = [1 + (n or 0) for n in pc.binary_length(batch.column(1)).to_pylist()]
-            for a, b in groups_of(sizes, 4 << 20):
+            for a, b in groups_of(sizes, _TEXT_BYTES):
                 of = batch.slice(a, b - a)
                 if out is None:
                     fs.create_dir(place, recursive=True)
@@ -122,14 +123,20 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
 def _encoded(texts: list[str | None], pieces: Pieces, end_id: int, width: int) -> tuple[bytes, np.ndarray]:
     """The ids of the texts, each with the end id, and how many each has."""
-    other = _OTHER_SPACE.search
-    cut = [_PIECE.findall(t) if t and not other(t) else [t] if t else [] for t in texts]
-    known = pieces.learn(itertools.chain.from_iterable(cut))
-    end = np.array([end_id], dtype="<i4").tobytes()
-    parts = [pieces.joined(c, known) + end for c in cut]
-    lengths = np.array([len(p) // 4 for p in parts], dtype=np.int64)
-    ids = np.frombuffer(b"".join(parts), dtype="<i4")
-    return ids.astype(f"<u{width}").tobytes(), lengths
+    whole = [t.encode() if t else b"" for t in texts]
+    data = b"".join(whole)
+    sizes = np.fromiter(map(len, whole), np.int64, len(whole))
+    begins = np.cumsum(sizes) - sizes
+    cuts = cuts_of(np.frombuffer(data, np.uint8), begins[sizes > 0]) if data else begins[:0]
+    found, counts = pieces.ids_of(data, cuts)
+    before = np.append(0, np.cumsum(counts))  # ids before each piece
+    lengths = np.diff(before[np.searchsorted(cuts, np.append(begins, len(data)))]) + 1
+    ends = np.cumsum(lengths) - 1
+    ids = np.full(len(found) + len(texts), end_id, f"<u{width}")
+    own = np.ones(len(ids), bool)
+    own[ends] = False
+    ids[own] = found
+    return ids.tobytes(), lengths
 
 
 class TokenFile:

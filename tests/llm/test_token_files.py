@@ -81,6 +81,29 @@ def test_memo_is_bounded_by_bytes():
     assert max(map(len, pieces.memo)) <= 64
 
 
+def test_distinct_pieces_are_encoded_together():
+    from frostline.llm.pieces import Pieces
+
+    class Counted(Pieces):
+        given = 0
+
+        def encode(self, texts):
+            self.given += len(texts)
+            return super().encode(texts)
+
+    rng = random.Random(4)
+    odd = [",", "été,", "x.", "X,", "a.b", "\u00a0z", "\u3000", "\r\n", "\x0b", "\x1c", "<|endoftext|>", "語.", "it's,", "12.", "  "]
+    texts = [None, "", " ", ",", "."] + [
+        " ".join(rng.choice(odd) if rng.random() < 0.2 else f"w{rng.choice('abcdef')}{chr(97 + rng.randrange(26))}ord{'.,'[i % 2]}"
+                 for i in range(rng.randrange(200))) for _ in range(60)] + ["x" * 5000, "\n\n".join(odd), "".join(odd)]
+    pieces = Counted(PATH)
+    pieces.given = 0
+    data, lengths = K._encoded(texts, pieces, 2, 2)
+    assert pieces.given < len(pieces.memo) / 4
+    want = [e + [2] for e in pieces.encode([t or "" for t in texts])]
+    assert np.frombuffer(data, "<u2").tolist() == sum(want, []) and lengths.tolist() == [len(e) for e in want]
+
+
 def test_other_files_are_refused(tmp_path):
     (tmp_path / "x.bin").write_bytes(b"0" * 200)
     with pytest.raises(ValueError):
