@@ -1,9 +1,9 @@
 """Metadata investigation views over code lists, dictionaries and page names.
 
 All are aggregations with map-side partial aggregation; the "items having more
-than one row" filters are semi joins against an aggregated key set (a shuffle of
-one row per key, which AQE broadcasts when small), never a window over an item,
-so one hot item never lands whole in one task.
+than one row" filters are semi joins against an aggregated key set, never a window over
+the rows of an item, and both sides are dealt by item and by a part of it, so
+one hot item never lands whole in one task.
 """
 
 from __future__ import annotations
@@ -11,13 +11,15 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.scalars import pg_substr
 
 WORD_CHAR = r"\w"
+# Parts that an item's rows are dealt into.
+ITEM_PARTS = 256
 # Items left out of code-mapping summaries, and dictionary
 # tables left out of the page-name search.
 SUMMARY_EXCLUDED_ITEMS = ("PAG_NAME",)
@@ -30,10 +32,17 @@ def sorted_list(value: str, delimiter: str, order_by: str | None = None):
     return F.expr(f"listagg({value}, '{delimiter}') WITHIN GROUP (ORDER BY {order})")
 
 
-def items_with_many(df: DataFrame, key: str = "itm_name") -> DataFrame:
-    """Rows of ``df`` whose ``key`` occurs in more than one row (IN ... HAVING)."""
-    many = df.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").select(key)
-    return df.join(many, key, "left_semi")
+def items_with_many(df: DataFrame, spread: Column, key: str = "itm_name") -> DataFrame:
+    """Rows of ``df`` whose ``key`` occurs in more than one row (IN ... HAVING).
+
+    ``spread`` parts the rows of one key; it must come out alike each time ``df``
+    is computed.  The window sees one row for each part of a key.
+    """
+    part = F.pmod(F.xxhash64(spread), F.lit(ITEM_PARTS)).alias("__part")
+    rows = F.sum("__n").over(Window.partitionBy(key))
+    many = (df.select(key, part).groupBy(key, "__part").agg(F.count(F.lit(1)).alias("__n"))
+            .withColumn("__rows", rows).filter("__rows > 1").select(key, "__part"))
+    return df.select("*", part).join(many, [key, "__part"], "left_semi").drop("__part")
 
 
 def shared_descriptions(dictionary: DataFrame) -> DataFrame:
@@ -48,7 +57,7 @@ def shared_descriptions(dictionary: DataFrame) -> DataFrame:
 def ambiguous_items(dictionary: DataFrame) -> DataFrame:
     """Shared-description rows of items that have more than one description;
     the description is cut to ``substr(dscr, 0, 50)`` (49 characters)."""
-    shared = items_with_many(shared_descriptions(dictionary))
+    shared = items_with_many(shared_descriptions(dictionary), F.col("dscr"))
     return shared.select("itm_name", pg_substr("dscr", 0, 50).alias("dscr (truncated)"),
                          "n_mod_names", "mod_names")
 
@@ -75,7 +84,9 @@ def code_list_shared(code_list: DataFrame) -> DataFrame:
 
 def code_list_variable(code_list: DataFrame) -> DataFrame:
     """Items whose code mapping differs between modules."""
-    return items_with_many(code_list_shared(code_list)).select("*")
+    # Pairs of one code may be listed in any order, which leaves the length as it is.
+    shared = code_list_shared(code_list)
+    return items_with_many(shared, F.length("code_mapping")).select(*shared.columns)
 
 
 def mod_item_summary(dictionary: DataFrame, code_list: DataFrame,

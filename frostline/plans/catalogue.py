@@ -190,7 +190,7 @@ def filter_not_in(spark, sf_dir):
 @query("semi_having")
 def semi_having(spark, sf_dir):
     p = Tables(spark, sf_dir)("part").select("p_partkey", "p_name", "p_brand", "p_size")
-    return inv.items_with_many(p, key="p_name")
+    return inv.items_with_many(p, F.col("p_partkey"), key="p_name")
 
 
 @query("sort_nulls")

@@ -79,6 +79,29 @@ def test_ambiguous_items(spark):
     assert max(len(r["dscr (truncated)"]) for r in amb) == 49
 
 
+def test_rows_of_one_item_are_dealt_to_many_tasks(spark):
+    rows = [(f"M{i % 3}", "HOT", f"description {i} " + "y" * (i % 50)) for i in range(600)]
+    rows += [("M1", "ONE", "same"), ("M2", "ONE", "SAME"), ("M1", "NULL", None), ("M2", "NULL", "x"), ("M1", None, "a"), ("M2", None, "b")]
+    dd = spark.createDataFrame(rows, "mod_name string, itm_name string, dscr string")
+    codes = spark.createDataFrame([("HOT", m, str(i), "z" * (i % 40)) for i, (m, _, _) in enumerate(rows[:600])]
+                                  + [("HOT", f"N{i}", "1", "v" * i) for i in range(300)] + [("ONE", "M1", "1", "a"), ("ONE", "M2", "1", "a")],
+                                  "itm_name string, mod_name string, code string, decode string")
+    held = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16"}
+    before = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        amb = inv.ambiguous_items(dd).withColumn("task", F.spark_partition_id()).collect()
+        var = inv.code_list_variable(codes).withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted((r.itm_name, r["dscr (truncated)"] or "", r.n_mod_names, r.mod_names) for r in amb) == sorted(
+        [("HOT", d.lower()[:49], 1, m) for m, _, d in rows[:600]] + [("NULL", "", 1, "M1"), ("NULL", "x", 1, "M2")])
+    assert {r.itm_name for r in var} == {"HOT"} and len(var) == 303
+    assert len({r.task for r in amb if r.itm_name == "HOT"}) > 8 and len({r.task for r in var}) > 8
+
+
 def test_page_name_pairs(spark):
     t1 = spark.createDataFrame([(1, "P1"), (2, "P1"), (3, "P2")], "patno int, pag_name string")
     t2 = spark.createDataFrame([(1, "P2")], "patno int, pag_name string")
