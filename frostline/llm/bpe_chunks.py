@@ -27,7 +27,6 @@ row.  An empty table gives an empty result.  Other columns are not carried.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -45,6 +44,8 @@ CHUNK_WORDS = 64
 WINDOW = 3
 #: Entries of a worker's memo of words; blocks and their ids are in memory beside it.
 MEMO = 700_000
+#: Text bytes whose chunks are encoded at a time.
+RUN_BYTES = 4 << 20
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -56,7 +57,8 @@ def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
     docs = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     packed = B.pack(docs, B.layout_of(docs))
 
-    held = B.per_block(packed, ["block", "rows"], "key binary, block long", _keys)
+    # Dealt by key once, for the count and for the join below; the joins' filter stands here so that both read one exchange.
+    held = B.per_block(packed, ["block", "rows"], "key binary, block long", _keys).where("key IS NOT NULL AND block IS NOT NULL").repartition("key")
     shared = (held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("block").alias("block"))
               .where("n > 1").select("block", "key"))
     coded = B.per_block(B.answers(packed, shared, ["key"]), ["rows", "answers"], "key binary, ids binary",
@@ -73,10 +75,10 @@ def drops_white_space(encode: Callable[[list[str]], list[list[int]]]) -> bool:
     return whole == a + b + c
 
 
-def _runs(table: pa.Table) -> Iterator[tuple[int, list[list[bytes]], list[list[int]]]]:
+def _runs(table: pa.Table, most: int = 1 << 20) -> Iterator[tuple[int, list[list[bytes]], list[list[int]]]]:
     """Of each run of documents: the first's number, the words of each (UTF-8), and where its chunks begin."""
     texts = B.texts_of(table)
-    for begin, end in W.groups_of(texts):
+    for begin, end in W.groups_of(texts, most):
         run = W.Texts(texts[begin:end])
         rolling = W.gram_hashes(run.hashes, WINDOW, 11) & np.uint64(CHUNK_WORDS - 1) == 0
         cuts = np.flatnonzero(rolling) + WINDOW  # before the word after the window
@@ -100,6 +102,22 @@ def _words(chunk: bytes) -> list[str]:
     return chunk.decode().split(" ")
 
 
+def _coded(chunks: list[bytes], pieces: Pieces) -> list[bytes]:
+    """The ids of each chunk, that is of its words, which one space parts."""
+    if not chunks:
+        return []
+    buffer = np.frombuffer(b" ".join(chunks) + b" ", np.uint8)
+    space = buffer == 0x20
+    ends = np.flatnonzero(space)  # of each word
+    begins = np.append(0, ends[:-1] + 1)
+    sizes = np.fromiter(map(len, chunks), np.int64, len(chunks)) + 1
+    first = np.searchsorted(begins, np.cumsum(sizes) - sizes)  # word of each chunk
+    ids, counts = pieces.ids_of(buffer[~space].tobytes(), begins - np.arange(len(begins)))
+    to = (4 * np.cumsum(np.add.reduceat(counts, first))).tolist()
+    data = ids.tobytes()
+    return [data[a:b] for a, b in zip([0, *to], to)]
+
+
 def _keys(block: int, rows: bytes) -> Iterator[pa.RecordBatch]:
     found = {key for _, words, begins in _runs(B.unpack(rows))
              for w, b in zip(words, begins) for key, _ in _chunks(w, b)}
@@ -113,16 +131,16 @@ def _encode_shared(rows: bytes, back: list | None, tokenizer: str, narrow: bool)
     if not wanted:
         return
     for _, words, begins in _runs(B.unpack(rows)):
+        chunks: dict[bytes, bytes] = {}
         for w, b in zip(words, begins):
-            chunks = [(key, _words(chunk)) for key, chunk in _chunks(w, b) if key in wanted]
-            wanted.difference_update(key for key, _ in chunks)
-            known = pieces.learn(chain.from_iterable(chunk for _, chunk in chunks))
-            ids = [pieces.joined(chunk, known) for _, chunk in chunks]
-            if narrow:
-                ids = [np.frombuffer(i, "<i4").astype("<u2").tobytes() for i in ids]
-            if chunks:
-                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in chunks], pa.binary()), pa.array(ids, pa.binary())],
-                                                 names=["key", "ids"])
+            chunks.update((key, chunk) for key, chunk in _chunks(w, b) if key in wanted)
+        wanted.difference_update(chunks)
+        ids = _coded(list(chunks.values()), pieces)
+        if narrow:
+            ids = [np.frombuffer(i, "<i4").astype("<u2").tobytes() for i in ids]
+        if chunks:
+            yield pa.RecordBatch.from_arrays([pa.array(list(chunks), pa.binary()), pa.array(ids, pa.binary())],
+                                             names=["key", "ids"])
 
 
 def _encode_all(rows: bytes, back: list | None, tokenizer: str, narrow: bool) -> Iterator[pa.RecordBatch]:
@@ -132,19 +150,20 @@ def _encode_all(rows: bytes, back: list | None, tokenizer: str, narrow: bool) ->
     if narrow:
         shared = {k: np.frombuffer(v, "<u2").astype("<i4").tobytes() for k, v in shared.items()}
     own: dict[bytes, bytes] = {}
-    for begin, words, begins in _runs(table):
+    for begin, words, begins in _runs(table, RUN_BYTES):
         chunks = [list(_chunks(w, b)) for w, b in zip(words, begins)]
-        new = {key: _words(chunk) for of in chunks for key, chunk in of if key not in shared and key not in own}
-        ends = [(w[i - 1].decode(), w[i].decode()) for w, b in zip(words, begins) for i in b[1:]]
-        known = pieces.learn(chain(chain.from_iterable(new.values()), chain.from_iterable(ends)))
-        own |= {key: pieces.joined(chunk, known) for key, chunk in new.items()}
-        joins = iter(zip(ends, pieces.encode([f"{a} {b}" for a, b in ends])))
+        new = {key: chunk for of in chunks for key, chunk in of if key not in shared and key not in own}
+        ends = [w[i - 1] + b" " + w[i] for w, b in zip(words, begins) for i in b[1:]]
+        # The two words at a join are encoded each by itself, as a chunk's are, and as one text.
+        found = _coded([*new.values(), *ends], pieces)
+        own.update(zip(new, found))
+        apart = iter(found[len(new):])
+        joins = iter(pieces.encode([e.decode() for e in ends]))
         ids = []
         for of in chunks:
             parts = [own[key] if key in own else shared[key] for key, _ in of]
             for i in range(len(of) - 1):
-                (last, first), together = next(joins)
-                if _bytes(together) != known[last] + known[first]:
+                if _bytes(next(joins)) != next(apart):
                     parts[i], parts[i + 1] = repaired(_words(of[i][1]), _words(of[i + 1][1]), parts[i], parts[i + 1], pieces.encode)
             ids.append(np.frombuffer(b"".join(parts), dtype="<i4"))
         many = np.array([len(i) for i in ids], dtype=np.int64)

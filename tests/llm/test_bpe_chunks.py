@@ -62,6 +62,32 @@ def test_a_join_that_does_not_stand_is_repaired():
     assert len(parts[1]) == 4 * 3  # beyond the stretch, the chunk's own ids are used
 
 
+def test_words_are_encoded_together():
+    from frostline.llm.pieces import Pieces
+
+    class Counted(Pieces):
+        given = 0
+
+        def encode(self, texts):
+            self.given += len(texts)
+            return super().encode(texts)
+
+    words = [f"w{a}{b}ord" for a in "abcdefghij" for b in "klmnopqrst"] + ["été", "İ.", "</w>", "a<|endoftext|>b", "x,", ",", "12.", "\x1cz", "it's"]
+    pieces = Counted(PATH)
+    pieces.given = 0
+    assert C._coded([" ".join(words).encode(), b"one two", b"x,"], pieces) == [
+        C._bytes(i) for i in pieces.encode([" ".join(words), "one two", "x,"])]
+    assert pieces.given < len(words) / 4
+
+
+def test_chunk_keys_are_made_once(spark, tmp_path):
+    spark.createDataFrame([(i, f"a b c {i}") for i in range(20)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    coded = C.encode_documents(spark.read.parquet(str(tmp_path / "d")), PATH)
+    assert len(coded.collect()) == 20
+    plan = coded._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange [key#" in plan  # the count and the join read one exchange
+
+
 def test_memo_may_be_full():
     from frostline.llm.pieces import Pieces
 
