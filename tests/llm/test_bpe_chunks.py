@@ -80,10 +80,15 @@ def test_words_are_encoded_together():
     assert pieces.given < len(words) / 4
 
 
-def test_chunk_keys_are_made_once(spark, tmp_path):
-    spark.createDataFrame([(i, f"a b c {i}") for i in range(20)], "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+def test_chunk_keys_are_made_once(spark, tmp_path, monkeypatch):
+    from frostline.llm import blocks
+
+    monkeypatch.setattr(blocks, "SMALLEST_BLOCK", 3000)
+    monkeypatch.setattr(blocks, "BLOCK_BYTES_AT_1GB", 3000)
+    rows = [(d, t) for d, t in corpus() if d is not None]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "d"))
     coded = C.encode_documents(spark.read.parquet(str(tmp_path / "d")), PATH)
-    assert len(coded.collect()) == 20
+    assert len(coded.collect()) == len(rows)
     plan = coded._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange [key#" in plan  # the count and the join read one exchange
 
