@@ -23,6 +23,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import give_back
+
 #: Block size at one gigabyte of text.  It grows with the square root of the
 #: input, so that the rows a block sends to each group keep their size.
 BLOCK_BYTES_AT_1GB = 4 << 20
@@ -104,6 +106,7 @@ def per_block(frame: DataFrame, columns: list[str], schema: str,
             arrays = [batch.column(i) for i in range(len(columns))]
             for i in range(batch.num_rows):
                 yield from work(*(a[i].as_py() for a in arrays))
+                give_back()
 
     return frame.select(*columns).mapInArrow(run, schema)
 

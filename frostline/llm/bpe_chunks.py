@@ -43,9 +43,11 @@ from .pieces import Pieces, pieces_of
 CHUNK_WORDS = 64
 WINDOW = 3
 #: Entries of a worker's memo of words; blocks and their ids are in memory beside it.
-MEMO = 700_000
+MEMO = 300_000
 #: Text bytes whose chunks are encoded at a time.
-RUN_BYTES = 4 << 20
+RUN_BYTES = 1 << 20
+#: Ids that are decoded at a time: as Python integers each takes ten times its bytes.
+DECODED_IDS = 1 << 16
 
 
 def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -169,7 +171,8 @@ def _encode_all(rows: bytes, back: list | None, tokenizer: str, narrow: bool) ->
         many = np.array([len(i) for i in ids], dtype=np.int64)
         lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)], pa.int32()),
                                          pa.array(np.concatenate([*ids, np.empty(0, "<i4")]), pa.int32()))
-        text = pieces.tokenizer.decode_batch([i.tolist() for i in ids], skip_special_tokens=False)
+        text = [t for a, b in W.groups_of([len(i) for i in ids], DECODED_IDS)
+                for t in pieces.tokenizer.decode_batch([i.tolist() for i in ids[a:b]], skip_special_tokens=False)]
         yield pa.RecordBatch.from_arrays(
             [table.column("doc_id").slice(begin, len(ids)).combine_chunks(), pa.array(many), lists, pa.array(text, pa.string())],
             names=["doc_id", "n_tokens", "ids", "decoded"])

@@ -104,6 +104,42 @@ def test_memo_may_be_full():
     assert len(small.memo) <= 3
 
 
+def test_a_block_is_encoded_and_decoded_in_small_parts(monkeypatch):
+    import pyarrow as pa
+
+    from frostline.llm import blocks
+    from frostline.llm.pieces import Pieces
+
+    class Counted(Pieces):
+        def __init__(self, path):
+            self.decoded, self.sizes_given = [], []
+            super().__init__(path)
+            self.real, self.tokenizer = self.tokenizer, self
+
+        def decode_batch(self, lists, **how):
+            self.decoded.append(sum(map(len, lists)))
+            return self.real.decode_batch(lists, **how)
+
+        def encode_batch_fast(self, texts, **how):
+            return self.real.encode_batch_fast(texts, **how)
+
+        def ids_of(self, data, begins):
+            self.sizes_given.append(len(data))
+            return super().ids_of(data, begins)
+
+    texts = [" ".join(f"w{(d * 7 + k) % 900}" for k in range(1000)) for d in range(600)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(600), pa.int64()), "text": texts})
+    rows = blocks._row(0, [batch], "doc_id").column(1)[0].as_py()
+    pieces = Counted(PATH)
+    monkeypatch.setattr(C, "pieces_of", lambda path, most: pieces)
+    out = [r for b in C._encode_all(rows, None, PATH, True) for r in b.to_pylist()]
+    own = Tokenizer.from_file(PATH)
+    want = own.encode_batch(texts, add_special_tokens=False)
+    assert [r["ids"] for r in out] == [e.ids for e in want]
+    assert [r["decoded"] for r in out] == own.decode_batch([e.ids for e in want], skip_special_tokens=False)
+    assert max(pieces.decoded) <= 1 << 17 and max(pieces.sizes_given) <= 3 << 19
+
+
 def test_a_tokenizer_that_keeps_white_space_is_refused(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     with pytest.raises(ValueError):
