@@ -1,8 +1,9 @@
 """License scan by diagonal voting.
 
 1. The hash of every two consecutive words of every text is joined with the
-   same hashes of the templates (license phrases and notices).  A match votes
-   for the *diagonal* ``place in text - place in template``.
+   same hashes of the templates (license phrases and notices); hashes that no
+   template has are left out where they are made.  A match votes for the
+   *diagonal* ``place in text - place in template``.
 2. Votes are counted by text, template and diagonal.  A template that stands
    unchanged in a text has all its votes on one diagonal; words put in or left
    out move the rest to a neighbouring one.
@@ -25,6 +26,7 @@ from collections.abc import Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,7 +41,9 @@ LOOSE = 1.5
 # More template pairs than this are refused: they are broadcast.
 MOST_PAIRS = 200_000
 
-_MATCH = "tpl int, tpos int, need int, label string, kind string, gram long"
+_MATCH = pa.schema({"tpl": pa.int32(), "tpos": pa.int32(), "need": pa.int32(), "label": pa.string(), "kind": pa.string(), "gram": pa.int64()})
+# Text bytes that are scanned at a time.
+_TEXT_BYTES = 1 << 19
 
 
 def _pairs(texts: list[bytes]) -> tuple[W.Texts, np.ndarray, np.ndarray]:
@@ -47,7 +51,7 @@ def _pairs(texts: list[bytes]) -> tuple[W.Texts, np.ndarray, np.ndarray]:
     return run, W.gram_hashes(run.hashes, 2, 31).view(np.int64), run.whole(2)
 
 
-def _templates(base: Mapping[str, str], phrases: Mapping[str, str], notices: Mapping[str, str]) -> list[tuple]:
+def _templates(base: Mapping[str, str], phrases: Mapping[str, str], notices: Mapping[str, str]) -> pa.Table:
     every = ([(t, label, "base") for t, label in base.items()] + [(t, label, "phrase") for t, label in phrases.items()]
              + [(t, label, "notice") for label, t in notices.items()])
     rows = []
@@ -58,7 +62,7 @@ def _templates(base: Mapping[str, str], phrases: Mapping[str, str], notices: Map
         rows += [(number, at, len(grams), label, kind, int(g)) for at, g in enumerate(grams)]
     if len(rows) > MOST_PAIRS:
         raise ValueError("too many template words to broadcast")
-    return rows
+    return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * len(_MATCH), _MATCH.types)], schema=_MATCH)
 
 
 def spans(docs: DataFrame, base: Mapping[str, str] = BASE_PHRASES, phrases: Mapping[str, str] = PHRASES,
@@ -70,18 +74,20 @@ def spans(docs: DataFrame, base: Mapping[str, str] = BASE_PHRASES, phrases: Mapp
     every document has besides, these are null.
     """
     spark = docs.sparkSession
-    templates = spark.createDataFrame(_templates(base, phrases, notices), _MATCH)
+    table = _templates(base, phrases, notices)
+    templates = spark.createDataFrame(table)  # of an Arrow table, for which no worker is started
+    known = np.unique(table["gram"].to_numpy())
     schema = T.StructType([T.StructField("row", T.LongType()), docs.schema[doc_id], T.StructField("n_words", T.LongType()),
                            T.StructField("pos", T.IntegerType()), T.StructField("gram", T.LongType())])
     names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [v or b"" for v in batch.column(2).cast(pa.binary()).to_pylist()]
-            for a, b in W.groups_of(texts):
-                words, grams, whole = _pairs(texts[a:b])
+            sizes = [1 + (n or 0) for n in pc.binary_length(batch.column(2)).to_pylist()]
+            for a, b in W.groups_of(sizes, _TEXT_BYTES):
+                words, grams, whole = _pairs([v or b"" for v in batch.column(2).slice(a, b - a).cast(pa.binary()).to_pylist()])
                 n = np.diff(words.first)
-                at = np.flatnonzero(whole)
+                at = np.flatnonzero(whole & np.isin(grams, known))
                 of = np.searchsorted(words.first, at, side="right") - 1
                 rows = batch.column(0).slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(  # the documents' own rows
@@ -89,6 +95,7 @@ def spans(docs: DataFrame, base: Mapping[str, str] = BASE_PHRASES, phrases: Mapp
                 yield pa.RecordBatch.from_arrays(
                     [rows.take(pa.array(of)), pa.nulls(len(at), batch.column(1).type), pa.nulls(len(at), pa.int64()),
                      pa.array((at - words.first[of]).astype(np.int32)), pa.array(grams[at])], names=names)
+                W.give_back()
 
     numbered = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id), F.col(text).alias("__text"))
     met = (numbered.mapInArrow(run, schema).join(F.broadcast(templates), "gram", "left")

@@ -66,3 +66,22 @@ def test_changed_notices_are_found(spark):
 
 def test_empty_table(spark):
     assert S.scan(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_only_hashes_that_a_template_has_leave_the_worker(spark):
+    rows = [(1, "zebra quagga okapi " * 500), (2, "under the MIT License"), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    made = S.scan(df)
+    assert {r.doc_id: r.labels for r in made.collect()} == {1: "", 2: "mit", 3: ""}
+    plan = made._jdf.queryExecution().executedPlan()
+    todo, rows_out = [plan], []
+    while todo:
+        node = todo.pop()
+        if node.nodeName() == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif "QueryStage" in node.nodeName():
+            todo.append(node.plan())
+        if node.nodeName() == "MapInArrow":
+            rows_out.append(node.metrics().apply("pythonNumRowsReceived").value())
+        todo += [node.children().apply(i) for i in range(node.children().length())]
+    assert rows_out and sum(rows_out) < 20
