@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from ..session import scratch_dir
 from .coded import ByteLevel, Coder, cuts_of, spans
-from .words import groups_of
+from .words import give_back, groups_of
 
 #: Groups of equal cardinality.
 GROUPS = 64
@@ -45,8 +45,9 @@ GROUPS = 64
 #: tried, and the plan of fewest sequences is taken: a low share serves lengths of which few
 #: combinations fit well, a high one lengths of which nearly any fit.
 SMALL = (1 / 8, 1 / 4, 1 / 2)
-# Text bytes that are encoded at a time.
-_TEXT_BYTES = 2 << 20
+# Text bytes that are encoded at a time, and distinct pieces of text that a worker keeps.
+_TEXT_BYTES = 1 << 20
+_KEPT_PIECES = 350_000
 _EPS = 1e-9
 
 
@@ -219,6 +220,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 1024, doc
                 part = batch.slice(a, b - a)
                 ids, lengths = _encoded(part.column(1).to_pylist(), known, end_id)
                 yield _pieces(part.column(0), ids, lengths, capacity, task, seen, tokens)
+                give_back()
 
     folder = scratch_dir(spark, "packing")
     rows.mapInArrow(cut, schema).write.parquet(f"{folder}/pieces")
@@ -253,7 +255,7 @@ _LOADED: dict[str, Coder] = {}
 def _coder(path: str) -> Coder:
     """The worker's coder for a tokenizer file."""
     if path not in _LOADED:
-        _LOADED[path] = Coder(ByteLevel(path))
+        _LOADED[path] = Coder(ByteLevel(path), most=_KEPT_PIECES)
     return _LOADED[path]
 
 

@@ -115,3 +115,25 @@ def test_empty_table_and_whole_table(spark):
     out = out.sort_values(["sequence_id", "offset"])
     ends = out.offset + out.length
     assert ((out.offset == 0) | (out.offset == ends.shift())).all() and ends.max() <= 1024
+
+
+def test_a_worker_holds_few_results_and_pieces_at_a_time():
+    given = []
+
+    class Counted(K.ByteLevel):
+        def each(self, texts):
+            given.append(len(texts))
+            return super().each(texts)
+
+    texts = [" ".join(f"é{a}x{b}" for b in range(60)) for a in range(60)]  # 3600 pieces beyond ASCII
+    data = "".join(texts).encode()
+    begins = np.cumsum([0, *(len(t.encode()) for t in texts)])[:-1]
+    cuts = K.cuts_of(np.frombuffer(data, np.uint8), begins)
+    own = Tokenizer.from_file(PATH)
+    want = [i for t in texts for i in own.encode(t, add_special_tokens=False).ids]
+    for most in (10, 5000):
+        given.clear()
+        coder = K.Coder(Counted(PATH), most=most)
+        (ids, _, _), = coder.encode(data, cuts, np.searchsorted(cuts, begins))
+        assert ids.tolist() == want and len(coder.place) <= most
+        assert sum(given) >= 3600 and max(given) <= 1024
