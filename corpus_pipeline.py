@@ -19,6 +19,10 @@ from frostline.llm.substring import shortened_documents
 from frostline.session import scratch_dir
 
 
+#: Words that an encoding worker keeps; it holds memory of the earlier stages besides.
+MEMO = 300_000
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose the lines that fail."""
     return kept_documents(docs)
@@ -41,7 +45,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def bpe_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document of the mix."""
-    return encode_documents(docs, public_tokenizers.path("word_bpe_49k.json")).select("doc_id", "n_tokens", "ids")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    return encode_documents(docs, path, memo=MEMO).select("doc_id", "n_tokens", "ids")
 
 
 STAGES = [

@@ -43,15 +43,18 @@ from .pieces import Pieces, pieces_of
 CHUNK_WORDS = 64
 WINDOW = 3
 #: Entries of a worker's memo of words; blocks and their ids are in memory beside it.
-MEMO = 300_000
+MEMO = 700_000
 #: Text bytes whose chunks are encoded at a time.
 RUN_BYTES = 1 << 20
 #: Ids that are decoded at a time: as Python integers each takes ten times its bytes.
 DECODED_IDS = 1 << 16
 
 
-def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc_id, n_tokens long, ids array<int>, decoded string)`` for each document."""
+def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", memo: int = MEMO) -> DataFrame:
+    """``(doc_id, n_tokens long, ids array<int>, decoded string)`` for each document.
+
+    ``memo`` bounds the entries of a worker's memo of words; a lower one costs time, not rows.
+    """
     own = Pieces(tokenizer)
     if not drops_white_space(own.encode):
         raise ValueError("the tokenizer must drop white space")
@@ -64,12 +67,12 @@ def encode_documents(docs: DataFrame, tokenizer: str, doc_id: str = "doc_id", te
     shared = (held.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("block").alias("block"))
               .where("n > 1").select("block", "key"))
     coded = B.per_block(B.answers(packed, shared, ["key"]), ["rows", "answers"], "key binary, ids binary",
-                        lambda r, a: _encode_shared(r, a, tokenizer, narrow))
+                        lambda r, a: _encode_shared(r, a, tokenizer, narrow, memo))
     back = held.join(coded, "key").select("block", "key", "ids")
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_tokens", T.LongType()),
                            T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
     return B.per_block(B.answers(packed, back, ["key", "ids"]), ["rows", "answers"], schema,
-                       lambda r, a: _encode_all(r, a, tokenizer, narrow))
+                       lambda r, a: _encode_all(r, a, tokenizer, narrow, memo))
 
 
 def drops_white_space(encode: Callable[[list[str]], list[list[int]]]) -> bool:
@@ -127,9 +130,9 @@ def _keys(block: int, rows: bytes) -> Iterator[pa.RecordBatch]:
                                      names=["key", "block"])
 
 
-def _encode_shared(rows: bytes, back: list | None, tokenizer: str, narrow: bool) -> Iterator[pa.RecordBatch]:
+def _encode_shared(rows: bytes, back: list | None, tokenizer: str, narrow: bool, memo: int = MEMO) -> Iterator[pa.RecordBatch]:
     wanted = {bytes(a["key"]) for a in back or ()}
-    pieces = pieces_of(tokenizer, MEMO)
+    pieces = pieces_of(tokenizer, memo)
     if not wanted:
         return
     for _, words, begins in _runs(B.unpack(rows)):
@@ -145,9 +148,9 @@ def _encode_shared(rows: bytes, back: list | None, tokenizer: str, narrow: bool)
                                              names=["key", "ids"])
 
 
-def _encode_all(rows: bytes, back: list | None, tokenizer: str, narrow: bool) -> Iterator[pa.RecordBatch]:
+def _encode_all(rows: bytes, back: list | None, tokenizer: str, narrow: bool, memo: int = MEMO) -> Iterator[pa.RecordBatch]:
     table = B.unpack(rows)
-    pieces = pieces_of(tokenizer, MEMO)
+    pieces = pieces_of(tokenizer, memo)
     shared = {bytes(a["key"]): a["ids"] for a in back or ()}
     if narrow:
         shared = {k: np.frombuffer(v, "<u2").astype("<i4").tobytes() for k, v in shared.items()}
